@@ -24,6 +24,8 @@ MARKDOWN_LINK = r"\[([^\]]+)\]\([^)]+\)"
 BLANK_RUN = r"\n{3,}"
 SPACE_RUN = r"[ \t]+"
 BOX_RUN = "[┌┐└┘├┤┬┴┼│─═║╔╗╚╝╠╣╦╩╬▌▐█▀▄]+"
+# A range that holds all box-drawing characters above.
+BOX_BLOCK = r"[\x{2500}-\x{2590}]"
 SEPARATOR_LINE = r"^[-=_*─│┌┐└┘├┤┬┴┼]+\z"
 SEPARATOR_CHARS = "-=_*"
 URL = f"https?://[^{WHITESPACE_CLASS}]+"

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import markdown as M
 from ..functions import patterns as P
 from ..functions import text as T
+from .rows import explode_array, explode_structs
 
 
 @dataclass(frozen=True)
@@ -149,30 +150,18 @@ def merge_small(chunks: Column, starts: Column) -> Column:
 def document_sections(df: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """One row per section of each document, with the headers in force."""
     ids = keep or [c for c in df.columns if c != text]
-    return df.select(*ids, F.inline(M.sections(F.col(text))))
+    return explode_structs(df, ids, M.sections(F.col(text)), ["section_id", "h1", "h2", "h3", "text"])
 
 
 def chunk_arrays(df: DataFrame, text: str, settings: ChunkSettings) -> DataFrame:
-    """Adds `_chunks`, the merged chunks of each document before the last noise filter."""
+    """Adds `_chunks`, the merged chunks of each document before the last noise filter.
 
-    def noise(body: Column) -> Column:
-        return T.is_noise(body, settings.min_chunk_size, settings.max_noise_ratio)
-
-    # Each step is its own projection so that its result is computed once per row.
-    step = df.withColumn("_clean", M.clean_text(F.col(text), settings.markup_in_code))
-    step = step.withColumn("_sections", M.sections(F.col("_clean")))
-    step = step.withColumn("_sections", F.filter("_sections", lambda s: ~noise(s["text"])))
-    texts = F.transform("_sections", lambda s: s["text"])
-    if settings.size_split == "window":
-        pieces = F.transform(
-            texts, lambda t: split_window(t, settings.chunk_size, settings.chunk_overlap)
-        )
-    else:
-        pieces = split_recursive(texts, settings.chunk_size, settings.chunk_overlap)
-    step = step.withColumn("_pieces", pieces)
+    Intermediate arrays are bound with `let`: a column that a lambda mentions could be
+    inlined into the lambda by the optimizer and then be worked out for every element.
+    """
 
-    def in_context(section: Column, piece: Column) -> Column:
-        return T.let(T.strip(T.strip_tags(section["h1"])), lambda h1: with_headers(h1, section, piece))
+    def quiet(body: Column) -> Column:
+        return ~T.is_noise(body, settings.min_chunk_size, settings.max_noise_ratio)
 
     def with_headers(h1: Column, section: Column, piece: Column) -> Column:
         return F.struct(
@@ -182,20 +171,43 @@ def chunk_arrays(df: DataFrame, text: str, settings: ChunkSettings) -> DataFrame
             F.concat(T.header_context(h1, section["h2"], section["h3"]), piece).alias("text"),
         )
 
-    chunks = F.flatten(
-        F.transform(
-            "_sections",
-            lambda s, i: F.transform(
-                F.filter(F.get(F.col("_pieces"), i), lambda p: ~noise(p)), lambda p: in_context(s, p)
+    def small_chunks(sections: Column, pieces_of) -> Column:
+        def of_section(section: Column, i: Column) -> Column:
+            return T.let(
+                T.strip(T.strip_tags(section["h1"])),
+                lambda h1: F.transform(
+                    F.filter(pieces_of(section, i), quiet), lambda piece: with_headers(h1, section, piece)
+                ),
+            )
+
+        return F.flatten(F.transform(sections, of_section))
+
+    def merged(small: Column) -> Column:
+        return T.let(
+            small,
+            lambda chunks: T.let(
+                merge_starts(chunks, settings.merge_below, settings.chunk_size),
+                lambda starts: merge_small(chunks, starts),
             ),
         )
+
+    size, overlap = settings.chunk_size, settings.chunk_overlap
+    cleaned = M.clean_text(F.col(text), settings.markup_in_code)
+    sections = F.filter(T.let(cleaned, M.sections), lambda s: quiet(s["text"]))
+    if settings.size_split == "window":
+        small = T.let(
+            sections,
+            lambda found: small_chunks(found, lambda s, i: split_window(s["text"], size, overlap)),
+        )
+        return df.withColumn("_chunks", merged(small))
+    cut = df.withColumn("_sections", sections).withColumn(
+        "_pieces", split_recursive(F.transform("_sections", lambda s: s["text"]), size, overlap)
     )
-    step = step.withColumn("_small", chunks)
-    step = step.withColumn(
-        "_starts", merge_starts(F.col("_small"), settings.merge_below, settings.chunk_size)
+    both = F.struct(F.col("_sections").alias("sections"), F.col("_pieces").alias("pieces"))
+    small = T.let(
+        both, lambda b: small_chunks(b["sections"], lambda s, i: F.get(b["pieces"], i))
     )
-    step = step.withColumn("_chunks", merge_small(F.col("_small"), F.col("_starts")))
-    return step.drop("_clean", "_sections", "_pieces", "_small", "_starts")
+    return cut.withColumn("_chunks", merged(small)).drop("_sections", "_pieces")
 
 
 def chunk_documents(
@@ -215,7 +227,7 @@ def chunk_documents(
     kept = F.filter(
         "_chunks", lambda c: ~T.is_noise(c["text"], settings.min_chunk_size, settings.max_noise_ratio)
     )
-    rows = arrays.select(doc_key, path, F.posexplode(kept).alias("chunk_index", "_chunk"))
+    rows = explode_array(arrays, [doc_key, path], kept, "chunk_index", "_chunk")
     doc_id = T.hash_uuid(F.col(doc_key))
     return rows.select(
         F.col("_chunk.text").alias("text"),
