@@ -80,3 +80,10 @@ def track_latest(stream: DataFrame, source: str, ts: str, key: str, table: str,
         .start()
         .awaitTermination()
     )
+
+
+def read_tracked(spark: SparkSession, table: str) -> DataFrame:
+    """The state after the last batch; older folders are pruned, not read."""
+    rows = spark.read.parquet(table)
+    last = rows.agg(F.max("batch_id")).scalar()
+    return rows.where(F.col("batch_id") == last).drop("batch_id")
