@@ -8,19 +8,24 @@ from pyspark.sql import functions as F
 MAX_LOOKUP_ROWS = 10_000
 
 
-def scalar_lookup(small: DataFrame, keys: list[str], values: list[str], max_rows: int = MAX_LOOKUP_ROWS) -> Column:
-    """A map column {struct(keys): struct(values)} built by a scalar subquery over `small`.
+def scalar_map(small: DataFrame, key: Column, value: Column, max_rows: int = MAX_LOOKUP_ROWS) -> Column:
+    """A map column {key: value} built by a scalar subquery over `small`.
 
     The subquery runs once and its result is a literal for the tasks, so the big side is
     neither shuffled nor joined. Its size is checked where it is built: more than
     `max_rows` entries fail the query with a message instead of growing without limit.
     """
-    entry = F.struct(F.struct(*keys).alias("key"), F.struct(*values).alias("value"))
+    entries = small.select(F.struct(key.alias("key"), value.alias("value")).alias("entry"))
     bounded = F.when(
-        F.count(F.lit(1)) <= max_rows, F.map_from_entries(F.collect_list(entry))
+        F.count(F.lit(1)) <= max_rows, F.map_from_entries(F.collect_list("entry"))
     ).otherwise(F.raise_error(F.lit(f"lookup table exceeds {max_rows} rows; join it instead")))
     # Only one row past the limit is ever collected.
-    return small.limit(max_rows + 1).agg(bounded.alias("entries")).scalar()
+    return entries.limit(max_rows + 1).agg(bounded.alias("entries")).scalar()
+
+
+def scalar_lookup(small: DataFrame, keys: list[str], values: list[str], max_rows: int = MAX_LOOKUP_ROWS) -> Column:
+    """The same with several key and value columns: {struct(keys): struct(values)}."""
+    return scalar_map(small, F.struct(*keys), F.struct(*values), max_rows)
 
 
 def look_up(lookup: Column, *keys: Column) -> Column:

@@ -64,7 +64,7 @@ def dataset_fingerprint(df: DataFrame, content: Column) -> DataFrame:
 
     Partial sums are merged, so nothing is sorted or collected.
     """
-    number = F.conv(F.substring(content, 1, 15), 16, 10).cast("decimal(18,0)").cast("decimal(28,0)")
+    number = F.conv(F.substring(content, 1, 15), 16, 10).cast("decimal(20,0)")
     return df.agg(
         F.count(F.lit(1)).alias("num_rows"),
         F.coalesce(F.sum(number), F.lit(0)).cast("string").alias("hash_sum"),

@@ -115,11 +115,11 @@ def metadata_json(spark, sf):
     path = scratch_path(spark, "metadata")
     writers.write_metadata(datasets.text_label_metadata(split, "documents", "test tables"), path)
     schema = (
-        "splits map<string,struct<num_samples:bigint,label_distribution:map<string,bigint>>>,"
-        "metrics map<string,struct<char_length_max:bigint,word_count_min:bigint,char_length_mean:double>>"
+        "splits map<string, struct<num_samples: bigint, label_distribution: map<string, bigint>>>, "
+        "metrics map<string, struct<char_length_max: bigint, word_count_min: bigint, char_length_mean: double>>"
     )
-    parsed = spark.read.text(path).select(F.from_json("value", schema).alias("m"))
-    rows = parsed.select(F.explode("m.splits").alias("split", "s"), F.col("m.metrics").alias("metrics"))
+    parsed = readers.read_json_array(spark, path, schema)
+    rows = parsed.select(F.explode("splits").alias("split", "s"), "metrics")
     found = F.element_at("metrics", F.col("split"))
     labels = F.array_join(
         F.transform(

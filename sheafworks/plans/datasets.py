@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..operators import chat, chunking, combine, profile, sampling, vector_table
 from ..operators.embedding import Model, embed
-from ..operators.lookup import scalar_lookup, single_row
+from ..operators.lookup import scalar_map, single_row
 
 
 def _document(df: DataFrame, **parts: Column) -> DataFrame:
@@ -23,14 +23,7 @@ def _document(df: DataFrame, **parts: Column) -> DataFrame:
 
 
 def _map_of(small: DataFrame, key: Column, value: Column) -> Column:
-    """A small result as a map column, through a scalar subquery with a size check."""
-    rows = small.select(key.cast("string").alias("key"), value.alias("value"))
-    return F.map_from_entries(
-        F.transform(
-            F.map_entries(scalar_lookup(rows, ["key"], ["value"])),
-            lambda e: F.struct(e["key"]["key"].alias("key"), e["value"]["value"].alias("value")),
-        )
-    )
+    return scalar_map(small, key.cast("string"), value)
 
 
 def _dataset(name: str, source: str, description: str = "") -> Column:

@@ -257,7 +257,7 @@ from (values (0,'p_partkey','bigint'),(1,'p_name','string'),(2,'p_brand','string
   (select min(p_size)::double s0, max(p_size)::double s1, min(p_retailprice) r0, max(p_retailprice) r1, count(*) n from part) a""",
         "standardize_features": f"""
 with s as (select {', '.join(f'avg({f}) m_{f}, stddev_samp({f}) s_{f}' for f in FEATURES)} from lineitem)
-select l_orderkey, l_linenumber, l_partkey, {', '.join(f'round(({f} - m_{f}) / s_{f}, 4) {f}' for f in FEATURES)} from lineitem, s""",
+select l_orderkey, l_linenumber, l_partkey, {', '.join(f'round(({f} - m_{f}) / s_{f}, 4) + 0.0 {f}' for f in FEATURES)} from lineitem, s""",
         "value_counts_by_key": "select lang, count(*) n from documents group by lang order by lang",
         "value_counts_by_freq": "select source, count(*) n from documents group by source order by n desc, source",
         "label_decode_counts": f"""

@@ -61,12 +61,11 @@ def read_text_files(spark: SparkSession, path: str, suffix: str = ".md", toleran
     broken are skipped.
     """
     files = (
-        spark.read.option("wholetext", True)
-        .option("recursiveFileLookup", True)
+        spark.read.option("recursiveFileLookup", True)
         .option("pathGlobFilter", f"*{suffix}")
         .option("ignoreCorruptFiles", tolerant)
         .option("ignoreMissingFiles", tolerant)
-        .text(path)
+        .text(path, wholetext=True)
     )
     return files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
 
