@@ -30,10 +30,13 @@ SEPARATOR_LINE = r"^[-=_*─│┌┐└┘├┤┬┴┼]+\z"
 SEPARATOR_CHARS = "-=_*"
 URL = f"https?://[^{WHITESPACE_CLASS}]+"
 WORD = f"[^{WHITESPACE_CLASS}]+"
+WORD_BREAK = f"[{WHITESPACE_CLASS}]+"
 FENCE = "```"
 BACK_TO_TOP = "back to top"
 BADGE_HOST = "img.shields.io"
 REPO_FILE = r"^(.+?)_README"
+RARE_LINE_END = r"[\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]"
+ENDS_IN_LINE_END = r"[\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]\z"
 LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x{85}\x{2028}\x{2029}]"
 
 BOX_LINE_RATIO = 0.3

@@ -90,7 +90,8 @@ def split_recursive(texts: Column, size: int, overlap: int) -> Column:
                 ]
             )
 
-    return split(texts)
+    # Marked so that the optimizer never runs the split twice for one row.
+    return split.asNondeterministic()(texts)
 
 
 def merge_starts(chunks: Column, merge_below: int, chunk_size: int) -> Column:

@@ -78,4 +78,5 @@ def embed(
                 rows.extend(np.asarray(model(texts[first : first + batch_size]), dtype=np.float32))
             yield pd.Series(rows, dtype=object)
 
-    return df.withColumn(output, encode(F.col(text)))
+    # Marked so that the optimizer never runs the model twice for one row.
+    return df.withColumn(output, encode.asNondeterministic()(F.col(text)))

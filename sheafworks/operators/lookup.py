@@ -23,13 +23,15 @@ def scalar_map(small: DataFrame, key: Column, value: Column, max_rows: int = MAX
     return entries.limit(max_rows + 1).agg(bounded.alias("entries")).scalar()
 
 
-def scalar_lookup(small: DataFrame, keys: list[str], values: list[str], max_rows: int = MAX_LOOKUP_ROWS) -> Column:
-    """The same with several key and value columns: {struct(keys): struct(values)}."""
-    return scalar_map(small, F.struct(*keys), F.struct(*values), max_rows)
+def as_local(small: DataFrame, max_rows: int = MAX_LOOKUP_ROWS) -> DataFrame:
+    """A small result, worked out once and held as a local table that is safe to broadcast.
 
-
-def look_up(lookup: Column, *keys: Column) -> Column:
-    return F.element_at(lookup, F.struct(*keys))
+    At most `max_rows` + 1 rows ever reach the driver; more than `max_rows` is an error.
+    """
+    rows = small.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        raise ValueError(f"lookup table exceeds {max_rows} rows; join it instead")
+    return small.sparkSession.createDataFrame(rows, small.schema)
 
 
 def single_row(one: DataFrame, missing: str) -> Column:

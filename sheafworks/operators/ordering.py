@@ -9,10 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from .lookup import look_up, scalar_lookup
+from .lookup import as_local
 
 HASH_BUCKETS = 65_536
 MAX_RANGE_BUCKETS = 4_096
@@ -31,7 +31,7 @@ def hash_bucket(digest: Column) -> Column:
     return F.conv(F.substring(digest, 1, 4), 16, 10).cast("int")
 
 
-def range_bucket(df: DataFrame, key: str) -> Column:
+def range_bucket(df: DataFrame, key: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> Column:
     """Order-preserving buckets of about ROWS_PER_BUCKET rows for a unique order key.
 
     The bounds come from a sample of the key column only (at most 16 keys per bucket come
@@ -39,7 +39,7 @@ def range_bucket(df: DataFrame, key: str) -> Column:
     task sees the same buckets.
     """
     total = df.count()
-    buckets = min(MAX_RANGE_BUCKETS, -(-total // ROWS_PER_BUCKET))
+    buckets = min(MAX_RANGE_BUCKETS, -(-total // rows_per_bucket))
     if buckets <= 1:
         return F.lit(0)
     fraction = min(1.0, buckets * SAMPLED_KEYS_PER_BUCKET / total)
@@ -73,43 +73,54 @@ def _bucket_starts(df: DataFrame, bucket: Column) -> DataFrame:
 
 
 def cut_point(
-    df: DataFrame, bucket: Column, order: list[Column], wanted: Callable[[Column], Column]
-) -> DataFrame:
-    """One row, one struct column `cut`: the order key of the last of the first n rows.
-
-    `wanted` gives n from the total row count. `cut` is null for n = 0. The rows are read
-    twice, but none is shuffled except the keys of the one bucket that holds the cut.
+    df: DataFrame, bucket: Column, order: dict[str, Column], wanted: Callable[[Column], Column]
+) -> Row | None:
+    """The order key of the last of the first n rows; None when n is 0.
+
+    `wanted` gives n from the total row count. Two small jobs over the key columns find
+    it: one counts buckets, one ranks the keys of the one bucket that holds the cut. One
+    row each comes back, and the caller gets a constant to compare with, so every later
+    use of the split sees the same cut and no rows are shuffled or joined for it.
     """
     starts = _bucket_starts(df, bucket)
     target = wanted(F.col("total"))
-    hit = starts.where((F.col("start") < target) & (target <= F.col("start") + F.col("rows"))).select(
-        F.struct("bucket", (target - F.col("start")).alias("offset")).alias("hit")
+    hit = (
+        starts.where((F.col("start") < target) & (target <= F.col("start") + F.col("rows")))
+        .select("bucket", (target - F.col("start")).alias("offset"))
+        .first()
     )
-    found = hit.scalar()
-    keyed = df.select(bucket.alias("bucket"), F.struct(*order).alias("key"))
-    inside = keyed.where(F.col("bucket") == found["bucket"]).select("key")
-    ranked = inside.select("key", F.row_number().over(Window.orderBy("key")).alias("place"))
-    return ranked.where(F.col("place") == found["offset"]).agg(F.max("key").alias("cut"))
+    if hit is None:
+        return None
+    keys = df.where(bucket == hit["bucket"]).select(*(c.alias(name) for name, c in order.items()))
+    place = F.row_number().over(Window.orderBy(*order))
+    return keys.withColumn("_place", place).where(F.col("_place") == hit["offset"]).drop("_place").first()
 
 
-def before_cut(cut: DataFrame, order: list[Column]) -> Column:
+def before_cut(df: DataFrame, cut: Row | None, order: dict[str, Column]) -> Column:
     """True for the first n rows in order, false for the rest."""
-    return F.coalesce(F.struct(*order) <= cut.scalar(), F.lit(False))
+    if cut is None:
+        return F.lit(False)
+    types = dict(df.select(*(c.alias(name) for name, c in order.items())).dtypes)
+    limits = {name: F.lit(cut[name]).cast(types[name]) for name in order}
+    names = list(order)
+    chosen = order[names[-1]] <= limits[names[-1]]
+    for name in reversed(names[:-1]):
+        chosen = (order[name] < limits[name]) | ((order[name] == limits[name]) & chosen)
+    return F.coalesce(chosen, F.lit(False))
 
 
 def with_position(df: DataFrame, key: str, name: str = "position", bucket: Column | None = None) -> DataFrame:
     """Adds the 0-based place of each row in the order of a unique key.
 
-    One shuffle by bucket; each bucket is ranked alone and moved by its start.
+    One shuffle by bucket; each bucket is ranked alone and moved by its start. The starts
+    (at most MAX_RANGE_BUCKETS rows, however big the table) travel to every task.
     """
     bucket = range_bucket(df, key) if bucket is None else bucket
-    starts = scalar_lookup(
-        _bucket_starts(df, bucket), ["bucket"], ["start"], max_rows=max(HASH_BUCKETS, MAX_RANGE_BUCKETS)
-    )
+    starts = as_local(_bucket_starts(df, bucket).select(F.col("bucket").alias("_bucket"), "start"), HASH_BUCKETS)
     within = F.row_number().over(Window.partitionBy("_bucket").orderBy(key))
+    ranked = df.withColumn("_bucket", bucket).withColumn("_within", within)
     return (
-        df.withColumn("_bucket", bucket)
-        .withColumn("_within", within)
-        .withColumn(name, look_up(starts, F.col("_bucket").alias("bucket"))["start"] + F.col("_within") - 1)
-        .drop("_bucket", "_within")
+        ranked.join(F.broadcast(starts), "_bucket")
+        .withColumn(name, F.col("start") + F.col("_within") - 1)
+        .select(*df.columns, name)
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .lookup import look_up, scalar_lookup
+from .lookup import as_local
 
 SKETCH_ACCURACY = 100_000
 
@@ -40,27 +40,34 @@ def describe_values(
         F.percentile_approx(v, [0.5 - spread, 0.5 + spread], SKETCH_ACCURACY).alias("bracket"),
     )
     fields = ["n", "mean", "std", "min", "max"]
-    known = scalar_lookup(stats, keys, [*fields, "bracket"])
-    of_row = look_up(known, *(F.col(k) for k in keys))
-    low, high = F.get(F.col("_s.bracket"), F.lit(0)), F.get(F.col("_s.bracket"), F.lit(1))
+    known = as_local(stats.withColumnsRenamed({k: f"_{k}" for k in keys}))
+    of_key = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    matched = long.select(*keys, v.alias("_v"))
+    if keys:
+        matched = matched.join(F.broadcast(known), of_key)
+    else:
+        only = known.first()
+        matched = matched.withColumns({f: F.lit(only[f]) for f in [*fields, "bracket"]})
+    low, high = F.get("bracket", F.lit(0)), F.get("bracket", F.lit(1))
     counted = (
-        long.select(*keys, v.alias("_v"), of_row.alias("_s"))
-        .where((F.col("_v") <= high) | (F.col("_s.n") == 0))
+        matched.where((F.col("_v") <= high) | (F.col("n") == 0))
         # Everything below the bracket falls into one null entry, which sorts first.
-        .select(*keys, F.when(F.col("_v") >= low, F.col("_v")).alias("_v"))
-        .groupBy(*keys, "_v")
+        .select(*keys, *fields, F.when(F.col("_v") >= low, F.col("_v")).alias("_v"))
+        .groupBy(*keys, *fields, "_v")
         .agg(F.count(F.lit(1)).alias("_rows"))
     )
-    upto = Window.partitionBy(*keys).orderBy(F.col("_v").asc_nulls_first())
-    placed = counted.withColumn("_upto", F.sum("_rows").over(upto)).withColumn("_s", of_row)
-    lower = F.floor((F.col("_s.n") - 1) / 2)
-    upper = F.floor(F.col("_s.n") / 2)
-    picked = placed.groupBy(*keys).agg(
-        *(F.max(F.col(f"_s.{f}")).alias(f) for f in fields),
-        F.min(F.when(F.col("_upto") > lower, F.col("_v"))).alias("_a"),
-        F.min(F.when(F.col("_upto") > upper, F.col("_v"))).alias("_b"),
+    upto = Window.partitionBy(*keys, *fields).orderBy(F.col("_v").asc_nulls_first())
+    placed = counted.withColumn("_upto", F.sum("_rows").over(upto))
+    lower, upper = F.floor((F.col("n") - 1) / 2), F.floor(F.col("n") / 2)
+    return placed.groupBy(*keys, *fields).agg(
+        (
+            (
+                F.min(F.when(F.col("_upto") > lower, F.col("_v")))
+                + F.min(F.when(F.col("_upto") > upper, F.col("_v")))
+            )
+            / 2
+        ).alias("median")
     )
-    return picked.select(*keys, *fields, ((F.col("_a") + F.col("_b")) / 2).alias("median"))
 
 
 def feature_stats(df: DataFrame, columns: list[str], population: bool = False) -> DataFrame:
@@ -143,13 +150,14 @@ def schema_profile(df: DataFrame, numeric_range: list[str] | None = None) -> Dat
 def standardize(df: DataFrame, columns: list[str], stats: DataFrame) -> DataFrame:
     """(x - mean) / std with saved statistics (one row per feature).
 
-    The statistics are a checked lookup; the data is only projected.
+    The statistics of the named columns come in as constants; the data is only projected.
     """
-    known = scalar_lookup(stats, ["feature"], ["mean", "std"])
+    rows = stats.where(F.col("feature").isin(columns)).select("feature", "mean", "std")
+    known = {row["feature"]: row for row in as_local(rows, len(columns)).collect()}
     scaled = {}
     for c in columns:
-        s = look_up(known, F.lit(c).alias("feature"))
-        scaled[c] = (F.col(f"`{c}`").cast("double") - s["mean"]) / F.nullif(s["std"], F.lit(0.0))
+        mean, std = (F.lit(known[c][f]).cast("double") for f in ("mean", "std"))
+        scaled[c] = (F.col(f"`{c}`").cast("double") - mean) / F.nullif(std, F.lit(0.0))
     return df.withColumns(scaled)
 
 

@@ -22,8 +22,8 @@ def _rounded_share(fraction: float):
 
 def _chosen(df: DataFrame, key: str, seed: int, wanted) -> Column:
     digest = hash_rank_key(key, seed)
-    order = [digest.alias("digest"), F.col(key).alias("key")]
-    return before_cut(cut_point(df, hash_bucket(digest), order, wanted), order)
+    order = {"digest": digest, "key": F.col(key)}
+    return before_cut(df, cut_point(df, hash_bucket(digest), order, wanted), order)
 
 
 def sample_exact(df: DataFrame, key: str, fraction: float, seed: int = 42, rounding: str = "floor") -> DataFrame:
@@ -58,8 +58,8 @@ def split_by_order(
     column: str = "split",
 ) -> DataFrame:
     """Marks the first floor(N*fraction) rows in key order; no shuffle of the rows."""
-    order = [F.col(key).alias("key")]
-    first = before_cut(cut_point(df, range_bucket(df, key), order, _floor_share(fraction)), order)
+    order = {"key": F.col(key)}
+    first = before_cut(df, cut_point(df, range_bucket(df, key), order, _floor_share(fraction)), order)
     return df.withColumn(column, F.when(first, names[0]).otherwise(names[1]))
 
 

@@ -20,12 +20,13 @@ SCORE_DECIMALS = 6
 
 def _unit_rows(vectors: pd.Series) -> tuple[np.ndarray, np.ndarray]:
     """Rows scaled to length 1 and a mask of the rows that have a direction."""
-    if len(vectors) == 0:
-        return np.zeros((0, 0)), np.zeros(0, dtype=bool)
-    matrix = np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
+    usable = vectors.notna().to_numpy()
+    if not usable.any():
+        return np.zeros((0, 0)), usable
+    matrix = np.stack(vectors[usable].to_list()).astype(np.float64)
     length = np.sqrt((matrix * matrix).sum(axis=1))
-    usable = length > 0
-    return matrix[usable] / length[usable, None], usable
+    usable[usable] = length > 0
+    return matrix[length > 0] / length[length > 0, None], usable
 
 
 def _top(pairs: pd.DataFrame, k: int) -> pd.DataFrame:
@@ -74,7 +75,6 @@ def topk_cosine(
     """
     c = corpus.select(F.col(corpus_id).alias("id"), F.col(corpus_vector).alias("vector"))
     q = queries.select(F.col(query_id).alias("id"), F.col(query_vector).alias("vector"))
-    c, q = (side.where(F.col("vector").isNotNull()) for side in (c, q))
     size = q.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.max(F.size("vector")), F.lit(0)).alias("dim")).first()
     id_type = c.schema["id"].dataType.simpleString()
     schema = f"query_id {q.schema['id'].dataType.simpleString()}, neighbour_id {id_type}, score double"

@@ -41,8 +41,9 @@ def union_tagged_sources(spark, sf):
 
 
 def feature_stats(spark, sf):
-    stats = profile.feature_stats(shapes.table(spark, sf, "lineitem"), FEATURES)
-    return _rounded(stats, ["mean", "std", "min", "max", "median"])
+    # Seven digits: with two decimals and 60,000 rows six would put means on exact ties.
+    stats = profile.feature_stats(shapes.lineitem(spark, sf), FEATURES)
+    return _rounded(stats, ["mean", "std", "min", "max", "median"], 7)
 
 
 def target_stats(spark, sf):
@@ -55,7 +56,7 @@ def schema_profile(spark, sf):
 
 
 def standardize_features(spark, sf):
-    lines = shapes.table(spark, sf, "lineitem")
+    lines = shapes.lineitem(spark, sf)
     scaled = profile.standardize(lines, FEATURES, profile.feature_stats(lines, FEATURES))
     return _rounded(scaled.select("l_orderkey", "l_linenumber", "l_partkey", *FEATURES), FEATURES, 4)
 
@@ -526,7 +527,7 @@ def dataset_fingerprint(spark, sf):
 
 def lineage_filter(spark, sf):
     """Two runs over the corpus in one table; the rows of one run by their lineage."""
-    docs = shapes.table(spark, sf, "documents").select(
+    docs = shapes.documents(spark, sf).select(
         "text",
         T.repo_name(shapes.file_path()).alias("source_repo"),
         T.base_name(shapes.file_path()).alias("source_file"),
@@ -561,7 +562,7 @@ def lineage_filter(spark, sf):
 
 
 def decode_payload(spark, sf):
-    docs = shapes.table(spark, sf, "documents")
+    docs = shapes.documents(spark, sf)
     payloads = docs.select("doc_id", F.base64(F.col("text").cast("binary")).alias("payload"))
     decoded = payloads.select("doc_id", T.decode_base64(F.col("payload")).alias("text"))
     return decoded.where(F.col("text").isNotNull() & (F.col("text") != ""))

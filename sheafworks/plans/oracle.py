@@ -244,8 +244,8 @@ select c_name name, c_nationkey nationkey, c_acctbal acctbal, 0 source_type from
 union all select s_name, s_nationkey, s_acctbal, 1 from supplier""",
         "feature_stats": f"""
 with s as (unpivot (select {', '.join(FEATURES)} from lineitem) on {', '.join(FEATURES)} into name feature value v)
-select feature, count(*) n, round(avg(v), 6) mean, round(stddev_samp(v), 6) std, round(min(v), 6) min,
-  round(max(v), 6) max, round(median(v), 6) median from s group by feature""",
+select feature, count(*) n, round(avg(v), 7) mean, round(stddev_samp(v), 7) std, round(min(v), 7) min,
+  round(max(v), 7) max, round(median(v), 7) median from s group by feature""",
         "target_stats": """
 select 'l_linenumber' target, count(*) n, round(avg(l_linenumber), 6) mean, round(stddev_samp(l_linenumber), 6) std,
   min(l_linenumber)::bigint min, max(l_linenumber)::bigint max, round(median(l_linenumber), 6) median from lineitem""",

@@ -40,6 +40,10 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
     return spread(table(spark, sf, "documents"), "doc_id")
 
 
+def lineitem(spark: SparkSession, sf: str) -> DataFrame:
+    return spread(table(spark, sf, "lineitem"), "l_orderkey")
+
+
 def landed_at() -> Column:
     """One file per minute."""
     return F.expr("timestamp_ntz'2025-01-01 00:00:00' + make_dt_interval(0, 0, cast(doc_id as int))")
