@@ -32,14 +32,16 @@ def hash_bucket(digest: Column) -> Column:
 
 
 def range_bucket(df: DataFrame, key: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> Column:
-    """Order-preserving buckets of about ROWS_PER_BUCKET rows for a unique order key.
+    """Order-preserving buckets of at most about ROWS_PER_BUCKET rows for a unique order key.
 
     The bounds come from a sample of the key column only (at most 16 keys per bucket come
     to the driver) and are fixed in the plan as literals, so every pass and every retried
     task sees the same buckets.
     """
     total = df.count()
-    buckets = min(MAX_RANGE_BUCKETS, -(-total // rows_per_bucket))
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    useful = max(-(-total // rows_per_bucket), min(cores, total // SAMPLED_KEYS_PER_BUCKET))
+    buckets = min(MAX_RANGE_BUCKETS, useful)
     if buckets <= 1:
         return F.lit(0)
     fraction = min(1.0, buckets * SAMPLED_KEYS_PER_BUCKET / total)

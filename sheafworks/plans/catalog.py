@@ -195,8 +195,8 @@ def scan_csv_roundtrip(spark, sf):
     docs = shapes.table(spark, sf, "documents")
     first, second = scratch_path(spark, "semicolon"), scratch_path(spark, "comma")
     writers.write_csv(docs, first, sep=";")
-    writers.write_csv(readers.read_csv(spark, first, docs.schema, sep=";"), second)
-    return readers.read_csv(spark, second, docs.schema)
+    writers.write_csv(readers.read_csv(spark, first, docs.schema, sep=";", multi_line=True), second)
+    return readers.read_csv(spark, second, docs.schema, multi_line=True)
 
 
 def scan_json_roundtrip(spark, sf):

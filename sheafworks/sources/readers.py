@@ -13,13 +13,19 @@ CAPTION_SCHEMA = "image string, caption string"
 CHAT_SCHEMA = "image string, conversations array<struct<`from`: string, value: string>>"
 
 
-def read_csv(spark: SparkSession, path: str, schema: str | T.StructType, sep: str = ",") -> DataFrame:
-    """A CSV table with a header row; quotes and line breaks inside quotes are understood."""
+def read_csv(
+    spark: SparkSession, path: str, schema: str | T.StructType, sep: str = ",", multi_line: bool = False
+) -> DataFrame:
+    """A CSV table with a header row.
+
+    Big files are split among tasks. `multi_line` is for text with line breaks inside
+    quotes; then a file is one task, so such data should come in files of bounded size.
+    """
     return (
         spark.read.schema(schema)
         .option("header", True)
         .option("sep", sep)
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("quote", '"')
         .option("escape", '"')
         .csv(path)
@@ -98,7 +104,7 @@ def read_image_sizes(spark: SparkSession, path: str, pattern: str = "*") -> Data
 
 def read_questions(spark: SparkSession, path: str) -> DataFrame:
     """The hand-kept evaluation questions."""
-    return read_csv(spark, path, QUESTION_SCHEMA)
+    return read_csv(spark, path, QUESTION_SCHEMA, multi_line=True)
 
 
 def rejects(df: DataFrame) -> Column:

@@ -7,8 +7,16 @@ from pyspark.sql import functions as F
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite") -> None:
-    """Header, no index column; text that looks like an empty value keeps its quotes."""
-    df.write.mode(mode).option("header", True).option("sep", sep).option("escape", '"').csv(path)
+    """Header, no index column, text exactly as it is (Spark would trim it)."""
+    (
+        df.write.mode(mode)
+        .option("header", True)
+        .option("sep", sep)
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
