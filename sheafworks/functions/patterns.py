@@ -22,7 +22,7 @@ HTML_TAG = r"<[^>]+>"
 MARKDOWN_IMAGE = r"!\[[^\]]*\]\([^)]+\)"
 MARKDOWN_LINK = r"\[([^\]]+)\]\([^)]+\)"
 BLANK_RUN = r"\n{3,}"
-SPACE_RUN = r"[ \t]+"
+SPACE_RUN = r"[ \t]{2,}|\t"
 BOX_RUN = "[┌┐└┘├┤┬┴┼│─═║╔╗╚╝╠╣╦╩╬▌▐█▀▄]+"
 # A range that holds all box-drawing characters above.
 BOX_BLOCK = r"[\x{2500}-\x{2590}]"

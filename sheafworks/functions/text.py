@@ -46,6 +46,7 @@ def strip_markup(text: Column) -> Column:
 
 
 def collapse_spaces(line: Column) -> Column:
+    """Runs of spaces and tabs become one space; single spaces are not touched."""
     return F.regexp_replace(line, P.SPACE_RUN, " ")
 
 

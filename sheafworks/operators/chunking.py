@@ -177,7 +177,11 @@ def chunk_arrays(df: DataFrame, text: str, settings: ChunkSettings) -> DataFrame
             return T.let(
                 T.strip(T.strip_tags(section["h1"])),
                 lambda h1: F.transform(
-                    F.filter(pieces_of(section, i), quiet), lambda piece: with_headers(h1, section, piece)
+                    # A section that fits is its own only piece and has been judged already.
+                    F.when(
+                        F.length(section["text"]) > size, F.filter(pieces_of(section, i), quiet)
+                    ).otherwise(F.array(section["text"])),
+                    lambda piece: with_headers(h1, section, piece),
                 ),
             )
 

@@ -17,6 +17,56 @@ def melt(df: DataFrame, columns: list[str], keep: list[str] | None = None, name:
     return wide.unpivot(ids, columns, name, "value")
 
 
+_FIELDS = ["n", "mean", "std", "min", "max"]
+_KNOWN = "n bigint, mean double, std double, min double, max double, bracket array<double>"
+
+
+def _number(column: Column) -> Column:
+    """The value as double; NaN counts as missing."""
+    v = column.cast("double")
+    return F.when(~F.isnan(v), v)
+
+
+def _first_pass(v: Column, population: bool) -> dict[str, Column]:
+    """All statistics but the median, for which a sketch of fixed size gives a bracket."""
+    spread = 8.0 / SKETCH_ACCURACY
+    return {
+        "n": F.count(v),
+        "mean": F.avg(v),
+        "std": F.stddev_pop(v) if population else F.stddev_samp(v),
+        "min": F.min(v),
+        "max": F.max(v),
+        "bracket": F.percentile_approx(v, [0.5 - spread, 0.5 + spread], SKETCH_ACCURACY),
+    }
+
+
+def _with_median(long: DataFrame, keys: list[str], known: DataFrame) -> DataFrame:
+    """Reads the exact median off counts: what lies below the bracket and each value in it."""
+    renamed = known.withColumnsRenamed({k: f"_{k}" for k in keys})
+
+    def attach(df: DataFrame) -> DataFrame:
+        if not keys:
+            only = renamed.first()
+            return df.withColumns({f: F.lit(only[f]) for f in [*_FIELDS, "bracket"]})
+        return df.join(F.broadcast(renamed), [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+
+    low, high = F.get("bracket", F.lit(0)), F.get("bracket", F.lit(1))
+    counted = (
+        attach(long)
+        .where((F.col("_v") <= high) | (F.col("n") == 0))
+        # Everything below the bracket falls into one null entry, which sorts first.
+        .select(*keys, F.when(F.col("_v") >= low, F.col("_v")).alias("_v"))
+        .groupBy(*keys, "_v")
+        .agg(F.count(F.lit(1)).alias("_rows"))
+    )
+    upto = Window.partitionBy(*keys).orderBy(F.col("_v").asc_nulls_first())
+    placed = attach(counted.withColumn("_upto", F.sum("_rows").over(upto)))
+    lower, upper = F.floor((F.col("n") - 1) / 2), F.floor(F.col("n") / 2)
+    first = F.min(F.when(F.col("_upto") > lower, F.col("_v")))
+    second = F.min(F.when(F.col("_upto") > upper, F.col("_v")))
+    return placed.groupBy(*keys, *_FIELDS).agg(((first + second) / 2).alias("median"))
+
+
 def describe_values(
     long: DataFrame, keys: list[str], value: str = "value", population: bool = False
 ) -> DataFrame:
@@ -28,51 +78,28 @@ def describe_values(
     100,000), and the median is read off those counts. Both passes aggregate before they
     shuffle. `std` is the sample form unless `population` is set. Nulls are ignored.
     """
-    v = F.col(value).cast("double")
-    spread = 8.0 / SKETCH_ACCURACY
-    std = F.stddev_pop(v) if population else F.stddev_samp(v)
-    stats = long.groupBy(*keys).agg(
-        F.count(v).alias("n"),
-        F.avg(v).alias("mean"),
-        std.alias("std"),
-        F.min(v).alias("min"),
-        F.max(v).alias("max"),
-        F.percentile_approx(v, [0.5 - spread, 0.5 + spread], SKETCH_ACCURACY).alias("bracket"),
-    )
-    fields = ["n", "mean", "std", "min", "max"]
-    known = as_local(stats.withColumnsRenamed({k: f"_{k}" for k in keys}))
-    of_key = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    matched = long.select(*keys, v.alias("_v"))
-    if keys:
-        matched = matched.join(F.broadcast(known), of_key)
-    else:
-        only = known.first()
-        matched = matched.withColumns({f: F.lit(only[f]) for f in [*fields, "bracket"]})
-    low, high = F.get("bracket", F.lit(0)), F.get("bracket", F.lit(1))
-    counted = (
-        matched.where((F.col("_v") <= high) | (F.col("n") == 0))
-        # Everything below the bracket falls into one null entry, which sorts first.
-        .select(*keys, *fields, F.when(F.col("_v") >= low, F.col("_v")).alias("_v"))
-        .groupBy(*keys, *fields, "_v")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-    )
-    upto = Window.partitionBy(*keys, *fields).orderBy(F.col("_v").asc_nulls_first())
-    placed = counted.withColumn("_upto", F.sum("_rows").over(upto))
-    lower, upper = F.floor((F.col("n") - 1) / 2), F.floor(F.col("n") / 2)
-    return placed.groupBy(*keys, *fields).agg(
-        (
-            (
-                F.min(F.when(F.col("_upto") > lower, F.col("_v")))
-                + F.min(F.when(F.col("_upto") > upper, F.col("_v")))
-            )
-            / 2
-        ).alias("median")
-    )
+    shaped = long.select(*keys, _number(F.col(value)).alias("_v"))
+    parts = _first_pass(F.col("_v"), population)
+    known = as_local(shaped.groupBy(*keys).agg(*(c.alias(name) for name, c in parts.items())))
+    return _with_median(shaped, keys, known)
 
 
 def feature_stats(df: DataFrame, columns: list[str], population: bool = False) -> DataFrame:
-    """One row per column: mean, std, min, max, median."""
-    return describe_values(melt(df, columns), ["feature"], population=population)
+    """One row per column: mean, std, min, max, median.
+
+    The first pass keeps the columns side by side; only the median counts need them stacked.
+    """
+    wide = df.select(*(_number(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(columns)))
+    parts = {
+        f"{name}{i}": part
+        for i in range(len(columns))
+        for name, part in _first_pass(F.col(f"c{i}"), population).items()
+    }
+    row = wide.agg(*(part.alias(name) for name, part in parts.items())).first()
+    rows = [(c, *(row[f"{f}{i}"] for f in [*_FIELDS, "bracket"])) for i, c in enumerate(columns)]
+    known = df.sparkSession.createDataFrame(rows, f"feature string, {_KNOWN}")
+    long = melt(df, columns).select("feature", _number(F.col("value")).alias("_v"))
+    return _with_median(long, ["feature"], known)
 
 
 def describe_counts(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
@@ -87,7 +114,8 @@ def describe_counts(df: DataFrame, keys: list[str], columns: list[str]) -> DataF
     exact = "decimal(38,0)"
     value, rows = F.col("value").cast("decimal(19,0)"), F.col("rows").cast("decimal(18,0)")
     total = F.sum((value * rows).cast(exact))
-    squares = F.sum((F.col("value").cast("decimal(12,0)") * F.col("value").cast("decimal(12,0)") * F.col("rows").cast("decimal(13,0)")).cast(exact))
+    square = F.col("value").cast("decimal(12,0)") * F.col("value").cast("decimal(12,0)")
+    squares = F.sum((square * F.col("rows").cast("decimal(13,0)")).cast(exact))
     n = F.sum("rows")
     sums = counts.groupBy(*keys, "metric").agg(
         n.alias("n"),

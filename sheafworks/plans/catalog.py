@@ -329,13 +329,9 @@ def clean_lines(spark, sf):
     lines = explode_array(docs, ["doc_id"], source, "line_no", "_line")
     line = F.col("_line.line")
     as_is = F.col("_line.is_fence") | F.col("_line.in_code")
-    kept = as_is | ~T.is_dropped_line(line)
-    return lines.select(
-        "doc_id",
-        "line_no",
-        kept.alias("kept"),
-        F.when(as_is, T.rstrip(line)).when(kept, T.tidy_line(line)).otherwise("").alias("line"),
-    )
+    judged = lines.withColumn("kept", as_is | ~T.is_dropped_line(line))
+    shown = F.when(as_is, T.rstrip(line)).when(F.col("kept"), T.tidy_line(line)).otherwise("")
+    return judged.select("doc_id", "line_no", "kept", shown.alias("line"))
 
 
 def clean_text(spark, sf):
