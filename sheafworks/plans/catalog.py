@@ -139,6 +139,100 @@ def metadata_json(spark, sf):
     )
 
 
+def _parts(document: DataFrame, **paths: str) -> DataFrame:
+    """Values of a metadata document by JSON path."""
+    return document.select(*(F.get_json_object("metadata", path).alias(name) for name, path in paths.items()))
+
+
+def table_metadata(spark, sf):
+    table = union_tagged_sources(spark, sf).drop("name")
+    names = {0: "customer", 1: "supplier"}
+    document = datasets.table_metadata(table, "accounts", "test tables", "nationkey", "source_type", names)
+    found = _parts(
+        document,
+        num_samples="$.summary.num_samples",
+        num_features="$.summary.num_features",
+        customers="$.summary.source_type_distribution.customer",
+        suppliers="$.summary.source_type_distribution.supplier",
+        nation_7="$.summary.nationkey_distribution.7",
+        target_min="$.schema.target.range[0]",
+        target_max="$.schema.target.range[1]",
+        median="$.statistics.features.acctbal.median",
+    )
+    whole = [c for c in found.columns if c != "median"]
+    return found.select(*(F.col(c).cast("bigint").alias(c) for c in whole), F.round(F.col("median").cast("double"), 6).alias("median"))
+
+
+def tensor_metadata(spark, sf):
+    """Vectors as 8x8 byte images: shape, dense class counts and pixel statistics per split."""
+    pixels = F.transform("embedding", lambda x: (F.floor(x.cast("double") * 127) + 128).cast("smallint"))
+    image = T.let(pixels, lambda p: F.transform(F.sequence(F.lit(0), F.lit(7)), lambda r: F.slice(p, r * 8 + 1, F.lit(8))))
+    rows = shapes.table(spark, sf, "embeddings").select("vec_id", image.alias("image"), "label")
+    split = sampling.split_shuffled(rows, "vec_id", 0.8)
+    document = datasets.tensor_metadata(split, "vectors", "test tables", list(shapes.CLASS_NAMES))
+    rows = []
+    for name in ("train", "val"):
+        found = _parts(
+            document,
+            rows="$.schema.shape[0]",
+            num_samples=f"$.splits.{name}.num_samples",
+            three=f"$.splits.{name}.class_distribution.three",
+            eleven=f"$.splits.{name}.class_distribution.eleven",
+            mean=f"$.metrics.{name}.pixel_mean",
+            std=f"$.metrics.{name}.pixel_std",
+            median=f"$.metrics.{name}.pixel_median",
+        )
+        whole = ("rows", "num_samples", "three", "eleven")
+        rows.append(
+            found.select(
+                F.lit(name).alias("split"),
+                *(F.col(c).cast("bigint").alias(c) for c in whole),
+                *(F.round(F.col(c).cast("double"), 8).alias(c) for c in ("mean", "std", "median")),
+            )
+        )
+    return rows[0].unionByName(rows[1])
+
+
+def caption_metadata(spark, sf):
+    prompt = chat.select_prompt(shapes.prompts(spark), shapes.PROMPT_NAME, 3)
+    images = shapes.images(spark, sf)
+    rows = datasets.caption_chat(shapes.captions(spark, sf), images, prompt, "doc_id", "radiology")
+    sizes = rows.select("image", "width", "height")
+    document = datasets.caption_metadata(rows.drop("width", "height"), sizes, prompt, "captions", "test tables")
+    out = []
+    for name in ("train", "test"):
+        found = _parts(
+            document,
+            prompt_version="$.prompt.prompt_version",
+            num_samples=f"$.splits.{name}.num_samples",
+            caption_length_mean=f"$.metrics.{name}.caption_length_mean",
+            caption_length_max=f"$.metrics.{name}.caption_length_max",
+            image_width_mean=f"$.metrics.{name}.image_width_mean",
+        )
+        whole = ("prompt_version", "num_samples", "caption_length_max")
+        out.append(
+            found.select(
+                F.lit(name).alias("split"),
+                *(F.col(c).cast("bigint" if c in whole else "double").alias(c) for c in found.columns),
+            )
+        )
+    return out[0].unionByName(out[1])
+
+
+def corpus_metadata(spark, sf):
+    found = _parts(
+        datasets.corpus_metadata(shapes.markdown(spark, sf), LINEAGE, WINDOW),
+        source_data_version="$.source_data_version",
+        chunk_size="$.chunk_size",
+        total_files="$.statistics.total_files",
+        total_repositories="$.statistics.total_repositories",
+        total_size_bytes="$.statistics.total_size_bytes",
+        average_lines="$.statistics.average_lines",
+    )
+    kinds = {"source_data_version": "string", "average_lines": "double"}
+    return found.select(*(F.col(c).cast(kinds.get(c, "bigint")).alias(c) for c in found.columns))
+
+
 def array_scale_stats(spark, sf):
     split = sampling.split_shuffled(shapes.table(spark, sf, "embeddings"), "vec_id", 0.8)
     stats = profile.array_stats(split, profile.scale_elements("embedding", 255.0), ["split"])
@@ -628,6 +722,10 @@ _QUERIES: tuple[Query, ...] = (
     distinct_sources,
     distinct_labels_union,
     metadata_json,
+    table_metadata,
+    tensor_metadata,
+    caption_metadata,
+    corpus_metadata,
     array_scale_stats,
     tensor_shape_profile,
     tensor_from_bytes,

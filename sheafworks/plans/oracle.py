@@ -279,6 +279,26 @@ lc as (select split, string_agg(lang || '=' || n, ',' order by lang) label_distr
 select split, count(*) num_samples, any_value(label_distribution) label_distribution,
   max(length(text)) char_length_max, min(words) word_count_min, round(avg(length(text)), 6) char_length_mean
 from d join lc using (split) group by split""",
+        "table_metadata": """
+with t as (select c_nationkey k, c_acctbal b, 0 s from customer union all select s_nationkey, s_acctbal, 1 from supplier)
+select count(*) num_samples, 2 num_features, count(*) filter (s = 0) customers, count(*) filter (s = 1) suppliers,
+  nullif(count(*) filter (k = 7), 0) nation_7, min(k) target_min, max(k) target_max, round(median(b), 6) median from t""",
+        "tensor_metadata": f"""
+with e as (select * from {_split('embeddings', 'vec_id')}),
+p as (select split, (floor(unnest(embedding)::double * 127) + 128) / 255.0::double v from e),
+s as (select split, avg(v) m, stddev_pop(v) d, median(v) q from p group by split)
+select split, 8 as "rows", count(*) num_samples, count(*) filter (label = 3) three, 0 eleven, round(any_value(m), 8) mean,
+  round(any_value(d), 8) std, round(any_value(q), 8) median from e join s using (split) group by split""",
+        "caption_metadata": f"""
+with p as (select * from {_split_in_order('documents', 'doc_id')} join labels using (doc_id)),
+r as (select *, row_number() over (partition by split order by doc_id) rn from p)
+select split, 3 prompt_version, count(*) num_samples, round(avg({_count('text', P.WORD)}), 2) caption_length_mean,
+  max({_count('text', P.WORD)}) caption_length_max, round(avg(case when rn <= 100 then 256 + doc_id % 512 end), 2) image_width_mean
+from r group by split""",
+        "corpus_metadata": f"""
+with {MARKDOWN}
+select 'documents-v1.0.0' source_data_version, 800 chunk_size, count(*) total_files, count(distinct source) total_repositories,
+  sum(strlen(text))::bigint total_size_bytes, round(sum({_lines('text')}) / count(*), 2) average_lines from md""",
         "array_scale_stats": f"""
 with s as (select split, unnest(embedding)::double / 255 v from {_split('embeddings', 'vec_id')})
 select split, count(*) n, round(avg(v), 10) mean, round(stddev_pop(v), 10) std, round(min(v), 10) min,
