@@ -111,7 +111,9 @@ def sections(text: Column) -> Column:
         return F.replace(piece, F.lit(_KEPT), F.lit(_MARK))
 
     def title(piece: Column, level: int, i: Column) -> Column:
-        line = F.regexp_extract(piece, rf"^\n#{{{level}}}[ \t]+((?:[^\n{_MARK}]|{_KEPT})*)", 1)
+        # Possessive and unrolled: a long header line must not use up the regex stack.
+        plain = rf"[^\n{_MARK}]*+"
+        line = F.regexp_extract(piece, rf"^\n#{{{level}}}[ \t]+({plain}(?:{_KEPT}{plain})*+)", 1)
         return F.when(i > 0, T.strip(restore(line))).otherwise(F.lit(""))
 
     def by_h3(piece: Column, h1: Column, h2: Column) -> Column:

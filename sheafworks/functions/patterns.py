@@ -44,6 +44,9 @@ MIN_CHUNK_SIZE = 50
 MAX_NOISE_RATIO = 0.3
 MIN_NON_SEPARATOR = 20
 MAX_URL_RATIO = 0.6
+ENOUGH_LETTERS = (
+    rf"\A(?:[-=_*{WHITESPACE_CLASS}]*+[^-=_*{WHITESPACE_CLASS}]){{{MIN_NON_SEPARATOR}}}"
+)
 CHUNK_SIZE = 800
 CHUNK_OVERLAP = 100
 MERGE_BELOW = 200

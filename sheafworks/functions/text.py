@@ -120,12 +120,12 @@ def noise_reasons(
 def _noise_reasons(text: Column, bare: Column, min_size: int, max_ratio: float) -> dict[str, Column]:
     size = F.length(bare)
     runs = box_runs(text)
-    letters = F.length(F.translate(bare, P.SEPARATOR_CHARS + P.WHITESPACE, ""))
     return {
         "too_short": size < min_size,
         "box_heavy": (runs > 0) & F.coalesce(runs / F.nullif(size, F.lit(0)) > max_ratio, F.lit(False)),
         "table_row": bare.startswith("|") & bare.endswith("|") & ~bare.contains("\n"),
-        "separator_only": letters < P.MIN_NON_SEPARATOR,
+        # Looks for the 20th character that is neither separator nor space, and stops there.
+        "separator_only": ~bare.rlike(P.ENOUGH_LETTERS),
         "mostly_urls": url_chars(bare) > size * F.lit(P.MAX_URL_RATIO),
     }
 

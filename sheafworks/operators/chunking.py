@@ -33,11 +33,13 @@ def split_window(text: Column, size: int, overlap: int) -> Column:
     A text that fits is one piece. A last piece that its predecessor already covers is
     not made.
     """
-    step = size - overlap
-    last = F.greatest(F.length(text) - overlap - 1, F.lit(0))
-    starts = F.sequence(F.lit(0), last, F.lit(step))
-    pieces = F.transform(starts, lambda p: F.substr(text, p + 1, F.lit(size)))
-    return F.when(F.length(text) > size, pieces).otherwise(F.array(text))
+    # One pass over the text: each match looks ahead over a whole piece and moves on by a
+    # step. Cutting by position would count characters from the start for every piece.
+    pattern = rf"(?s)(?=(.{{1,{size}}})).{{1,{size - overlap}}}"
+    pieces = F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
+    return F.when(
+        F.length(text) > size, F.filter(pieces, lambda piece: F.length(piece) > overlap)
+    ).otherwise(F.array(text))
 
 
 def _split_recursive(text: str, size: int, overlap: int, separators: tuple[str, ...]) -> list[str]:

@@ -25,6 +25,7 @@ def frame(spark, texts):
 
 def test_window_pieces_cover_and_overlap(value):
     texts = ["", "a" * 800, "b" * 801, "c" * 1500, "d" * 1501, "".join(chr(97 + i % 26) for i in range(5000))]
+    texts += ["é😀\n" * 900, "x" * 1400 + "y" * 100, "x" * 1400 + "y" * 101]
     for text, pieces in zip(texts, value(lambda c: C.split_window(c, 800, 100), texts)):
         assert all(len(p) <= 800 for p in pieces)
         assert pieces[0] + "".join(p[100:] for p in pieces[1:]) == text
@@ -107,3 +108,12 @@ def test_chunking_is_narrow(spark):
     assert "Exchange" not in native and "Python" not in native
     recursive = plan_of(C.chunk_documents(df, "k"))
     assert "Exchange" not in recursive and recursive.count("ArrowEvalPython") == 1
+
+
+def test_a_very_long_document(spark):
+    section = "".join(LONG % i for i in range(40_000))
+    many = "\n".join(f"## part {i}\n" + LONG * 2 for i in range(5_000))
+    for mode in ("window", "recursive"):
+        settings = C.ChunkSettings(size_split=mode)
+        rows = C.chunk_documents(frame(spark, [section, many]), "k", settings=settings).collect()
+        assert len(rows) > 8_000

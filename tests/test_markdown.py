@@ -82,3 +82,12 @@ def test_markup_in_code_can_stay(value):
     text = ["a <b>\n```\nx <y> z\n```"]
     assert value(M.clean_text, text) == ["a\n```\nx  z\n```"]
     assert value(lambda c: M.clean_text(c, markup_in_code=False), text) == ["a\n```\nx <y> z\n```"]
+
+
+def test_long_lines_and_long_documents(value):
+    header = "# " + "h" * 200_000 + "\ufdd0" * 50
+    many = "\n".join(f"## part {i}\n" + ("word " * 20) + ("\n```\n# code\n```" if i % 3 == 0 else "") for i in range(20_000))
+    (one,), (rows,) = value(M.sections, [header]), value(lambda c: M.sections(M.clean_text(c)), [many])
+    assert one[0]["h1"] == header[2:] and one[0]["text"] == header
+    assert len(rows) == 20_000 and rows[-1]["h2"] == "part 19999"
+    assert "\n".join(r["text"] for r in rows).count("# code") == 6667
