@@ -102,11 +102,13 @@ def feature_stats(df: DataFrame, columns: list[str], population: bool = False) -
     return _with_median(long, ["feature"], known)
 
 
-def describe_counts(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
-    """The same statistics for whole numbers with few distinct values (lengths, counts).
+def describe_counts(
+    df: DataFrame, keys: list[str], columns: list[str], population: bool = False
+) -> DataFrame:
+    """The same statistics for whole numbers with few distinct values (lengths, counts, pixels).
 
     Values are counted first, so what is shuffled is one row per distinct value, and all
-    statistics, the median included, come from those counts.
+    statistics, the median included, come from those counts in a single scan.
     """
     shaped = df.select(*keys, *(F.col(c).cast("bigint").alias(c) for c in columns))
     long = shaped.unpivot([F.col(k) for k in keys], columns, "metric", "value")
@@ -126,12 +128,14 @@ def describe_counts(df: DataFrame, keys: list[str], columns: list[str]) -> DataF
         F.percentile("value", F.lit(0.5), F.col("rows")).alias("median"),
     )
     nd, td, sd = (F.col(c).cast("double") for c in ("n", "total", "squares"))
+    spread = F.greatest(sd - td * td / nd, F.lit(0.0))
+    std = F.sqrt(spread / nd) if population else F.when(F.col("n") > 1, F.sqrt(spread / (nd - 1)))
     return sums.select(
         *keys,
         "metric",
         "n",
         (td / nd).alias("mean"),
-        F.when(F.col("n") > 1, F.sqrt((sd - td * td / nd) / (nd - 1))).alias("std"),
+        std.alias("std"),
         "min",
         "max",
         "median",
@@ -197,7 +201,8 @@ def scale_elements(array: str | Column, divisor: float) -> Column:
 
 def array_stats(df: DataFrame, array: Column, keys: list[str]) -> DataFrame:
     """Statistics over all elements of all arrays; the population form of std."""
-    elements = df.select(*keys, F.explode(array).alias("value"))
+    # The outer form: the plain one would have the array worked out twice.
+    elements = df.select(*keys, F.explode_outer(array).alias("value"))
     return describe_values(elements, keys, population=True)
 
 

@@ -175,12 +175,12 @@ def tensor_metadata(
             ).alias("class_distribution"),
         )
     )
-    # Pixels are whole numbers, so their value counts carry every statistic.
-    pixels = df.select("split", F.explode(F.flatten(image)).alias("pixel"))
-    stats = profile.describe_values(
-        pixels.select("split", (F.col("pixel") / F.lit(255.0)).alias("value")), ["split"], population=True
-    )
-    numbers = F.struct(*(F.col(m).alias(f"pixel_{m}") for m in ("mean", "std", "min", "max", "median")))
+    # Pixels are whole numbers of 256 values, so their counts carry every statistic.
+    pixels = df.select("split", F.explode_outer(F.flatten(image)).alias("pixel"))
+    measures = ("mean", "std", "min", "max", "median")
+    stats = profile.describe_counts(pixels, ["split"], ["pixel"], population=True)
+    stats = stats.select("split", *((F.col(m) / F.lit(255.0)).alias(m) for m in measures))
+    numbers = F.struct(*(F.col(m).alias(f"pixel_{m}") for m in measures))
     shape = single_row(
         df.agg(F.max(F.size(image)).alias("rows"), F.max(F.size(F.get(F.col(image), F.lit(0)))).alias("cols")), "no images"
     )
