@@ -28,8 +28,8 @@ def as_local(small: DataFrame, max_rows: int = MAX_LOOKUP_ROWS) -> DataFrame:
 
     At most `max_rows` + 1 rows ever reach the driver; more than `max_rows` is an error.
     """
-    rows = small.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
+    rows = small.limit(max_rows + 1).toArrow()
+    if rows.num_rows > max_rows:
         raise ValueError(f"lookup table exceeds {max_rows} rows; join it instead")
     return small.sparkSession.createDataFrame(rows, small.schema)
 
