@@ -5,9 +5,9 @@
 2. A set that has a partner of Jaccard similarity t shares at least t of its own n-grams with it.
    A merged count-min sketch (never too low) tells which n-grams may be in another set; classes
    with fewer than t shared ones can have no partner and leave here.
-3. The sets left meet through the smallest (1 - t) of their hashes: two similar sets have at
-   least one of these in common. Sets joined by such hashes, directly or through others, are a
-   cluster; there is no link between clusters.
+3. The sets left meet through the first (1 - t) of their n-grams, rarest first: two similar sets
+   have at least one of these in common. Sets joined by such n-grams, directly or through others,
+   are a cluster; there is no link between clusters.
 4. Sets of a cluster are compared inside tasks of bounded size with signature trees: a leaf holds
    a set's hashed bitmap and size, an inner node the OR of its children and their range of sizes.
    Two trees are walked at once; a pair of nodes is left when sizes are too far apart, when the
@@ -30,7 +30,7 @@ from sheafworks.session import scratch_path
 
 from .common import Words, join_hashes, mix64, slices, text_of, window_hashes, write_once
 from .components import connected_components
-from .sketch import build, maybe_repeated
+from .sketch import build, build_counts, estimated, maybe_repeated
 
 #: Sets in one block of a cluster; a task holds two blocks.
 BLOCK = 2048
@@ -39,6 +39,8 @@ BITMAP_BITS = 4096
 #: Pairs looked at together while walking the trees.
 FRONT = 2048
 MAX_BITS = 31
+#: The largest sketch of counts: 2^26 cells, 64 MB.
+MAX_COUNT_BITS = 26
 
 
 def shingle_sets(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -112,17 +114,29 @@ def _shared_sets(size: int, percent: int, bits: int, sketch):
     return run
 
 
-def _leading(percent: int):
-    """The smallest hashes of each set, as many as its partner may lack, and one more."""
+def _all_grams(batch: pa.RecordBatch) -> np.ndarray:
+    held = [np.frombuffer(g.as_buffer(), np.uint64) for g in batch.column("grams")]
+    return np.concatenate(held) if held else np.empty(0, np.uint64)
+
+
+def _leading(percent: int, bits: int, counts):
+    """The first n-grams of each set, as many as a partner may lack and one more, rarest first.
+
+    Rare means a low estimated count among the sets; any order is right as long as it is the same
+    for all sets. An n-gram whose estimate is 1 is in no other set and is not handed on.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        np.seterr(over="ignore")
         for batch in batches:
             nodes, grams = [], []
             for node, held in zip(batch.column("node"), batch.column("grams"), strict=True):
-                own = np.frombuffer(held.as_buffer(), np.int64)
-                lead = len(own) - -(-percent * len(own) // 100) + 1
-                nodes += [node.as_py()] * lead
-                grams.append(own[:lead])
+                own = np.frombuffer(held.as_buffer(), np.uint64)
+                often = estimated(own, counts.value, bits)
+                lead = np.lexsort((own, often))[: len(own) - -(-percent * len(own) // 100) + 1]
+                lead = lead[often[lead] > 1]
+                nodes += [node.as_py()] * len(lead)
+                grams.append(own[lead].view(np.int64))
             flat = np.concatenate(grams) if grams else np.empty(0, np.int64)
             yield pa.record_batch([pa.array(nodes, pa.binary()), pa.array(flat)], ["node", "gram"])
 
@@ -264,7 +278,11 @@ def linked_classes(documents: DataFrame, size: int = 5, percent: int = 80, block
     shared = texts.mapInArrow(_shared_sets(size, percent, bits, sketch), "node binary, grams binary")
     sets = write_once(shared.dropDuplicates(["node"]), scratch_path(spark, "sets"))
 
-    lead = sets.mapInArrow(_leading(percent), "node binary, gram long")
+    total = sets.agg(F.sum(F.length("grams"))).first()[0] or 0
+    bits = min(MAX_COUNT_BITS, max(10, math.ceil(math.log2(total / 2 + 1))))
+    # At most 64 MB, whatever the data.
+    counts = spark.sparkContext.broadcast(build_counts(sets.select("grams"), _all_grams, bits))
+    lead = sets.mapInArrow(_leading(percent, bits, counts), "node binary, gram long")
     hubs = lead.groupBy("gram").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
     meets = lead.join(hubs, "gram").select(F.col("node").alias("a"), F.col("hub").alias("b"))
     clusters = connected_components(meets).withColumnRenamed("root", "cluster")

@@ -1,7 +1,7 @@
-"""A count-min sketch of 64-bit hashes, built in parts and merged: which hashes may repeat?
+"""Count-min sketches of 64-bit hashes, built in parts and merged. Estimates are never too low.
 
-Only "once" and "twice or more" matter, so a cell counts to two and the merged sketch is one bit
-for each cell and row. Estimates are never too low.
+Where only "once" and "twice or more" matter (`build`), the merged sketch is one bit for each cell
+and row. `build_counts` keeps one row of cells that count to 255.
 """
 
 from __future__ import annotations
@@ -98,6 +98,72 @@ def build(
     return [bytes(row) for row in rows]
 
 
+def _count_part(hashes_of: Callable[[pa.RecordBatch], np.ndarray], bits: int):
+    """One task's counts, as the cells of each shard and a count of up to 255 for each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        np.seterr(over="ignore")
+        held: list[np.ndarray] = []
+        for batch in batches:
+            held.append(hashes_of(batch))
+            if sum(map(len, held)) > HELD:
+                yield out(np.concatenate(held))
+                held = []
+        if held:
+            yield out(np.concatenate(held))
+
+    def out(hashes: np.ndarray) -> pa.RecordBatch:
+        cells, n = np.unique(_cells(hashes, 0, bits), return_counts=True)
+        n = np.minimum(n, 255).astype(np.uint8)
+        edges = np.searchsorted(cells >> np.uint32(bits - 5), np.arange(SHARDS + 1))
+        parts = [(k, cells[a:b].tobytes(), n[a:b].tobytes()) for k, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if a < b]
+        return pa.record_batch(
+            [
+                pa.array([k for k, _, _ in parts], pa.int32()),
+                pa.array([c for _, c, _ in parts], pa.binary()),
+                pa.array([n for _, _, n in parts], pa.binary()),
+            ],
+            ["shard", "cells", "counts"],
+        )
+
+    return run
+
+
+def _merge_counts(bits: int):
+    width = 1 << (bits - 5)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for shard, cells, counts in zip(*(batch.column(c).to_pylist() for c in ("shard", "cells", "counts")), strict=True):
+                own = total.setdefault(shard, np.zeros(width, np.uint8))
+                at = np.frombuffer(cells, np.uint32) & np.uint32(width - 1)
+                more = own[at].astype(np.uint16) + np.frombuffer(counts, np.uint8)
+                own[at] = np.minimum(more, 255).astype(np.uint8)
+        for shard, own in total.items():
+            yield pa.record_batch([pa.array([shard], pa.int32()), pa.array([own.tobytes()], pa.binary())], ["shard", "many"])
+
+    return run
+
+
+def build_counts(rows: DataFrame, hashes_of: Callable[[pa.RecordBatch], np.ndarray], bits: int) -> bytes:
+    """One byte for each of 2^bits cells: the estimated count, 255 for more; the size is fixed by `bits`."""
+    if not 8 <= bits <= 28:
+        raise ValueError("a sketch of counts has 2^8 to 2^28 cells")
+    each = rows.mapInArrow(_count_part(hashes_of, bits), "shard int, cells binary, counts binary")
+    parts = min(SHARDS, max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    merged = each.repartition(parts, "shard").mapInArrow(_merge_counts(bits), "shard int, many binary")
+    size = (1 << bits) // SHARDS
+    found = bytearray(1 << bits)
+    for shard, many in merged.toLocalIterator():
+        found[shard * size : (shard + 1) * size] = many
+    return bytes(found)
+
+
+def estimated(hashes: np.ndarray, counts: bytes, bits: int) -> np.ndarray:
+    return np.frombuffer(counts, np.uint8)[_cells(hashes, 0, bits)]
+
+
 def maybe_repeated(hashes: np.ndarray, rows: list[bytes], bits: int) -> np.ndarray:
     """True where the estimated count is two or more."""
     found = np.ones(len(hashes), bool)
