@@ -166,7 +166,14 @@ def document_verdicts(documents: DataFrame, limit: float = 0.5) -> DataFrame:
 
 
 def stage(documents: DataFrame) -> DataFrame:
-    """The documents that pass, with their own columns."""
-    marked = documents.select(F.struct(*documents.columns).alias("_row"), "doc_id", "source", "text")
-    measured = write_once(measure(marked).drop("text"), scratch_path(documents.sparkSession, "measured"))
-    return judge(measured).where("kept").select("_row.*")
+    """The documents that pass, with their own columns.
+
+    Only the keys of those that fail are written and meet the documents again; rows with equal id,
+    source and text share a verdict.
+    """
+    key = F.xxhash64("source", text_of())
+    marked = documents.select("doc_id", "source", "text", key.alias("_key"))
+    measured = write_once(measure(marked).drop("text"), scratch_path(documents.sparkSession, "measures"))
+    failed = judge(measured).where("not kept").select(F.col("doc_id").alias("_id"), F.col("_key").alias("_failed"))
+    same = (F.xxhash64("source", text_of()) == F.col("_failed")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+    return documents.join(failed.distinct(), same, "left_anti")
