@@ -27,6 +27,19 @@ def _cells(hashes: np.ndarray, row: int, bits: int) -> np.ndarray:
     return (mix64(hashes + np.uint64(row + 1)) >> np.uint64(64 - bits)).astype(np.uint32)
 
 
+def _pack(cells: np.ndarray, bits: int) -> bytes:
+    """Sorted cells of a shard: how many lie in each block of 65,536, then their lower halves."""
+    blocks = max(1, (1 << (bits - 5)) >> 16)
+    return np.bincount(cells >> np.uint32(16), minlength=blocks).astype(np.uint32).tobytes() + cells.astype(np.uint16).tobytes()
+
+
+def _unpack(packed: bytes, bits: int) -> np.ndarray:
+    blocks = max(1, (1 << (bits - 5)) >> 16)
+    count = np.frombuffer(packed, np.uint32, blocks)
+    high = np.repeat(np.arange(blocks, dtype=np.uint32) << np.uint32(16), count)
+    return high + np.frombuffer(packed, np.uint16, offset=4 * blocks)
+
+
 def _part(hashes_of: Callable[[pa.RecordBatch], np.ndarray], bits: int, depth: int):
     """The sketch of one task: the sorted cells of each shard, a cell met again comes twice."""
 
@@ -52,7 +65,7 @@ def _part(hashes_of: Callable[[pa.RecordBatch], np.ndarray], bits: int, depth: i
             for k in range(SHARDS):
                 if edges[k] < edges[k + 1]:
                     shards.append(row * SHARDS + k)
-                    cells.append(values[edges[k] : edges[k + 1]].tobytes())
+                    cells.append(_pack(values[edges[k] : edges[k + 1]] & np.uint32((1 << (bits - 5)) - 1), bits))
         return pa.record_batch([pa.array(shards, pa.int32()), pa.array(cells, pa.binary())], schema=_CELLS)
 
     return run
@@ -67,7 +80,7 @@ def _merge(bits: int):
         for batch in batches:
             for shard, cells in zip(batch.column("shard").to_pylist(), batch.column("cells"), strict=True):
                 count = counts.setdefault(shard, np.zeros(width, np.uint8))
-                at = np.frombuffer(cells.as_buffer(), np.uint32) & np.uint32(width - 1)
+                at = _unpack(cells.as_py(), bits)
                 again = at[1:][at[1:] == at[:-1]]
                 count[at] = np.minimum(count[at] + 1, 2)
                 count[again] = 2

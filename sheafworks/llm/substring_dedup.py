@@ -10,7 +10,7 @@ is never below the count of the window, and neighbouring windows share most anch
 the sketch about ten times emptier than one of all windows.
 
 Second pass: windows whose estimate is 2 or more, and only they, are grouped exactly by a
-128-bit hash of their words. A sketch that is too small lets more windows pass; it loses none.
+96-bit hash of their words. A sketch that is too small lets more windows pass; it loses none.
 """
 
 from __future__ import annotations
@@ -32,13 +32,9 @@ DEPTH = 2
 #: The largest sketch: 2^30 cells a row, 256 MB of bits for both rows.
 MAX_BITS = 30
 
+_PLACE = pa.struct([("kd", pa.int64()), ("kt", pa.int32()), ("pos", pa.int32())])
 _WINDOWS = pa.schema(
-    [
-        ("w1", pa.int64()),
-        ("w2", pa.int64()),
-        ("n", pa.int64()),
-        ("places", pa.list_(pa.struct([("kd", pa.int64()), ("kt", pa.int64()), ("pos", pa.int32())]))),
-    ]
+    [("w1", pa.int64()), ("w2", pa.int32()), *((f.name, f.type) for f in _PLACE), ("more", pa.list_(_PLACE))]
 )
 
 
@@ -92,7 +88,8 @@ def _candidates(size: int, bits: int, sketch):
             text = np.searchsorted(words.bounds, first, "right") - 1
             kd, kt = (part.column(c).to_numpy(zero_copy_only=False)[text] for c in ("kd", "kt"))
             w1, w2 = (window_hashes(h, size)[first] for h in words.hashes)
-            held.append((w1, w2, kd, kt, (first - words.bounds[text]).astype(np.int32)))
+            pos = (first - words.bounds[text]).astype(np.int32)
+            held.append((w1, (w2 >> np.uint64(32)).astype(np.uint32).view(np.int32), kd, kt, pos))
             if sum(len(h[0]) for h in held) > HELD:
                 yield out(held)
                 held = []
@@ -100,15 +97,18 @@ def _candidates(size: int, bits: int, sketch):
             yield out(held)
 
     def out(held) -> pa.RecordBatch:
-        w1, w2, kd, kt, pos = map(np.concatenate, zip(*held, strict=True))
+        w1, w2, *place = map(np.concatenate, zip(*held, strict=True))
         order = np.lexsort((w2, w1))
-        w1, w2 = w1[order], w2[order]
-        head = np.flatnonzero(np.append(True, (w1[1:] != w1[:-1]) | (w2[1:] != w2[:-1])))
-        ends = np.append(head, len(w1)).astype(np.int32)
-        places = pa.StructArray.from_arrays([pa.array(x[order]) for x in (kd, kt, pos)], ["kd", "kt", "pos"])
-        lists = pa.ListArray.from_arrays(pa.array(ends), places)
-        columns = [pa.array(signed(w1[head])), pa.array(signed(w2[head])), pa.array(np.diff(ends).astype(np.int64)), lists]
-        return pa.record_batch([c.cast(f.type) for c, f in zip(columns, _WINDOWS, strict=True)], schema=_WINDOWS)
+        w1, w2, place = w1[order], w2[order], [x[order] for x in place]
+        first = np.append(True, (w1[1:] != w1[:-1]) | (w2[1:] != w2[:-1]))
+        head, rest = np.flatnonzero(first), np.flatnonzero(~first)
+        # One place stands in the row, further ones of the same window in a list.
+        ends = np.searchsorted(rest, np.append(head, len(w1))).astype(np.int32)
+        alone = ends[1:] == ends[:-1]
+        others = pa.StructArray.from_arrays([pa.array(x[rest]) for x in place], fields=list(_PLACE))
+        offsets = pa.array(ends, mask=np.append(alone, False))
+        columns = [pa.array(signed(w1[head])), pa.array(w2[head]), *(pa.array(x[head]) for x in place)]
+        return pa.record_batch([*columns, pa.ListArray.from_arrays(offsets, others)], schema=_WINDOWS)
 
     return run
 
@@ -147,7 +147,7 @@ def _cut(size: int, keep_text: bool):
 
 
 def _keys(text: str | Column) -> tuple[Column, Column]:
-    return F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))), F.xxhash64(text)
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))), F.hash(text)
 
 
 def repeated_windows(documents: DataFrame, size: int = 35, bits: int | None = None) -> DataFrame:
@@ -163,10 +163,12 @@ def repeated_windows(documents: DataFrame, size: int = 35, bits: int | None = No
     # At most 256 MB of bits, whatever the data.
     sketch = spark.sparkContext.broadcast(build(texts.select("text"), _sketched(size), bits, DEPTH))
     kd, kt = _keys("text")
-    schema = "w1 long, w2 long, n long, places array<struct<kd:long,kt:long,pos:int>>"
+    schema = "w1 long, w2 int, kd long, kt int, pos int, more array<struct<kd:long,kt:int,pos:int>>"
     rows = texts.select("text", kd.alias("kd"), kt.alias("kt")).mapInArrow(_candidates(size, bits, sketch), schema)
-    total = F.sum("n").over(Window.partitionBy("w1", "w2"))
-    repeated = rows.withColumn("_all", total).where("_all > 1").select(F.inline("places"))
+    n = 1 + F.coalesce(F.when(F.col("more").isNotNull(), F.size("more")), F.lit(0))
+    total = F.sum(n).over(Window.partitionBy("w1", "w2"))
+    places = F.concat(F.array(F.struct("kd", "kt", "pos")), F.coalesce("more", F.array().cast("array<struct<kd:bigint,kt:int,pos:int>>")))
+    repeated = rows.withColumn("_all", total).where("_all > 1").select(F.inline(places))
     return repeated.groupBy("kd", "kt").agg(F.collect_list("pos").alias("starts"))
 
 
