@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 #: The white space that separates words: [\x20\x09-\x0D].
 SPACES = " \t\n\x0b\f\r"
 #: Text bytes worked on at a time inside a task.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 BLOCK_BYTES = 1 << 20
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)

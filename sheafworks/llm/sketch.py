@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from .common import mix64, slices
 
 #: Hashes held by one task before they are handed on.
-HELD = 1 << 20
+HELD = 1 << 19
 #: Each row of the sketch is cut into so many shards of cells.
 SHARDS = 32
 

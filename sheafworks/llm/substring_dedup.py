@@ -27,7 +27,7 @@ from .common import Words, signed, sliding_max, sliding_min, slices, text_of, wi
 from .sketch import build, maybe_repeated
 
 #: Windows held by one task before they are handed on.
-HELD = 1 << 20
+HELD = 1 << 19
 DEPTH = 2
 #: The largest sketch: 2^30 cells a row, 256 MB of bits for both rows.
 MAX_BITS = 30
@@ -154,7 +154,7 @@ def repeated_windows(documents: DataFrame, size: int = 35, bits: int | None = No
     """(kd, kt, starts): for each text, by id and text hash, the first words of its repeated windows.
 
     A window in many texts is first grouped inside each task, so the row of a hot window counts
-    once for each task (or for each million windows), not once for each text. Texts with no
+    once for each task (or for each half million windows), not once for each text. Texts with no
     repeated window give no row.
     """
     spark = documents.sparkSession
