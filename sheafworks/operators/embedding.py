@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -66,7 +67,8 @@ def embed(
 ) -> DataFrame:
     """Adds an array<float> column; all other columns pass by without going to Python."""
     loader = load or (lambda: HashingModel(dim))
-    key = f"{model_name}_{dim}"
+    # Workers keep a model for each loader, not only for each name.
+    key = f"{model_name}_{dim}_{hashlib.md5(cloudpickle.dumps(loader)).hexdigest()}"
 
     @F.pandas_udf("array<float>")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

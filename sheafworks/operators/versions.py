@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,8 +18,10 @@ def row_hash(*columns: str | Column) -> Column:
 def file_manifest(spark: SparkSession, path: str, dataset: str, version: str, pattern: str = "*") -> DataFrame:
     """One row per file: logical path below `path`, physical path, length, MD5 of the bytes."""
     files = read_binary_files(spark, path, pattern)
-    base = path.rstrip("/").split("/")[-1]
-    logical = F.regexp_extract("path", rf"^.*/{base}/(.*)$", 1)
+    # What follows the root, taken literally: a nested folder of the same name stays in the path.
+    root = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", path).rstrip("/") + "/"
+    logical = F.expr("substring(path, locate(root, path) + length(root))")
+    files = files.withColumn("root", F.lit(root))
     return files.select(
         F.lit(dataset).alias("dataset"),
         F.lit(version).alias("version"),
@@ -39,14 +43,14 @@ def table_manifest(df: DataFrame, dataset: str, version: str, key: str, content:
 
 
 def snapshot_diff(before: DataFrame, after: DataFrame, key: str = "logical_path", content: str = "md5") -> DataFrame:
-    """(key, status): added, removed, changed or same."""
-    old = before.select(key, F.col(content).alias("_old"))
-    new = after.select(key, F.col(content).alias("_new"))
+    """(key, status): added, removed, changed or same. A null content is a value like any other."""
+    old = before.select(key, F.col(content).alias("_old"), F.lit(True).alias("_was"))
+    new = after.select(key, F.col(content).alias("_new"), F.lit(True).alias("_is"))
     status = (
-        F.when(F.col("_old").isNull(), "added")
-        .when(F.col("_new").isNull(), "removed")
-        .when(F.col("_old") != F.col("_new"), "changed")
-        .otherwise("same")
+        F.when(F.col("_was").isNull(), "added")
+        .when(F.col("_is").isNull(), "removed")
+        .when(F.col("_old").eqNullSafe(F.col("_new")), "same")
+        .otherwise("changed")
     )
     return old.join(new, key, "full").select(key, status.alias("status"))
 

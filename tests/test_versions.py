@@ -50,3 +50,34 @@ def test_row_read_at_version(spark):
     store = spark.createDataFrame([("h1", 5)], "md5 string, price int")
     got = V.read_version(manifest, "t", "v1", store).collect()
     assert sorted((r["logical_path"], r["price"]) for r in got) == [("k1", 5), ("k2", 5)]
+
+
+def test_manifest_keeps_nested_folder_of_the_same_name(spark, tmp_path):
+    from sheafworks.operators.versions import file_manifest
+
+    for name in ("raw/a.md", "raw/raw/a.md"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(name)
+    for root in (f"{tmp_path}/raw", f"file://{tmp_path}/raw/"):
+        rows = file_manifest(spark, root, "d", "v1").collect()
+        assert sorted(r.logical_path for r in rows) == ["a.md", "raw/a.md"]
+
+
+def test_diff_takes_null_content_as_a_value(spark):
+    from sheafworks.operators.versions import snapshot_diff
+
+    old = spark.createDataFrame([("a", None), ("b", "x"), ("c", None)], "logical_path string, md5 string")
+    new = spark.createDataFrame([("a", None), ("b", None), ("d", None)], "logical_path string, md5 string")
+    got = dict(tuple(r) for r in snapshot_diff(old, new).collect())
+    assert got == {"a": "same", "b": "changed", "c": "removed", "d": "added"}
+
+
+def test_two_loaders_of_one_name_are_two_models(spark):
+    import numpy as np
+
+    from sheafworks.operators.embedding import embed
+
+    df = spark.createDataFrame([("x",)], "text string").coalesce(1)
+    for value in (1.0, 2.0):
+        got = embed(df, load=lambda value=value: lambda texts: np.full((len(texts), 2), value)).collect()
+        assert list(got[0].embeddings) == [value, value]
