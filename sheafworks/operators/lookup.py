@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+
 MAX_LOOKUP_ROWS = 10_000
 
 
@@ -34,6 +36,16 @@ def as_local(small: DataFrame, max_rows: int = MAX_LOOKUP_ROWS) -> DataFrame:
     return small.sparkSession.createDataFrame(rows, small.schema)
 
 
+def settled(result: DataFrame, max_rows: int = MAX_LOOKUP_ROWS) -> DataFrame:
+    """A result worked out once: a broadcast local table, or beyond `max_rows` a written one to join."""
+    rows = result.limit(max_rows + 1).toArrow()
+    if rows.num_rows <= max_rows:
+        return F.broadcast(result.sparkSession.createDataFrame(rows, result.schema))
+    path = scratch_path(result.sparkSession, "settled")
+    result.write.parquet(path)
+    return result.sparkSession.read.parquet(path)
+
+
 def single_row(one: DataFrame, missing: str) -> Column:
     """The only row of `one` as a struct column; no row is an error with the given message."""
     row = one.select(F.struct(*one.columns).alias("row")).scalar()

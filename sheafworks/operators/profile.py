@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .lookup import as_local
+from .lookup import as_local, settled
 
 SKETCH_ACCURACY = 100_000
 
@@ -48,7 +48,7 @@ def _with_median(long: DataFrame, keys: list[str], known: DataFrame) -> DataFram
         if not keys:
             only = renamed.first()
             return df.withColumns({f: F.lit(only[f]) for f in [*_FIELDS, "bracket"]})
-        return df.join(F.broadcast(renamed), [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+        return df.join(renamed, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
 
     low, high = F.get("bracket", F.lit(0)), F.get("bracket", F.lit(1))
     counted = (
@@ -76,11 +76,12 @@ def describe_values(
     used. A quantile sketch of fixed size first brackets the median; a second pass counts
     what lies below the bracket and the distinct values inside it (about 16 values of
     100,000), and the median is read off those counts. Both passes aggregate before they
-    shuffle. `std` is the sample form unless `population` is set. Nulls are ignored.
+    shuffle. `std` is the sample form unless `population` is set. Nulls are ignored. Any
+    number of keys is taken; with many, the first pass is written and joined, not broadcast.
     """
     shaped = long.select(*keys, _number(F.col(value)).alias("_v"))
     parts = _first_pass(F.col("_v"), population)
-    known = as_local(shaped.groupBy(*keys).agg(*(c.alias(name) for name, c in parts.items())))
+    known = settled(shaped.groupBy(*keys).agg(*(c.alias(name) for name, c in parts.items())))
     return _with_median(shaped, keys, known)
 
 
@@ -108,27 +109,32 @@ def describe_counts(
     """The same statistics for whole numbers with few distinct values (lengths, counts, pixels).
 
     Values are counted first, so what is shuffled is one row per distinct value, and all
-    statistics, the median included, come from those counts in a single scan.
+    statistics, the median included, come from those counts in a single scan. With a column
+    of another type than a whole number, all go the way of `describe_values`, as doubles.
     """
+    types = dict(df.select(*(F.col(c) for c in columns)).dtypes)
+    if any(types[c] not in ("tinyint", "smallint", "int", "bigint") for c in columns):
+        return describe_values(melt(df, columns, keys, "metric"), [*keys, "metric"], population=population)
     shaped = df.select(*keys, *(F.col(c).cast("bigint").alias(c) for c in columns))
     long = shaped.unpivot([F.col(k) for k in keys], columns, "metric", "value")
     counts = long.where(F.col("value").isNotNull()).groupBy(*keys, "metric", "value").agg(F.count(F.lit(1)).alias("rows"))
     exact = "decimal(38,0)"
     value, rows = F.col("value").cast("decimal(19,0)"), F.col("rows").cast("decimal(18,0)")
     total = F.sum((value * rows).cast(exact))
-    square = F.col("value").cast("decimal(12,0)") * F.col("value").cast("decimal(12,0)")
-    squares = F.sum((square * F.col("rows").cast("decimal(13,0)")).cast(exact))
+    # The spread is taken about the mean, so values of any size keep their digits.
+    group = Window.partitionBy(*keys, "metric")
+    mean = F.sum((value * rows).cast(exact)).over(group).cast("double") / F.sum("rows").over(group)
+    off = F.col("value").cast("double") - F.col("_mean")
     n = F.sum("rows")
-    sums = counts.groupBy(*keys, "metric").agg(
+    sums = counts.withColumn("_mean", mean).groupBy(*keys, "metric").agg(
         n.alias("n"),
         total.alias("total"),
-        squares.alias("squares"),
+        F.sum(off * off * F.col("rows")).alias("squares"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
         F.percentile("value", F.lit(0.5), F.col("rows")).alias("median"),
     )
-    nd, td, sd = (F.col(c).cast("double") for c in ("n", "total", "squares"))
-    spread = F.greatest(sd - td * td / nd, F.lit(0.0))
+    nd, td, spread = (F.col(c).cast("double") for c in ("n", "total", "squares"))
     std = F.sqrt(spread / nd) if population else F.when(F.col("n") > 1, F.sqrt(spread / (nd - 1)))
     return sums.select(
         *keys,
@@ -179,6 +185,16 @@ def schema_profile(df: DataFrame, numeric_range: list[str] | None = None) -> Dat
     return one.select(F.inline(F.array(*rows)))
 
 
+def moments(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(feature, mean, std) in one aggregate: all that `standardize` needs."""
+    numbers = {c: _number(F.col(f"`{c}`")) for c in columns}
+    parts = (
+        F.struct(F.lit(c).alias("feature"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"))
+        for c, v in numbers.items()
+    )
+    return df.agg(F.array(*parts).alias("parts")).select(F.inline("parts"))
+
+
 def standardize(df: DataFrame, columns: list[str], stats: DataFrame) -> DataFrame:
     """(x - mean) / std with saved statistics (one row per feature).
 

@@ -57,7 +57,7 @@ def schema_profile(spark, sf):
 
 def standardize_features(spark, sf):
     lines = shapes.lineitem(spark, sf)
-    scaled = profile.standardize(lines, FEATURES, profile.feature_stats(lines, FEATURES))
+    scaled = profile.standardize(lines, FEATURES, profile.moments(lines, FEATURES))
     return _rounded(scaled.select("l_orderkey", "l_linenumber", "l_partkey", *FEATURES), FEATURES, 4)
 
 
@@ -693,16 +693,27 @@ def latest_per_source(spark, sf):
 
 
 def incremental_ingest(spark, sf):
-    """Documents chunked batch by batch into a table, as a batch run would."""
+    """Documents chunked batch by batch into a table, as a batch run over the newest texts would.
+
+    Two batches land: older texts of all documents, then the newest texts of those that
+    changed. Every tenth document is emptied by the second batch and has no chunks left.
+    """
+    docs = shapes.table(spark, sf, "documents")
+    changed, emptied = F.col("doc_id") % 3 == 0, F.col("doc_id") % 10 == 9
+    older = F.when(changed, F.concat(F.lit("An older line.\n"), "text")).otherwise(F.col("text"))
+    newest = F.when(~emptied, F.col("text"))
+    landing = scratch_path(spark, "landing")
 
     def process(batch: DataFrame) -> DataFrame:
         docs = shapes.as_markdown(readers.spread(batch, "doc_id"))
         return chunking.chunk_documents(docs, "doc_id", settings=WINDOW).withColumnRenamed("chunk_id", "id")
 
     table, checkpoint = scratch_path(spark, "ingested"), scratch_path(spark, "checkpoint")
-    stream.ingest(_stream(spark, sf), process, table, checkpoint)
-    schema = process(shapes.table(spark, sf, "documents")).schema
-    rows = stream.read_ingested(spark, table, schema)
+    for landed in (docs.withColumn("text", older), docs.withColumn("text", newest).where(changed | emptied)):
+        landed.write.mode("append").parquet(landing)
+        stream.ingest(stream.stream_parquet(spark, landing, docs.schema), process, table, checkpoint, T.hash_uuid(F.col("doc_id")))
+    schema = process(docs).schema
+    rows = stream.read_ingested(spark, table, schema, "doc_id")
     return rows.select("id", "source_file", "chunk_index", "section_h1", "text")
 
 

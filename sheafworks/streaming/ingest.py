@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,16 +21,20 @@ def stream_parquet(
 
 
 def ingest(
-    stream: DataFrame, process: Callable[[DataFrame], DataFrame], table: str, checkpoint: str
+    stream: DataFrame, process: Callable[[DataFrame], DataFrame], table: str, checkpoint: str, source: str | Column = "id"
 ) -> None:
     """Processes what has landed and stops; `process` is the same function a batch run uses.
 
-    Each micro-batch overwrites its own folder, so a batch that is run again after a
-    failure replaces its rows instead of adding them twice.
+    Each micro-batch overwrites its own folders, so a batch that is run again after a
+    failure replaces its rows instead of adding them twice. Beside the rows, the batch keeps
+    the keys of its documents (`source`, as the rows hold it): one that gives no rows any
+    more counts too.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        process(batch).write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
+        process(batch).write.mode("overwrite").parquet(f"{table}/rows/batch_id={batch_id}")
+        keys = batch.select((F.col(source) if isinstance(source, str) else source).alias("source")).distinct()
+        keys.write.mode("overwrite").parquet(f"{table}/keys/batch_id={batch_id}")
 
     (
         stream.writeStream.foreachBatch(write)
@@ -41,11 +45,18 @@ def ingest(
     )
 
 
-def read_ingested(spark: SparkSession, table: str, schema: T.StructType, key: str = "id") -> DataFrame:
-    """The rows of all batches; of rows with one id the latest batch wins."""
-    rows = spark.read.schema(T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])).parquet(table)
-    newest = Window.partitionBy(key).orderBy(F.desc("batch_id"))
-    return rows.withColumn("_n", F.row_number().over(newest)).where(F.col("_n") == 1).drop("_n", "batch_id")
+def read_ingested(spark: SparkSession, table: str, schema: T.StructType, source: str = "id") -> DataFrame:
+    """Of each document only what its newest batch made of it; rows of older batches are stale.
+
+    `source` names the document key in the rows. Keys are narrow and combined before
+    the shuffle; rows are shuffled only where the keys are too many to broadcast.
+    """
+    batch = T.StructField("batch_id", T.LongType())
+    rows = spark.read.schema(T.StructType([*schema.fields, batch])).parquet(f"{table}/rows")
+    keys = spark.read.parquet(f"{table}/keys")
+    newest = keys.groupBy(F.col("source").alias("_source")).agg(F.max("batch_id").cast("bigint").alias("_batch"))
+    same = F.col(source).eqNullSafe(F.col("_source")) & (F.col("batch_id") == F.col("_batch"))
+    return rows.join(newest, same, "left_semi").drop("batch_id")
 
 
 def latest_keys(files: DataFrame, source: str, ts: str, key: str) -> DataFrame:

@@ -105,3 +105,32 @@ def test_tensor_metadata(spark):
     pixels = [p / 255 for r in splits.where("split = 'train'").collect() for line in r["image"] for p in line]
     assert doc["metrics"]["train"]["pixel_std"] == pytest.approx(np.std(pixels))
     assert doc["metrics"]["train"]["pixel_median"] == pytest.approx(np.median(pixels))
+
+
+def test_counts_of_fractions_and_of_large_numbers(spark):
+    from sheafworks.operators import profile
+
+    df = spark.createDataFrame([(0.5,), (1.5,), (2.9,), (None,)], "x double")
+    row = profile.describe_counts(df, [], ["x"]).first()
+    assert (row["metric"], row["n"], row["min"], row["max"], row["median"]) == ("x", 3, 0.5, 2.9, 1.5)
+    assert abs(row["mean"] - 4.9 / 3) < 1e-12 and abs(row["std"] - 1.2055427546683415) < 1e-12
+    big = spark.createDataFrame([(10**15 + i,) for i in (1, 2, 3)], "x bigint")
+    row = profile.describe_counts(big, [], ["x"]).first()
+    assert (row["std"], row["median"], row["max"]) == (1.0, 10**15 + 2, 10**15 + 3)
+
+
+def test_more_groups_than_a_broadcast_takes(spark):
+    from sheafworks.operators import profile
+
+    df = spark.range(20_002).selectExpr("id % 10001 k", "cast(id as double) value")
+    rows = profile.describe_values(df, ["k"]).collect()
+    assert len(rows) == 10_001
+    assert all(r["median"] == r["k"] + 5_000.5 and r["n"] == 2 for r in rows)
+
+
+def test_moments_are_the_mean_and_std_of_the_statistics(spark):
+    from sheafworks.operators import profile
+
+    df = spark.createDataFrame([(1.0, None), (4.0, 2.0), (float("nan"), 2.5)], "a double, `b c` double")
+    wanted = {r["feature"]: (r["mean"], r["std"]) for r in profile.feature_stats(df, ["a", "b c"]).collect()}
+    assert {r["feature"]: (r["mean"], r["std"]) for r in profile.moments(df, ["a", "b c"]).collect()} == wanted

@@ -27,7 +27,7 @@ def test_ingest_runs_again_without_copies(spark, tmp_path):
     def run():
         I.ingest(I.stream_parquet(spark, str(folder), schema), process, table, checkpoint)
         out = process(spark.createDataFrame([], schema)).schema
-        return sorted((r["id"], r["text"]) for r in I.read_ingested(spark, table, out).collect())
+        return sorted((r["id"], r["text"]) for r in I.read_ingested(spark, table, out, "id").collect())
 
     assert run() == [(1, "X"), (2, "Y")]
     assert run() == [(1, "X"), (2, "Y")]  # nothing new landed
@@ -53,3 +53,27 @@ def test_latest_per_source_batch_and_stream_agree(spark, tmp_path):
         assert {r["source"]: (r["ts"], r["id"]) for r in batch.collect()} == wanted
         tracked = I.read_tracked(spark, table)
         assert {r["source"]: (r["ts"], r["id"]) for r in tracked.collect()} == wanted
+
+
+def test_newer_text_replaces_all_rows_of_a_document(spark, tmp_path):
+    from datetime import datetime
+
+    folder = tmp_path / "landing"
+    folder.mkdir()
+    table, checkpoint = str(tmp_path / "table"), str(tmp_path / "checkpoint")
+    day = datetime(2025, 1, 1)
+    rows = [(1, "a", day, "x y z"), (2, "b", day, "p q"), (3, "c", day, "r"), (None, "d", day, "n")]
+    land(spark, folder, tmp_path, "one", rows)
+    schema = spark.read.parquet(str(folder)).schema
+
+    def process(batch):
+        return batch.select("id", F.explode(F.split("text", " ")).alias("word"))
+
+    def run():
+        I.ingest(I.stream_parquet(spark, str(folder), schema), process, table, checkpoint)
+        out = process(spark.createDataFrame([], schema)).schema
+        return sorted((r["id"] or 0, r["word"]) for r in I.read_ingested(spark, table, out, "id").collect())
+
+    assert run() == [(0, "n"), (1, "x"), (1, "y"), (1, "z"), (2, "p"), (2, "q"), (3, "r")]
+    land(spark, folder, tmp_path, "two", [(1, "a", day, "y"), (3, "c", day, None), (None, "d", day, "m")])
+    assert run() == [(0, "m"), (1, "y"), (2, "p"), (2, "q")]
