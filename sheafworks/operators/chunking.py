@@ -15,6 +15,10 @@ from ..functions import text as T
 from .rows import explode_array, explode_structs
 
 
+#: Chunks per block of the merge fold; a setting of speed only.
+MERGE_BLOCK = 256
+
+
 @dataclass(frozen=True)
 class ChunkSettings:
     chunk_size: int = P.CHUNK_SIZE
@@ -80,20 +84,20 @@ def _split_recursive(text: str, size: int, overlap: int, separators: tuple[str,
 
 
 def split_recursive(texts: Column, size: int, overlap: int) -> Column:
-    """array<string> to array<array<string>>; only over-long texts are worked on."""
+    """array<string> to array<array<string>>; only over-long texts travel, the rest give null."""
 
     @F.pandas_udf("array<array<string>>")
     def split(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
             yield batch.map(
                 lambda sections: [
-                    _split_recursive(s, size, overlap, ("\n\n", "\n", " ", "")) if len(s) > size else [s]
+                    None if s is None else _split_recursive(s, size, overlap, ("\n\n", "\n", " ", ""))
                     for s in sections
                 ]
             )
 
     # Marked so that the optimizer never runs the split twice for one row.
-    return split.asNondeterministic()(texts)
+    return split.asNondeterministic()(F.transform(texts, lambda s: F.when(F.length(s) > size, s)))
 
 
 def merge_starts(chunks: Column, merge_below: int, chunk_size: int) -> Column:
@@ -101,15 +105,16 @@ def merge_starts(chunks: Column, merge_below: int, chunk_size: int) -> Column:
 
     A chunk joins the one before while both stand under the same h1 and h2, the text so
     far is shorter than `merge_below` and both together are shorter than `chunk_size`.
-    Only lengths and positions go through the fold, so it stays small for long documents.
+    Only lengths and positions go through the fold. It runs in blocks of MERGE_BLOCK
+    chunks: appending copies an array, so the starts of a block are a list of their own.
     """
     n = F.size(chunks)
-    start = F.struct(
-        F.array().cast("array<int>").alias("starts"),
-        F.lit(0).alias("length"),
-        F.lit(None).cast("string").alias("h1"),
-        F.lit(None).cast("string").alias("h2"),
-    )
+
+    def state_of(starts: Column, length: Column, h1: Column, h2: Column) -> Column:
+        return F.struct(starts.alias("starts"), length.alias("length"), h1.alias("h1"), h2.alias("h2"))
+
+    none = F.lit(None).cast("string")
+    nowhere, no_blocks = F.array().cast("array<int>"), F.array().cast("array<array<int>>")
 
     def step(state: Column, i: Column) -> Column:
         return T.let(F.get(chunks, i), lambda chunk: advance(state, i, chunk))
@@ -122,15 +127,26 @@ def merge_starts(chunks: Column, merge_below: int, chunk_size: int) -> Column:
             & (state["length"] < merge_below)
             & (state["length"] + size < chunk_size)
         )
-        return F.struct(
-            F.when(joins, state["starts"]).otherwise(F.array_append(state["starts"], i)).alias("starts"),
-            F.when(joins, state["length"] + 2 + size).otherwise(size).alias("length"),
-            chunk["h1"].alias("h1"),
-            chunk["h2"].alias("h2"),
+        return state_of(
+            F.when(joins, state["starts"]).otherwise(F.array_append(state["starts"], i)),
+            F.when(joins, state["length"] + 2 + size).otherwise(size),
+            chunk["h1"],
+            chunk["h2"],
+        )
+
+    def block(state: Column, first: Column) -> Column:
+        last = F.least(first + (MERGE_BLOCK - 1), n - 1)
+        begin = state_of(nowhere, state["length"], state["h1"], state["h2"])
+        return T.let(
+            F.aggregate(F.sequence(first, last), begin, step),
+            lambda done: state_of(
+                F.array_append(state["starts"], done["starts"]), done["length"], done["h1"], done["h2"]
+            ),
         )
 
-    positions = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
-    return F.aggregate(positions, start, step)["starts"]
+    firsts = F.when(n > 0, F.sequence(F.lit(0), n - 1, F.lit(MERGE_BLOCK))).otherwise(nowhere)
+    begin = state_of(no_blocks, F.lit(0), none, none)
+    return F.flatten(F.aggregate(firsts, begin, block)["starts"])
 
 
 def merge_small(chunks: Column, starts: Column) -> Column:

@@ -82,7 +82,9 @@ def cut_point(
     `wanted` gives n from the total row count. Two small jobs over the key columns find
     it: one counts buckets, one ranks the keys of the one bucket that holds the cut. One
     row each comes back, and the caller gets a constant to compare with, so every later
-    use of the split sees the same cut and no rows are shuffled or joined for it.
+    use of the split sees the same cut and no rows are shuffled or joined for it. A null
+    key comes first. Rows on both sides of the cut that share a key are an error, as no
+    comparison could part them.
     """
     starts = _bucket_starts(df, bucket)
     target = wanted(F.col("total"))
@@ -93,9 +95,13 @@ def cut_point(
     )
     if hit is None:
         return None
-    keys = df.where(bucket == hit["bucket"]).select(*(c.alias(name) for name, c in order.items()))
+    keys = df.where(bucket.eqNullSafe(F.lit(hit["bucket"]))).select(*(c.alias(name) for name, c in order.items()))
     place = F.row_number().over(Window.orderBy(*order))
-    return keys.withColumn("_place", place).where(F.col("_place") == hit["offset"]).drop("_place").first()
+    around = F.col("_place").between(hit["offset"], hit["offset"] + 1)
+    found = keys.withColumn("_place", place).where(around).orderBy("_place").drop("_place").collect()
+    if len(found) == 2 and found[0] == found[1]:
+        raise ValueError("rows on both sides of the cut share a key; the key must be unique")
+    return found[0]
 
 
 def before_cut(df: DataFrame, cut: Row | None, order: dict[str, Column]) -> Column:
@@ -104,11 +110,13 @@ def before_cut(df: DataFrame, cut: Row | None, order: dict[str, Column]) -> Colu
         return F.lit(False)
     types = dict(df.select(*(c.alias(name) for name, c in order.items())).dtypes)
     limits = {name: F.lit(cut[name]).cast(types[name]) for name in order}
-    names = list(order)
-    chosen = order[names[-1]] <= limits[names[-1]]
-    for name in reversed(names[:-1]):
-        chosen = (order[name] < limits[name]) | ((order[name] == limits[name]) & chosen)
-    return F.coalesce(chosen, F.lit(False))
+    chosen = F.lit(True)
+    for name in reversed(order):
+        value, limit = order[name], limits[name]
+        # Nulls come first: they are below every value, and nothing is below them.
+        below = limit.isNotNull() & F.coalesce(value < limit, value.isNull())
+        chosen = below | (value.eqNullSafe(limit) & chosen)
+    return chosen
 
 
 def with_position(df: DataFrame, key: str, name: str = "position", bucket: Column | None = None) -> DataFrame:

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 # Queries are sent to every task up to this size; beyond it both sides are tiled.
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-QUERIES_PER_TILE = 4_096
-CORPUS_PER_TILE = 100_000
+# Bytes of vectors on each side of a tile, and of scores worked on at a time in a task.
+TILE_BYTES = 64 * 1024 * 1024
+SCORE_BYTES = 32 * 1024 * 1024
 
 # Scores are rounded before ranking so that equal vectors tie; ties go to the lower id.
 SCORE_DECIMALS = 6
@@ -37,15 +38,40 @@ def _top(pairs: pd.DataFrame, k: int) -> pd.DataFrame:
 def _candidates(
     query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int, skip_same: bool
 ) -> pd.DataFrame:
-    """For each query every row that may be among its best k (ties with the k-th included)."""
+    """The best k rows of each query; of equal scores the lower ids.
+
+    Works on blocks of queries and rows, so the scores in memory stay within SCORE_BYTES.
+    """
+    by_id = np.argsort(ids, kind="stable")
+    ids, rows = ids[by_id], rows[by_id]
+    wide = min(len(rows), max(4 * k, SCORE_BYTES // 8 // 1_024))
+    high = max(1, SCORE_BYTES // 8 // max(1, wide))
+    found = []
+    for q0 in range(0, len(queries), high):
+        own = query_ids[q0 : q0 + high]
+        parts = [
+            _block(own, queries[q0 : q0 + high], ids[r0 : r0 + wide], rows[r0 : r0 + wide], k, skip_same)
+            for r0 in range(0, len(rows), max(1, wide))
+        ]
+        if parts:
+            found.append(parts[0] if len(parts) == 1 else _top(pd.concat(parts), k))
+    return pd.concat(found) if found else _block(query_ids[:0], queries[:0], ids[:0], rows[:0], k, False)
+
+
+def _block(
+    query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int, skip_same: bool
+) -> pd.DataFrame:
+    """The best k of one block whose rows are in id order."""
     scores = np.round(queries @ rows.T, SCORE_DECIMALS) + 0.0
     if skip_same:
-        scores = np.where(query_ids[:, None] == ids[None, :], -np.inf, scores)
+        scores[query_ids[:, None] == ids[None, :]] = -np.inf
+    keep = np.isfinite(scores)
     if scores.shape[1] > k:
-        bar = np.partition(scores, -k, axis=1)[:, -k]
-        q, c = np.nonzero((scores >= bar[:, None]) & np.isfinite(scores))
-    else:
-        q, c = np.nonzero(np.isfinite(scores))
+        bar = np.partition(scores, -k, axis=1)[:, -k][:, None]
+        above, level = scores > bar, scores == bar
+        room = k - above.sum(axis=1, keepdims=True)
+        keep &= above | (level & (np.cumsum(level, axis=1, dtype=np.int32) <= room))
+    q, c = np.nonzero(keep)
     return pd.DataFrame({"query_id": query_ids[q], "neighbour_id": ids[c], "score": scores[q, c]})
 
 
@@ -80,7 +106,7 @@ def topk_cosine(
     schema = f"query_id {q.schema['id'].dataType.simpleString()}, neighbour_id {id_type}, score double"
     if size["n"] * size["dim"] * 8 <= max_broadcast_bytes:
         return _rank(_against_broadcast(c, q, k, skip_same, schema), k)
-    return _rank(_tiled(c, q, k, size["n"], skip_same, schema), k)
+    return _rank(_tiled(c, q, k, size["n"], size["dim"], skip_same, schema), k)
 
 
 def _against_broadcast(corpus: DataFrame, queries: DataFrame, k: int, skip_same: bool, schema: str) -> DataFrame:
@@ -103,9 +129,13 @@ def _against_broadcast(corpus: DataFrame, queries: DataFrame, k: int, skip_same:
     return corpus.mapInPandas(score, schema)
 
 
-def _tiled(corpus: DataFrame, queries: DataFrame, k: int, n_queries: int, skip_same: bool, schema: str) -> DataFrame:
-    q_tiles = max(1, -(-n_queries // QUERIES_PER_TILE))
-    c_tiles = max(1, -(-corpus.count() // CORPUS_PER_TILE))
+def _tiled(
+    corpus: DataFrame, queries: DataFrame, k: int, n_queries: int, dim: int, skip_same: bool, schema: str
+) -> DataFrame:
+    """Each row is sent once per tile of the other side, so tiles are as large as memory allows."""
+    per_tile = max(1, TILE_BYTES // (8 * max(1, dim)))
+    q_tiles = max(1, -(-n_queries // per_tile))
+    c_tiles = max(1, -(-corpus.count() // per_tile))
 
     def tiles(df: DataFrame, own: str, own_count: int, other: str, other_count: int) -> DataFrame:
         placed = df.withColumn(own, F.pmod(F.xxhash64("id"), F.lit(own_count)).cast("int"))

@@ -11,8 +11,9 @@ from ..sources.readers import read_binary_files
 
 
 def row_hash(*columns: str | Column) -> Column:
-    """MD5 over the values, in order. Nulls are skipped, so pass them in as text to tell them apart."""
-    return F.md5(F.concat_ws("|", *(F.col(c) if isinstance(c, str) else c for c in columns)))
+    """MD5 over the values, in order; a null is marked, so (null, a) and (a, null) differ."""
+    values = (F.col(c) if isinstance(c, str) else c for c in columns)
+    return F.md5(F.concat_ws("|", *(F.coalesce(v.cast("string"), F.lit("\0")) for v in values)))
 
 
 def file_manifest(spark: SparkSession, path: str, dataset: str, version: str, pattern: str = "*") -> DataFrame:
@@ -81,27 +82,39 @@ def at_version(manifest: DataFrame, dataset: str, version: str) -> DataFrame:
 
 
 def read_version(manifest: DataFrame, dataset: str, version: str, store: DataFrame, content: str = "md5") -> DataFrame:
-    """The content a version refers to: its manifest rows joined to the store by hash."""
+    """The content a version refers to: its manifest rows joined to the store by hash.
+
+    A manifest row whose content is not in the store is an error; `missing_content` lists them.
+    """
     wanted = at_version(manifest, dataset, version)
-    return wanted.join(store, content)
+    lost = F.raise_error(F.concat(F.lit("no content for "), F.coalesce("logical_path", F.lit("a null path"))))
+    found = wanted.join(store.withColumn("_stored", F.lit(True)), content, "left")
+    return found.where(F.when(F.col("_stored").isNull(), lost.cast("boolean")).otherwise(True)).drop("_stored")
+
+
+def missing_content(
+    manifest: DataFrame, dataset: str, version: str, store: DataFrame, content: str = "md5"
+) -> DataFrame:
+    """The manifest rows of a version whose content the store does not hold."""
+    return at_version(manifest, dataset, version).join(store, content, "left_anti")
 
 
 def read_files_at(spark: SparkSession, manifest: DataFrame, dataset: str, version: str) -> DataFrame:
     """(logical_path, content) of the files of a version.
 
-    The store is the set of folders the manifest names; files are matched by their physical
-    path, so files of other versions in the same folders are left out.
+    Only the wanted files are opened, in any number of folders. Their paths are the list of
+    inputs that Spark's file index holds in the driver for every scan; no content goes there.
+    A file that is gone is an error.
     """
     wanted = at_version(manifest, dataset, version)
-    folders = wanted.select(F.regexp_replace("physical_path", r"/[^/]*\z", "").alias("folder")).distinct()
-    found = [row["folder"] for row in folders.limit(1_001).collect()]
-    if len(found) > 1_000:
-        raise ValueError("a version spans more than 1,000 folders; read them as a partitioned table")
-    files = spark.read.format("binaryFile").load(found) if found else None
-    if files is None:
+    paths = [row["physical_path"] for row in wanted.select("physical_path").distinct().toLocalIterator()]
+    if not paths:
         raise ValueError(f"{dataset} has no version {version}")
-    store = files.select(F.col("path").alias("physical_path"), "content")
-    return wanted.join(store, "physical_path").select("logical_path", "content")
+    # The paths are literal: none of their characters stands for a pattern.
+    literal = [re.sub(r"([\\*?\[\]{}])", r"\\\1", path) for path in paths]
+    files = spark.read.format("binaryFile").load(literal)
+    store = files.select(F.col("path").alias("_path"), "content")
+    return wanted.join(store, F.col("physical_path") == F.col("_path")).select("logical_path", "content")
 
 
 def lineage_edge(dataset: str, version: str, source: str, source_version: str) -> Column:

@@ -48,7 +48,7 @@ def read_json_lines(spark: SparkSession, path: str, schema: str | T.StructType)
 def read_json_tolerant(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """JSON lines where broken records are kept in `_corrupt_record` instead of failing.
 
-    Files that cannot be read at all are skipped as well.
+    Files that cannot be read at all are skipped as well; `unread_files` lists them.
     """
     return (
         spark.read.schema(f"{schema}, {CORRUPT} string")
@@ -64,7 +64,7 @@ def read_text_files(spark: SparkSession, path: str, suffix: str = ".md", toleran
     """(path, text), one row per file whose name ends in `suffix`, at any depth.
 
     An unreadable folder is an error. With `tolerant`, single files that vanish or are
-    broken are skipped.
+    broken are skipped; `unread_files` lists them.
     """
     files = (
         spark.read.option("recursiveFileLookup", True)
@@ -88,7 +88,10 @@ def read_binary_files(spark: SparkSession, path: str, pattern: str = "*") -> Dat
 
 
 def read_image_sizes(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """(image, width, height) of the image files below a folder; broken ones are left out."""
+    """(image, width, height) of the image files below a folder.
+
+    Broken ones are left out; `unread_files` lists them from the column `path`, which comes last.
+    """
     images = (
         spark.read.format("image")
         .option("dropInvalid", True)
@@ -98,10 +101,35 @@ def read_image_sizes(spark: SparkSession, path: str, pattern: str = "*") -> Data
     )
     name = F.element_at(F.split("image.origin", "/"), -1)
     return images.select(
-        name.alias("image"), F.col("image.width").alias("width"), F.col("image.height").alias("height")
+        name.alias("image"),
+        F.col("image.width").alias("width"),
+        F.col("image.height").alias("height"),
+        F.col("image.origin").alias("path"),
     )
 
 
+def unread_files(spark: SparkSession, path: str, read: DataFrame, pattern: str = "*") -> DataFrame:
+    """(path, length) of the files below a folder of which `read` (column `path`) holds no row.
+
+    The listing reads no content. An empty file gives no row either and is not listed.
+    """
+    listed = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", pattern)
+        .load(path)
+        .select("path", "length")
+        .where("length > 0")
+    )
+
+    def bare(column: Column) -> Column:
+        # One reader gives file:///a, another file:/a.
+        return F.regexp_replace(column, "^([a-z0-9+.-]+):/+", "$1:/")
+
+    seen = read.select(bare(F.col("path")).alias("_seen")).distinct()
+    return listed.join(seen, bare(F.col("path")) == F.col("_seen"), "left_anti")
+
+
 def read_questions(spark: SparkSession, path: str) -> DataFrame:
     """The hand-kept evaluation questions."""
     return read_csv(spark, path, QUESTION_SCHEMA, multi_line=True)

@@ -117,3 +117,26 @@ def test_a_very_long_document(spark):
         settings = C.ChunkSettings(size_split=mode)
         rows = C.chunk_documents(frame(spark, [section, many]), "k", settings=settings).collect()
         assert len(rows) > 8_000
+
+
+def test_merge_fold_goes_over_block_ends(spark):
+    from pyspark.sql import functions as F
+
+    from sheafworks.operators import chunking
+
+    def starts(sizes, below, limit):
+        out, length = [], None
+        for i, size in enumerate(sizes):
+            if length is not None and length < below and length + size < limit:
+                length += 2 + size
+            else:
+                out.append(i)
+                length = size
+        return out
+
+    for n in (0, 1, 255, 256, 257, 3_000):
+        sizes = [(i * 37) % 90 + 1 for i in range(n)]
+        df = spark.createDataFrame([(["x" * s for s in sizes],)], "t array<string>")
+        chunks = F.transform("t", lambda t: F.struct(F.lit("a").alias("h1"), F.lit("b").alias("h2"), t.alias("text")))
+        got = df.select(chunking.merge_starts(chunks, 100, 180).alias("s")).first()["s"]
+        assert got == starts(sizes, 100, 180)

@@ -79,3 +79,20 @@ def test_split_by_order_and_first(rows):
     assert train == set(keys[: int(997 * 0.8)])
     assert [r["k"] for r in S.first_n(rows, "k", 10).collect()] == keys[:10]
     assert S.first_n(rows, "k", 5000).count() == 997
+
+
+def test_one_null_key_keeps_the_size_and_shared_keys_at_the_cut_fail(spark):
+    import pytest
+
+    from sheafworks.operators import sampling
+
+    df = spark.createDataFrame([(None,), *((i,) for i in range(9))], "k int")
+    split = {r["k"]: r["split"] for r in sampling.split_by_order(df, "k", 0.8).collect()}
+    assert [split[k] for k in (None, *range(9))] == ["train"] * 8 + ["test"] * 2
+    assert sampling.sample_exact(df, "k", 0.3).count() == 3
+    nulls = spark.createDataFrame([(None,)] * 3 + [(i,) for i in range(7)], "k int")
+    assert sampling.split_by_order(nulls, "k", 0.8).where("split = 'train'").count() == 8
+    with pytest.raises(ValueError, match="unique"):
+        sampling.split_by_order(nulls, "k", 0.2)
+    with pytest.raises(ValueError, match="unique"):
+        sampling.sample_exact(spark.createDataFrame([(1,)] * 10, "k int"), "k", 0.3)

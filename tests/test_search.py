@@ -92,3 +92,34 @@ def test_model_runs_once_per_row(spark):
     df = embed(spark.range(5).select(F.lit("x y").alias("text")), dim=4)
     used_twice = df.where(F.col("embeddings").isNotNull()).select(F.size("embeddings"), "embeddings")
     assert plan_of(used_twice).count("ArrowEvalPython") == 1
+
+
+def test_many_equal_rows_within_a_small_budget(spark, monkeypatch):
+    import numpy as np
+
+    from sheafworks.operators import search
+
+    rng = np.random.default_rng(3)
+    rows = np.repeat(rng.normal(size=(20, 4)), 50, axis=0)
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    ids = rng.permutation(1_000)
+    queries, query_ids = rows[::37], ids[::37]
+    for budget in (search.SCORE_BYTES, 8 * 1_024 * 64, 8 * 16):
+        monkeypatch.setattr(search, "SCORE_BYTES", budget)
+        got = search._candidates(query_ids, queries, ids, rows, 7, True)
+        assert (got.groupby("query_id").size() == 7).all()
+        for q, own in zip(queries, query_ids):
+            scores = np.round(rows @ q, 6) + 0.0
+            best = sorted((-s, i) for s, i in zip(scores, ids) if i != own)[:7]
+            part = got[got["query_id"] == own]
+            assert sorted((-s, i) for s, i in zip(part["score"], part["neighbour_id"])) == best
+
+
+def test_tiles_follow_the_length_of_vectors(spark, monkeypatch):
+    from sheafworks.operators import search
+
+    monkeypatch.setattr(search, "TILE_BYTES", 8 * 4 * 10)
+    rows = [(i, [float((i * j) % 7 + 1) for j in (1, 2, 3, 5)]) for i in range(45)]
+    df = spark.createDataFrame(rows, "id int, embedding array<double>")
+    whole = sorted(map(tuple, search.topk_cosine(df, df, 3).collect()))
+    assert sorted(map(tuple, search.topk_cosine(df, df, 3, max_broadcast_bytes=0).collect())) == whole

@@ -116,3 +116,17 @@ def test_filters_and_columns_reach_the_scan(spark, tmp_path):
     plan = plan_of(readers.read_parquet(spark, str(tmp_path / "p")).where("split = 'train' and id > 3").select("id"))
     assert "PartitionFilters: [isnotnull(split" in plan and "GreaterThan(id,3)" in plan
     assert "text" not in plan.split("ReadSchema")[1]
+
+
+def test_files_that_gave_no_row_are_listed(spark, tmp_path):
+    from sheafworks.sources import readers
+
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "a.png").write_bytes(b"no image")
+    (tmp_path / "sub" / "b.png").write_bytes(b"none")
+    (tmp_path / "c.txt").write_text("other")
+    sizes = readers.read_image_sizes(spark, str(tmp_path), "*.png")
+    lost = readers.unread_files(spark, str(tmp_path), sizes, "*.png").collect()
+    assert sorted(r["path"].rsplit("/", 1)[1] for r in lost) == ["a.png", "b.png"]
+    texts = readers.read_text_files(spark, str(tmp_path), ".txt", tolerant=True)
+    assert readers.unread_files(spark, str(tmp_path), texts, "*.txt").count() == 0

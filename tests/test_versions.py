@@ -81,3 +81,37 @@ def test_two_loaders_of_one_name_are_two_models(spark):
     for value in (1.0, 2.0):
         got = embed(df, load=lambda value=value: lambda texts: np.full((len(texts), 2), value)).collect()
         assert list(got[0].embeddings) == [value, value]
+
+
+def test_missing_content_is_an_error_and_listed(spark):
+    import pytest
+
+    manifest = V.table_manifest(frame(spark, [("k1", "h1"), ("k2", "h2")]), "t", "v1", "logical_path", F.col("md5"))
+    store = spark.createDataFrame([("h1", 5)], "md5 string, price int")
+    assert [r["logical_path"] for r in V.missing_content(manifest, "t", "v1", store).collect()] == ["k2"]
+    with pytest.raises(Exception, match="no content for k2"):
+        V.read_version(manifest, "t", "v1", store).select("price").collect()
+
+
+def test_row_hash_tells_nulls_apart(spark):
+    df = spark.createDataFrame([(None, "a"), ("a", None), (None, None), ("", "a")], "x string, y string")
+    assert df.select(V.row_hash("x", "y").alias("h")).distinct().count() == 4
+    one = spark.createDataFrame([("a", 1)], "x string, y int").select(V.row_hash("x", "y").alias("h")).first()
+    import hashlib
+
+    assert one["h"] == hashlib.md5(b"a|1").hexdigest()
+
+
+def test_reads_only_the_named_files_of_many_folders(spark, tmp_path):
+    for i in range(1_050):
+        folder = tmp_path / f"d{i} [{i % 2}]"
+        folder.mkdir()
+        (folder / "a.md").write_text(str(i))
+    (tmp_path / "d0 [0]" / "other.md").write_text("not in the version")
+    manifest = V.file_manifest(spark, str(tmp_path), "docs", "v1", "a.md").persist()
+    got = V.read_files_at(spark, manifest, "docs", "v1")
+    assert {r["logical_path"]: bytes(r["content"]) for r in got.collect()} == {
+        f"d{i} [{i % 2}]/a.md": str(i).encode() for i in range(1_050)
+    }
+    assert len(got.inputFiles()) == 1_050
+    manifest.unpersist()
