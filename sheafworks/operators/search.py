@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 # Queries are sent to every task up to this size; beyond it both sides are tiled.
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-# Bytes of vectors on each side of a tile, and of scores worked on at a time in a task.
+# Most rows and bytes of vectors on each side of a tile; bytes of scores worked on at a time.
+QUERIES_PER_TILE = 131_072
+CORPUS_PER_TILE = 131_072
 TILE_BYTES = 64 * 1024 * 1024
 SCORE_BYTES = 32 * 1024 * 1024
 
@@ -133,9 +135,9 @@ def _tiled(
     corpus: DataFrame, queries: DataFrame, k: int, n_queries: int, dim: int, skip_same: bool, schema: str
 ) -> DataFrame:
     """Each row is sent once per tile of the other side, so tiles are as large as memory allows."""
-    per_tile = max(1, TILE_BYTES // (8 * max(1, dim)))
-    q_tiles = max(1, -(-n_queries // per_tile))
-    c_tiles = max(1, -(-corpus.count() // per_tile))
+    fit = max(1, TILE_BYTES // (8 * max(1, dim)))
+    q_tiles = max(1, -(-n_queries // min(QUERIES_PER_TILE, fit)))
+    c_tiles = max(1, -(-corpus.count() // min(CORPUS_PER_TILE, fit)))
 
     def tiles(df: DataFrame, own: str, own_count: int, other: str, other_count: int) -> DataFrame:
         placed = df.withColumn(own, F.pmod(F.xxhash64("id"), F.lit(own_count)).cast("int"))
