@@ -23,11 +23,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Words, signed, sliding_max, sliding_min, slices, text_of, window_hashes, with_text
+from .common import Words, join_hashes, mix64, signed, sliding_max, sliding_min, slices, text_of, window_hashes, with_text
 from .sketch import build, maybe_repeated
 
 #: Windows held by one task before they are handed on.
 HELD = 1 << 19
+#: Places of one window that a task sends to where the window is grouped; it deals out the rest by itself.
+SENT = 4
 DEPTH = 2
 #: The largest sketch: 2^30 cells a row, 256 MB of bits for both rows.
 MAX_BITS = 30
@@ -101,6 +103,17 @@ def _candidates(size: int, bits: int, sketch):
         order = np.lexsort((w2, w1))
         w1, w2, place = w1[order], w2[order], [x[order] for x in place]
         first = np.append(True, (w1[1:] != w1[:-1]) | (w2[1:] != w2[:-1]))
+        # The task alone knows that a window with many places repeats: all but SENT of them go to a
+        # key of their own, so the group of a window in very many texts stays small.
+        own = np.flatnonzero(first)
+        count = np.diff(np.append(own, len(w1)))
+        cut = own[count > 2 * SENT] + SENT
+        if len(cut):
+            length = count[count > 2 * SENT] - SENT
+            far = np.repeat(cut, length) + np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
+            place_key = mix64(place[0][cut].astype(np.int64).view(np.uint64)) + place[2][cut].astype(np.uint64)
+            w1[far] = np.repeat(join_hashes(w1[cut], place_key), length)
+            first[cut] = True
         head, rest = np.flatnonzero(first), np.flatnonzero(~first)
         # One place stands in the row, further ones of the same window in a list.
         ends = np.searchsorted(rest, np.append(head, len(w1))).astype(np.int32)
@@ -153,9 +166,10 @@ def _keys(text: str | Column) -> tuple[Column, Column]:
 def repeated_windows(documents: DataFrame, size: int = 35, bits: int | None = None) -> DataFrame:
     """(kd, kt, starts): for each text, by id and text hash, the first words of its repeated windows.
 
-    A window in many texts is first grouped inside each task, so the row of a hot window counts
-    once for each task (or for each half million windows), not once for each text. Texts with no
-    repeated window give no row.
+    A window in many texts is first grouped inside each task. A task sends at most 2 * SENT places
+    of a window (for each half million windows) to where the window is grouped; further places are
+    known to be repeated and travel under keys of their own. Texts with no repeated window give no
+    row.
     """
     spark = documents.sparkSession
     texts = documents.select(text_of().alias("text"), F.col("doc_id"))

@@ -297,6 +297,21 @@ def test_no_rows_no_repeats(nothing):
     assert substring_dedup.remove_repeats(nothing).count() == 0
 
 
+def test_a_hot_window_sends_few_places():
+    class Full:
+        value = [bytes([255]) * 32]
+
+    n = 500
+    batch = pa.record_batch(
+        [pa.array(["a b c d"] * n), pa.array(range(n), pa.int64()), pa.array([1] * n, pa.int32())], ["text", "kd", "kt"]
+    )
+    rows = [r for b in substring_dedup._candidates(4, 8, Full)(iter([batch])) for r in b.to_pylist()]
+    places = [[r["kd"], *(m["kd"] for m in r["more"] or [])] for r in rows]
+    assert sorted(sum(places, [])) == list(range(n))
+    assert len({(r["w1"], r["w2"]) for r in rows}) == len(rows) == 2
+    assert min(map(len, places)) == substring_dedup.SENT
+
+
 # 8
 
 
