@@ -27,6 +27,9 @@ ANCHORS = 64
 #: Rows in one range of ids, and ranges told apart by collected bounds.
 RANGE_ROWS = 512
 MAX_BOUNDS = 8192
+#: Equal steps between two bounds at most; the table of ranges that travels to all tasks has
+#: MAX_BOUNDS * MAX_STEPS rows at most, and beyond that ranges hold more rows (their sort spills).
+MAX_STEPS = 16
 
 _LOWEST = -(2**63)
 
@@ -171,8 +174,8 @@ def with_next_text(documents: DataFrame) -> DataFrame:
     rows = rows.withColumn("_key", F.coalesce(F.col("doc_id").cast("long"), F.lit(_LOWEST)))
     total = rows.count()
     ranges = max(1, -(-total // RANGE_ROWS))
-    parts = -(-ranges // MAX_BOUNDS)
-    coarse = -(-ranges // parts)
+    parts = min(MAX_STEPS, -(-ranges // MAX_BOUNDS))
+    coarse = min(MAX_BOUNDS, -(-ranges // parts))
     bounds: list[int] = []
     if coarse > 1:
         marks = [i / coarse for i in range(1, coarse)]
