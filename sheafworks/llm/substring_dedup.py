@@ -34,7 +34,7 @@ DEPTH = 2
 #: The largest sketch: 2^30 cells a row, 256 MB of bits for both rows.
 MAX_BITS = 30
 
-_PLACE = pa.struct([("kd", pa.int64()), ("kt", pa.int32()), ("pos", pa.int32())])
+_PLACE = pa.struct([("kd", pa.int64()), ("kt", pa.int64()), ("pos", pa.int32())])
 _WINDOWS = pa.schema(
     [("w1", pa.int64()), ("w2", pa.int32()), *((f.name, f.type) for f in _PLACE), ("more", pa.list_(_PLACE))]
 )
@@ -88,7 +88,7 @@ def _candidates(size: int, bits: int, sketch):
             if not len(first):
                 continue
             text = np.searchsorted(words.bounds, first, "right") - 1
-            kd, kt = (part.column(c).to_numpy(zero_copy_only=False)[text] for c in ("kd", "kt"))
+            kd, kt = (part.column(c).to_numpy(zero_copy_only=False).astype(np.int64)[text] for c in ("kd", "kt"))
             w1, w2 = (window_hashes(h, size)[first] for h in words.hashes)
             pos = (first - words.bounds[text]).astype(np.int32)
             held.append((w1, (w2 >> np.uint64(32)).astype(np.uint32).view(np.int32), kd, kt, pos))
@@ -160,7 +160,8 @@ def _cut(size: int, keep_text: bool):
 
 
 def _keys(text: str | Column) -> tuple[Column, Column]:
-    return F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))), F.hash(text)
+    """Id and text hash; 64 bits of the text, as all rows with a null or the same id share the first."""
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))), F.xxhash64(text)
 
 
 def repeated_windows(documents: DataFrame, size: int = 35, bits: int | None = None) -> DataFrame:
@@ -177,11 +178,11 @@ def repeated_windows(documents: DataFrame, size: int = 35, bits: int | None = No
     # At most 256 MB of bits, whatever the data.
     sketch = spark.sparkContext.broadcast(build(texts.select("text"), _sketched(size), bits, DEPTH))
     kd, kt = _keys("text")
-    schema = "w1 long, w2 int, kd long, kt int, pos int, more array<struct<kd:long,kt:int,pos:int>>"
+    schema = "w1 long, w2 int, kd long, kt long, pos int, more array<struct<kd:long,kt:long,pos:int>>"
     rows = texts.select("text", kd.alias("kd"), kt.alias("kt")).mapInArrow(_candidates(size, bits, sketch), schema)
     n = 1 + F.coalesce(F.when(F.col("more").isNotNull(), F.size("more")), F.lit(0))
     total = F.sum(n).over(Window.partitionBy("w1", "w2"))
-    places = F.concat(F.array(F.struct("kd", "kt", "pos")), F.coalesce("more", F.array().cast("array<struct<kd:bigint,kt:int,pos:int>>")))
+    places = F.concat(F.array(F.struct("kd", "kt", "pos")), F.coalesce("more", F.array().cast("array<struct<kd:bigint,kt:bigint,pos:int>>")))
     repeated = rows.withColumn("_all", total).where("_all > 1").select(F.inline(places))
     return repeated.groupBy("kd", "kt").agg(F.collect_list("pos").alias("starts"))
 

@@ -297,6 +297,14 @@ def test_no_rows_no_repeats(nothing):
     assert substring_dedup.remove_repeats(nothing).count() == 0
 
 
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_texts_with_one_id_and_equal_32_bit_hashes_stay_apart(spark, doc_id):
+    clean = "clean3460 other3460 text3460"
+    rows = [(doc_id, t) for t in (clean, "p q r s t u v w24640", "p q r s t u v x")]
+    got = substring_dedup.remove_repeats(table(spark, rows), 3)
+    same([r.kept for r in got.collect()], [clean, "w24640", "x"])
+
+
 def test_a_hot_window_sends_few_places():
     class Full:
         value = [bytes([255]) * 32]
