@@ -1,10 +1,11 @@
 """Brown's class-based bigram model with exchange clustering.
 
 P(word | word before) = P(class | class before) * P(word | class), mixed with an add-one unigram.
-All training words are counted. The `HEAD` most frequent words are clustered by exchange over all
-their bigrams; the next ones, up to `KNOWN` words, are classes by rank octave, and all others are
-one class of rare words, in which a word has its count less a discount and an unseen word what
-the discounts leave.
+All training words are counted and clustered. The `HEAD` most frequent are clustered by exchange on
+the driver, as a start; each other word goes, in tasks, to the class that its neighbours make
+likeliest: first those up to `KNOWN`, then all the rest, these once more after the grid of class
+bigrams has been rebuilt with them. Words beyond `KNOWN` have their count less a discount, and an
+unseen word has what the discounts leave.
 """
 
 from __future__ import annotations
@@ -21,7 +22,8 @@ from sheafworks.session import scratch_path
 
 from .common import Words, share, shared, signed, slices, text_of, write_once
 
-#: Words that exchange may move, words with counts in every task (1 MB), classes of the first.
+#: Words that exchange moves on the driver, words with count and class in every task (1 MB), the
+#: fewest classes: more than 262,144 different words make it the cube root of their number.
 HEAD, KNOWN, CLASSES = 2048, 65_536, 64
 SWEEPS = 6
 #: Weight of the class model against the unigram; what is added to each class transition.
@@ -185,6 +187,144 @@ def exchange(table: np.ndarray, classes: int, sweeps: int = SWEEPS) -> np.ndarra
     return of[:words]
 
 
+def _h(x: np.ndarray) -> np.ndarray:
+    return x * np.log(np.maximum(x, 1))
+
+
+def _contexts(held, low: int, high: int):
+    """(word, other, f, n) of the words of ranks `low` to `high`, summed inside the task.
+
+    f is the class before the word, or `total` plus the class after it; where two unranked words
+    meet, there is also a row with the second as `other`.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        np.seterr(over="ignore")
+        chosen: ClassOf = shared(held)
+        total, rest = chosen.total, len(chosen.known.words)
+        rows: list[tuple[np.ndarray, ...]] = []
+
+        def out() -> pa.RecordBatch:
+            word, other, f = map(np.concatenate, zip(*rows, strict=True))
+            order = np.lexsort((f, other, word))
+            word, other, f = word[order], other[order], f[order]
+            new = np.append(True, (word[1:] != word[:-1]) | (other[1:] != other[:-1]) | (f[1:] != f[:-1]))
+            at = np.flatnonzero(new)
+            n = np.diff(np.append(at, len(word)))
+            columns = [pa.array(signed(word[at])), pa.array(signed(other[at]), mask=f[at] >= 0), pa.array(f[at]), pa.array(n)]
+            return pa.record_batch(columns, ["word", "other", "f", "n"])
+
+        for part in slices(batches):
+            tokens, bounds = _tokens(part.column("text"))
+            place = chosen.known.place(tokens)
+            own = chosen.at(tokens, place).astype(np.int32)
+            before = np.append(np.int32(total - 1), own[:-1])
+            before[bounds[:-1]] = total - 1
+            after = np.append(own[1:], np.int32(total - 1))
+            words = tokens != END
+            here = np.flatnonzero(words & (place >= low) & (place <= high))
+            none = np.zeros(len(here), np.uint64)
+            rows.append((tokens[here], none, before[here]))
+            rows.append((tokens[here], none, after[here] + np.int32(total)))
+            if high >= rest:
+                tail = words & (place == rest)
+                both = np.flatnonzero(tail[:-1] & tail[1:])
+                rows.append((tokens[both], tokens[both + 1], np.full(len(both), -1, np.int32)))
+            if sum(len(r[0]) for r in rows) > HELD // 4:
+                yield out()
+                rows = []
+        if rows:
+            yield out()
+
+    return run
+
+
+def _best_class(held):
+    """(word, class) from the neighbours of each word, which come sorted by word; `own` is its class so far, or -1."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grid = shared(held).astype(float)
+        total = len(grid)
+        classes = total - 2
+        near = np.vstack([grid[:, :classes], grid[:classes].T])
+        h_near = _h(near)
+        sums = [grid.sum(1)[:classes], grid.sum(0)[:classes]]
+        kept = None
+
+        def placed(word, f, n, own) -> pa.RecordBatch:
+            first = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+            gain = np.add.reduceat(_h(near[f] + n[:, None]) - h_near[f], first)
+            size, now = np.add.reduceat(np.where(f >= total, n, 0), first), own[first]
+            for s in sums:
+                gain -= _h(s + size[:, None]) - _h(s)
+            at = np.flatnonzero(now >= 0)
+            if len(at):  # what a word gives to its own class is in the grid already
+                mine = np.maximum(own, 0)
+                stay = np.add.reduceat(h_near[f, mine] - _h(np.maximum(near[f, mine] - n, 0)), first)[at]
+                for s in sums:
+                    stay -= _h(s[now[at]]) - _h(np.maximum(s[now[at]] - size[at], 0))
+                gain[at, now[at]] = stay
+            return pa.record_batch([pa.array(word[first]), pa.array(gain.argmax(1).astype(np.int32))], ["word", "class"])
+
+        for batch in batches:
+            rows = [batch.column(c).to_numpy() for c in ("word", "f", "n", "own")]
+            if kept is not None:
+                rows = [np.append(a, b) for a, b in zip(kept, rows, strict=True)]
+            if not len(rows[0]):
+                continue
+            cut = int(np.searchsorted(rows[0], rows[0][-1]))
+            kept = [r[cut:] for r in rows]
+            if cut:
+                yield placed(*(r[:cut] for r in rows))
+        if kept is not None:
+            yield placed(*kept)
+
+    return run
+
+
+def _place(near: DataFrame, grid: np.ndarray) -> DataFrame:
+    """(word, class) of each word of (word, f, n, own)."""
+    held = share(near.sparkSession, grid)
+    sums = near.repartition("word").groupBy("word", "f").agg(F.sum("n").alias("n"), F.max("own").alias("own"))
+    return sums.sortWithinPartitions("word").mapInArrow(_best_class(held), "word long, class int")
+
+
+_CONTEXT = "word long, other long, f int, n long"
+
+
+def _place_rest(texts: DataFrame, chosen: ClassOf, pairs: np.ndarray) -> tuple[DataFrame, np.ndarray]:
+    """(word, class) of all words that `chosen` has no class for, and the whole table of class neighbours."""
+    spark, total = texts.sparkSession, chosen.total
+    rest = len(chosen.known.words)
+    found = texts.mapInArrow(_contexts(share(spark, chosen), rest, rest), _CONTEXT)
+    found = write_once(found, scratch_path(spark, "contexts"))
+    alone = found.where("other is null").select("word", "f", "n")
+    both = found.where("other is not null").groupBy("word", "other").agg(F.sum("n").alias("n"))
+    known = alone.where(~F.col("f").isin(total - 2, 2 * total - 2))
+    placed = write_once(_place(alone.withColumn("own", F.lit(-1)), pairs), scratch_path(spark, "classes"))
+
+    def with_classes(of: DataFrame) -> DataFrame:
+        left = of.select("word", F.col("class").alias("left"))
+        right = of.select(F.col("word").alias("other"), F.col("class").alias("right"))
+        return both.join(right, "other").join(left, "word")
+
+    def whole(of: DataFrame) -> np.ndarray:
+        table = pairs.copy()
+        table[total - 2] = table[:, total - 2] = 0
+        for c, f, n in known.join(of, "word").groupBy("class", "f").agg(F.sum("n")).collect():
+            table[(f, c) if f < total else (c, f - total)] += n
+        for a, b, n in with_classes(of).groupBy("left", "right").agg(F.sum("n")).collect():
+            table[a, b] += n
+        return table
+
+    joined = with_classes(placed)
+    near = known.unionByName(joined.select("word", (F.col("right") + total).alias("f"), "n"))
+    near = near.unionByName(joined.select(F.col("other").alias("word"), F.col("left").alias("f"), "n"))
+    again = _place(near.join(placed.withColumnRenamed("class", "own"), "word"), whole(placed))
+    again = write_once(again, scratch_path(spark, "classes"))
+    return again, whole(again)
+
+
 @dataclass
 class Rank:
     """Ranks tokens of the head; then come all others and the end."""
@@ -200,7 +340,7 @@ class Rank:
 
 @dataclass
 class ClassOf:
-    """The class of each token; the last two are the rare words and the end."""
+    """The class of each token; the last two are the words not known here and the end."""
 
     known: Known
     of: np.ndarray
@@ -223,14 +363,15 @@ class Model:
     base: np.ndarray  # add-one unigram of the same
     tokens: int
     types: int
-    rare_tokens: int
-    rare_types: int
+    sizes: np.ndarray  # tokens of each class
+    unseen: np.ndarray  # P(an unseen word | class before)
     discount: float
     mix: float
 
 
-def train(texts: DataFrame, head: int = HEAD, known: int = KNOWN, classes: int = CLASSES) -> tuple[Model, DataFrame]:
-    """(model, counts) from a table with a column text; counts is (word, n) of every training word.
+def train(texts: DataFrame, head: int = HEAD, known: int = KNOWN, classes: int | None = None) -> tuple[Model, DataFrame]:
+    """(model, counts) from a table with a column text; counts is (word, n, class) of every
+    training word; of the known ones the model has the class.
 
     What is in the model has the fixed size `known`; the counts stay a table in the shared folder.
     """
@@ -249,32 +390,54 @@ def train(texts: DataFrame, head: int = HEAD, known: int = KNOWN, classes: int =
         F.count(F.when(F.col("n") == 2, 1)).alias("twice"),
     ).first()
     head = min(head, len(best.words))
+    types = of_counts["types"]
+    classes = max(CLASSES, int(np.ceil(np.cbrt(types)))) if classes is None else classes
     classes = max(1, min(classes, head))
-    of = exchange(neighbour_counts(texts, Rank(best, head), head + 2), classes)
-    octave = np.floor(np.log2(np.arange(head, len(best.words)) / max(head, 1) if head else np.empty(0))).astype(np.int64)
-    of = np.append(of, classes + octave).astype(np.int64)
-    total = int(of.max(initial=classes - 1)) + 3
+    total = classes + 2
+    table = neighbour_counts(texts, Rank(best, head), head + 2)
+    of = exchange(table, classes).astype(np.int64)
+    if len(best.words) > head:
+        ends = np.append(of, [classes, classes + 1])
+        grid = np.zeros((total, total))
+        np.add.at(grid, (ends[:, None], ends[None, :]), table)
+        of = np.append(of, np.full(len(best.words) - head, classes))
+        near = texts.mapInArrow(_contexts(share(spark, ClassOf(best, of, total)), head, len(best.words) - 1), _CONTEXT)
+        placed = _place(near.select("word", "f", "n", F.lit(-1).alias("own")), grid).toArrow()
+        of[best.place(placed.column("word").to_numpy().view(np.uint64))] = placed.column("class").to_numpy()
     chosen = ClassOf(best, of, total)
     pairs = neighbour_counts(texts, chosen, total)
+    size, alone = np.bincount(of, best.counts, total), np.zeros(total)
+    if types - len(best.words) - (of_counts["ends"] > 0):
+        rest, pairs = _place_rest(texts, chosen, pairs)
+        counts = write_once(counts.join(rest, "word", "left"), scratch_path(spark, "word-classes"))
+        for c, n, words in counts.where("class is not null").groupBy("class").agg(F.sum("n"), F.count(F.lit(1))).collect():
+            size[c] += n
+            alone[c] = words
+    else:
+        counts = counts.withColumn("class", F.lit(None).cast("int"))
+    once, twice = of_counts["once"], of_counts["twice"]
+    discount = once / (once + 2 * twice) if once else 0.5
     moves = (pairs + ADDED) / (pairs.sum(1, keepdims=True) + ADDED * total)
-    size = np.bincount(of, best.counts, total)
+    if alone.any():  # after an unseen word comes what comes after those beyond the known ones
+        moves[total - 2] = alone @ moves / alone.sum()
+    left = discount * alone / np.maximum(size, 1)
+    left[total - 2] = 1
     emits = np.append(best.counts / np.maximum(size[of], 1), 1.0)
-    base = (np.append(best.counts, of_counts["ends"]) + 1) / (of_counts["tokens"] + of_counts["types"] + 1)
-    once, twice = of_counts["once"], of_counts["twice"]
-    model = Model(
-        chosen, moves, emits, base, of_counts["tokens"], of_counts["types"],
-        of_counts["tokens"] - of_counts["ends"] - int(best.counts.sum()),
-        of_counts["types"] - len(best.words) - (of_counts["ends"] > 0),
-        once / (once + 2 * twice) if once else 0.5, MIX,
-    )
+    base = (np.append(best.counts, of_counts["ends"]) + 1) / (of_counts["tokens"] + types + 1)
+    model = Model(chosen, moves, emits, base, of_counts["tokens"], types, size, moves @ left, discount, MIX)
     return model, counts
 
 
-_TAIL = pa.list_(pa.struct([("word", pa.int64()), ("before", pa.int32())]))
+_TAIL = pa.list_(pa.struct([("word", pa.int64()), ("at", pa.int64())]))
 
 
 def _score(held):
-    """For each text: what its known words add, and its other words with the class before each."""
+    """For each text: what its known words add, and its other words with where they stand.
+
+    `at` has the number among these words of the text, the class before (that of unknown words if
+    one is before) and the rank of the next word (one more than that of the end if it is unknown).
+    What a known word adds after another word is added with that word.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         np.seterr(over="ignore")
@@ -292,13 +455,15 @@ def _score(held):
             at = np.minimum(place[here], size)  # `size` is the end
             plain = model.base[at]
             mixed = model.mix * model.moves[before[here], own[here]] * model.emits[at] + (1 - model.mix) * plain
+            mixed[before[here] == rare] = 1
             sums = [np.bincount(text[here], np.log10(x), part.num_rows) for x in (plain, mixed)]
             known = np.bincount(text[here & ((own != rare + 1) | (model.tokens > 0))], minlength=part.num_rows)
             tail = np.flatnonzero(~here)
             ends = np.searchsorted(text[tail], np.arange(part.num_rows + 1)).astype(np.int32)
-            rows = pa.StructArray.from_arrays(
-                [pa.array(signed(tokens[tail])), pa.array(before[tail].astype(np.int32))], ["word", "before"]
-            )
+            number = np.arange(len(tail)) - ends[text[tail]]
+            after = np.where(here[(tail + 1) % len(here)], np.minimum(place[(tail + 1) % len(here)], size), size + 1)
+            at = number << 32 | before[tail].astype(np.int64) << 18 | after
+            rows = pa.StructArray.from_arrays([pa.array(signed(tokens[tail])), pa.array(at)], ["word", "at"])
             columns = [part.column(c) for c in ("doc_id", "kd", "kt")]
             columns += [pa.array(np.diff(bounds)), pa.array(known.astype(np.int64)), pa.array(sums[0]), pa.array(sums[1])]
             columns.append(pa.ListArray.from_arrays(pa.array(ends), rows))
@@ -309,10 +474,48 @@ def _score(held):
     return run
 
 
+def _score_tail(held):
+    """(kd, kt, t_known, t_base, t_score) from the words that stand in order of text and place; equal rows count once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model: Model = shared(held)
+        rare, end = model.classes.total - 2, len(model.classes.known.words)
+        of = np.append(model.classes.of, [rare + 1])
+        last = None
+        for batch in batches:
+            rows = np.stack([batch.column(c).to_numpy() for c in ("kd", "kt", "at", "n", "class")])
+            skip = last is not None
+            if skip:
+                rows = np.hstack([last, rows])
+            if not rows.shape[1]:
+                continue
+            last = rows[:, -1:]
+            new = np.append(True, (rows[:3, 1:] != rows[:3, :-1]).any(0))
+            rows = rows[:, new]
+            kd, kt, at, n, own = rows
+            before, after = (at >> 18) & 0x3FFF, at & 0x3FFFF
+            before = np.where(before == rare, np.append(rare, own[:-1]), before)
+            plain = (n + 1) / float(model.tokens + model.types + 1)
+            seen = model.moves[before, own] * (n - model.discount) / np.maximum(model.sizes[own], 1)
+            score = np.log10(model.mix * np.where(n > 0, seen, model.unseen[before]) + (1 - model.mix) * plain)
+            known = after <= end
+            to = np.minimum(after, end)
+            follow = model.mix * model.moves[own, of[to]] * model.emits[to] + (1 - model.mix) * model.base[to]
+            score += np.where(known, np.log10(follow), 0)
+            kd, kt, n, plain, score = (x[int(skip) :] for x in (kd, kt, n, plain, score))
+            if not len(kd):
+                continue
+            first = np.flatnonzero(np.append(True, (kd[1:] != kd[:-1]) | (kt[1:] != kt[:-1])))
+            sums = [np.add.reduceat(x, first) for x in ((n > 0).astype(np.int64), np.log10(plain), score)]
+            yield pa.record_batch([pa.array(x) for x in (kd[first], kt[first], *sums)], ["kd", "kt", "t_known", "t_base", "t_score"])
+
+    return run
+
+
 def score_documents(documents: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
     """doc_id, n_tokens, n_known, base_score and score of each row of (doc_id, text); null text: empty.
 
-    Known words are scored where the text is read. The others meet their counts in a join by word,
+    Known words are scored where the text is read. The others meet their counts and classes in a join by word,
     a key that no rare word makes hot, and return by text. Rows with the same id and text score alike.
     """
     spark = documents.sparkSession
@@ -322,33 +525,20 @@ def score_documents(documents: DataFrame, model: Model, counts: DataFrame) -> Da
     texts = documents.select("doc_id", kd.alias("kd"), F.xxhash64(text_of()).alias("kt"), text_of().alias("text"))
     schema = (
         f"doc_id {kind}, kd long, kt long, n_tokens long, known long, base_sum double, score_sum double, "
-        "tail array<struct<word:long,before:int>>"
+        "tail array<struct<word:long,at:long>>"
     )
     parts = write_once(texts.mapInArrow(_score(held), schema), scratch_path(spark, "scores"))
     tail = parts.select("kd", "kt", F.inline("tail")).join(counts, "word", "left")
-    # The counts travel on, not the sums: small whole numbers are cheaper to shuffle.
-    tail = tail.select("kd", "kt", "before", F.coalesce("n", F.lit(0)).alias("n")).repartition("kd", "kt")
     rare = model.classes.total - 2
-    move = F.get(F.lit([float(x) for x in model.moves[:, rare]]), F.col("before"))
-    plain = (F.col("n") + 1) / F.lit(float(model.tokens + model.types + 1))
-    if model.rare_tokens:
-        seen = (F.col("n") - model.discount) / model.rare_tokens
-        emit = F.when(F.col("n") > 0, seen).otherwise(model.discount * model.rare_types / model.rare_tokens)
-    else:
-        emit = F.lit(1.0)
-    sums = tail.groupBy("kd", "kt").agg(
-        F.count(F.lit(1)).alias("t_rows"),
-        F.sum((F.col("n") > 0).cast("long")).alias("t_known"),
-        F.sum(F.log10(plain)).alias("t_base"),
-        F.sum(F.log10(model.mix * move * emit + (1 - model.mix) * plain)).alias("t_score"),
-    )
-    both = parts.withColumn("own", F.size("tail").cast("long")).drop("tail").join(sums, ["kd", "kt"], "left")
-    # Equal rows have summed up together: each takes its part.
-    part = F.col("own") / F.col("t_rows")
+    tail = tail.select("kd", "kt", "at", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("class", F.lit(rare)).cast("long").alias("class"))
+    tail = tail.repartition("kd", "kt").sortWithinPartitions("kd", "kt", "at")
+    sums = tail.mapInArrow(_score_tail(held), "kd long, kt long, t_known long, t_base double, t_score double")
+    sums = sums.groupBy("kd", "kt").agg(*(F.sum(c).alias(c) for c in ("t_known", "t_base", "t_score")))
+    both = parts.drop("tail").join(sums, ["kd", "kt"], "left")
     return both.select(
         "doc_id",
         "n_tokens",
-        (F.col("known") + F.coalesce(F.expr("t_known * own div t_rows"), F.lit(0))).alias("n_known"),
-        (F.col("base_sum") + F.coalesce(F.col("t_base") * part, F.lit(0.0))).alias("base_score"),
-        (F.col("score_sum") + F.coalesce(F.col("t_score") * part, F.lit(0.0))).alias("score"),
+        (F.col("known") + F.coalesce("t_known", F.lit(0))).alias("n_known"),
+        (F.col("base_sum") + F.coalesce("t_base", F.lit(0.0))).alias("base_score"),
+        (F.col("score_sum") + F.coalesce("t_score", F.lit(0.0))).alias("score"),
     )

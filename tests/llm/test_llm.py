@@ -259,6 +259,42 @@ def test_class_lm(spark, docs, rows, nothing):
     assert class_lm.score_documents(docs, empty, counts).count() == len(rows)
 
 
+def test_every_training_word_has_a_class_by_its_neighbours(spark):
+    rng = random.Random(6)
+    kinds = [[f"{k}{i}" for i in range(30)] for k in "ab"]
+    turn = [["the"], kinds[0] + ["a0"] * 20, ["is"], kinds[1] + ["b0"] * 20]
+    texts = [" ".join(rng.choice(own) for _ in range(20) for own in turn) for _ in range(40)]
+    docs = spark.createDataFrame([*enumerate(texts), (90, "the zzz a1 b1 b2 is"), (90, "the zzz a1 b1 b2 is")], "doc_id long, text string")
+    train = docs.where("doc_id < 90")
+    model, counts = class_lm.train(train, head=4, known=20, classes=4)
+    np.seterr(over="ignore")
+    names = [w for k in kinds for w in k] + ["the", "is", "zzz"]
+    hashes = dict(zip(names, common.Words(pa.array(names), lower=True).hashes[0], strict=True))
+    own = {r.word: r["class"] for r in counts.collect()}
+    known = dict(zip(model.classes.known.words.tolist(), model.classes.of.tolist(), strict=True))
+    of = {w: known.get(int(h), own.get(int(h.astype(np.int64)))) for w, h in hashes.items()}
+    assert None not in [of[w] for k in kinds for w in k]
+    first, second = ({of[w] for w in k} for k in kinds)
+    assert not first & second
+    # The scores are those of a plain walk through the text.
+    c = collections.Counter(w for t in texts for w in t.split())
+    place = {int(h): i for i, h in enumerate(model.classes.known.words)}
+    rare = model.classes.total - 2
+    for r in class_lm.score_documents(docs, model, counts).where("doc_id in (3, 90)").collect():
+        text, before, score = texts[3] if r.doc_id == 3 else "the zzz a1 b1 b2 is", rare + 1, 0
+        for w in [*text.split(), None]:
+            k = rare + 1 if w is None else rare if of[w] is None else of[w]
+            base = ((c[w] if w else len(texts)) + 1) / (model.tokens + model.types + 1)
+            at = None if w is None else place.get(int(hashes[w]))
+            if w is None or at is not None:
+                p = model.moves[before, k] * model.emits[-1 if w is None else at]
+            else:
+                p = model.moves[before, k] * (c[w] - model.discount) / model.sizes[k] if c[w] else model.unseen[before]
+            score += math.log10(model.mix * p + (1 - model.mix) * base)
+            before = k
+        assert abs(score - r.score) < 1e-6
+
+
 def test_exchange_never_lowers_the_likelihood():
     rng = np.random.default_rng(3)
     counts = rng.poisson(2, (22, 22)).astype(np.int64)
