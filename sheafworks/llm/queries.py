@@ -16,6 +16,7 @@ from . import (
     ngram_join,
     packing,
     quality_rules,
+    runs,
     sharding,
     substring_dedup,
     toxicity,
@@ -103,6 +104,11 @@ def op10_sorted_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op13_kruskal_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document, one in ten of them made periodic first."""
+    return runs.digests(runs.find_runs(runs.with_repeats(_documents(spark, sf_dir)), keep_text=False))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_tree_bpe,
@@ -115,6 +121,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_signature_tree_join,
         op9_nb_ngram_toxicity,
         op10_sorted_runs,
+        op13_kruskal_runs,
     ]
     return {f.__name__: f for f in found} | {"pipeline": corpus_pipeline.run}
 
@@ -242,10 +249,66 @@ from docs left join kept using (rn)
 """
 
 
+_OP13 = rf"""
+with recursive docs as (
+    select row_number() over () as rn, doc_id, {_WORDS} as ws, coalesce(cast(doc_id as varchar), '') as d from documents
+), bits as (
+    select rn, d, 0 as k, 4294967295::bigint as c from docs
+    union all
+    select rn, d, k + 1, case when x & 1 = 1 then xor(x >> 1, 3988292384::bigint) else x >> 1 end
+    from (
+        select rn, d, k, case when k % 8 = 0 then xor(c, ascii(substr(d, k // 8 + 1, 1))::bigint) else c end as x
+        from bits where k < 8 * length(d)
+    )
+), edits as (
+    select rn, doc_id, ws, len(ws) as n, h, h // 10 as g
+    from docs join (select rn, xor(c, 4294967295::bigint) as h from bits where k = 8 * length(d)) using (rn)
+), places as (
+    select *, case when h % 10 = 0 and n > 0 then g % n end as a from edits
+), periods as (
+    select *, 1 + (n - a) // (3 + g % 8) as p from places
+), texts as (
+    select rn, doc_id, n, case when a is null then ws
+        else ws[:a] || list_transform(range(0, n - a), lambda i: ws[a + i % p + 1]) end as ws
+    from periods
+), windows as (
+    select rn, i, array_to_string(ws[i:i + 15], ' ') as s
+    from (select rn, ws, unnest(range(1, n - 14)) as i from texts where n >= 16)
+), pairs as (
+    select x.rn, x.i, y.i - x.i as q from windows x join windows y on x.rn = y.rn and x.s = y.s and x.i < y.i
+), islands as (
+    select rn, q, min(i) as i, count(*) + 15 + q as length
+    from (select *, i - row_number() over (partition by rn, q order by i) as island from pairs) group by rn, q, island
+), found as (
+    select rn, i - 1 as start, length, min(q) as period
+    from islands where length >= 24 and length >= 3 * q group by rn, i, length
+), best as (
+    select rn, start, length, period
+    from (select *, row_number() over (partition by rn order by length::double / period desc, start, period) as k from found)
+    where k = 1
+), lists as (
+    select rn, count(*) as n_runs,
+        string_agg(concat(start, ',', length, ',', period, chr(10)), '' order by start, period) as l
+    from found group by rn
+), gone as (
+    select distinct rn, unnest(range(start + period, start + length)) + 1 as pos from found
+), words as (
+    select rn, unnest(ws) as w, generate_subscripts(ws, 1) as pos from texts
+), kept as (
+    select rn, string_agg(w, ' ' order by pos) as t from words anti join gone using (rn, pos) group by rn
+)
+select doc_id, coalesce(n_runs, 0)::bigint as n_runs, start::bigint as start, length::bigint as length,
+    period::bigint as period, (1000 * length // period)::bigint as exponent_milli,
+    sha256(coalesce(l, '')) as runs_sha256, sha256(coalesce(t, '')) as collapsed_sha256
+from texts left join best using (rn) left join lists using (rn) left join kept using (rn)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op4_host_rules": _OP4,
         "op7_count_min_substrings": _OP7,
         "op8_signature_tree_join": _OP8,
         "op10_sorted_runs": _OP10,
+        "op13_kruskal_runs": _OP13,
     }
