@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
+    alignment,
     bpe,
     class_lm,
     fingerprints,
@@ -104,6 +105,12 @@ def op10_sorted_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_interval_coalescing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alignment of two tokenizers on every document, with corpus-wide counts of linked ids."""
+    found = alignment.align_documents(_documents(spark, sf_dir), keep_groups=False)
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
 def op13_kruskal_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Periodic runs of every document, one in ten of them made periodic first."""
     return runs.digests(runs.find_runs(runs.with_repeats(_documents(spark, sf_dir)), keep_text=False))
@@ -121,6 +128,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_signature_tree_join,
         op9_nb_ngram_toxicity,
         op10_sorted_runs,
+        op11_interval_coalescing,
         op13_kruskal_runs,
     ]
     return {f.__name__: f for f in found} | {"pipeline": corpus_pipeline.run}
