@@ -13,6 +13,7 @@ from . import (
     bpe,
     class_lm,
     fingerprints,
+    html_paths,
     line_dedup,
     ngram_join,
     packing,
@@ -111,6 +112,12 @@ def op11_interval_coalescing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("groups", "groups_sha256")
 
 
+def op12_host_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page by the container paths of its host."""
+    found = html_paths.extract_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op13_kruskal_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Periodic runs of every document, one in ten of them made periodic first."""
     return runs.digests(runs.find_runs(runs.with_repeats(_documents(spark, sf_dir)), keep_text=False))
@@ -129,6 +136,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_nb_ngram_toxicity,
         op10_sorted_runs,
         op11_interval_coalescing,
+        op12_host_paths,
         op13_kruskal_runs,
     ]
     return {f.__name__: f for f in found} | {"pipeline": corpus_pipeline.run}
@@ -257,6 +265,23 @@ from docs left join kept using (rn)
 """
 
 
+#: For pages with one article element without parts to leave out, as the given tables have them.
+_OP12 = r"""
+with found as (
+    select page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1) as a from pages
+), bare as (
+    select page_id, url,
+        regexp_replace(regexp_replace(a, '</?(?:p|h1|br)>', ' ', 'g'), '<[^>]*>', '', 'g') as a from found
+), texts as (
+    select page_id, url, trim(regexp_replace(
+        regexp_replace(regexp_replace(a, '&quot;?', '"', 'g'), '&amp;?', '&', 'g'),
+        '[\s\x0B\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+',
+        ' ', 'g')) as text
+    from bare
+)
+select page_id, url, text, length(text)::bigint as n_chars from texts
+"""
+
 _OP13 = rf"""
 with recursive docs as (
     select row_number() over () as rn, doc_id, {_WORDS} as ws, coalesce(cast(doc_id as varchar), '') as d from documents
@@ -318,5 +343,6 @@ def oracle_sql() -> dict[str, str]:
         "op7_count_min_substrings": _OP7,
         "op8_signature_tree_join": _OP8,
         "op10_sorted_runs": _OP10,
+        "op12_host_paths": _OP12,
         "op13_kruskal_runs": _OP13,
     }
