@@ -15,9 +15,8 @@ from . import text as T
 
 _FENCE_LINE = rf"\n[{P.INLINE_SPACE_CLASS}]*{P.FENCE}[^\n]*"
 
-# Section marks are written with a Unicode noncharacter; text that holds it is escaped.
+# Header marks are written with a Unicode noncharacter. It is not printable, so no line holds it.
 _MARK = "\ufdd0"
-_KEPT = _MARK + "0"
 
 
 def _by_fences(text: Column, body) -> Column:
@@ -93,28 +92,84 @@ def clean_text(text: Column, markup_in_code: bool = True) -> Column:
     return T.strip(T.collapse_blank_lines(_rewrite(source, outside, inside, T.rstrip)))
 
 
-def sections(text: Column) -> Column:
-    """array<struct<section_id, h1, h2, h3, text>>: the text cut before each header line.
+def _bare_lines(text: Column) -> Column:
+    """The text with a newline before it, every line stripped and without unprintable characters."""
+    space = f"[{P.INLINE_SPACE_CLASS}]++"
+    framed = F.regexp_replace(F.concat(F.lit("\n"), text), rf"{space}(?=\n|\z)", "")
+    framed = F.regexp_replace(framed, rf"\n{space}", "\n")
+    return T.let(
+        framed, lambda t: F.when(t.rlike(P.NOT_PRINTABLE), F.regexp_replace(t, P.NOT_PRINTABLE, "")).otherwise(t)
+    )
+
 
-    Headers of level 1 to 3 count outside fences only. A header holds until one of the
-    same or a higher level; the header line stays in the text. Section 0 is what stands
-    before the first header, if anything does. A level-1 part is cut into level-2 parts
-    and those into level-3 parts, which gives each piece its headers without a window.
+def _fence_states(fences: Column) -> Column:
+    """The fence that is open after each fence line, or ''.
+
+    A line of backticks opens code unless it closes it in itself; tildes always open it. Code ends at
+    a line that begins with the fence that opened it, so one kind may stand inside the other.
     """
 
-    def mark_headers(part: Column) -> Column:
+    def step(state: Column, i: Column) -> Column:
+        return T.let(F.get(fences, i), lambda line: advance(state, line))
+
+    def advance(state: Column, line: Column) -> Column:
+        ticks = line.startswith("\n" + P.FENCE) & (F.regexp_count(line, F.lit(P.FENCE)) == 1)
+        opened = F.when(ticks, P.FENCE).when(line.startswith("\n" + P.OTHER_FENCE), P.OTHER_FENCE).otherwise("")
+        closed = line.startswith(F.concat(F.lit("\n"), state["fence"]))
+        after = F.when(state["fence"] == "", opened).otherwise(F.when(closed, "").otherwise(state["fence"]))
+        return T.let(
+            after, lambda f: F.struct(F.array_append(state["states"], f).alias("states"), f.alias("fence"))
+        )
+
+    return F.flatten(
+        T.fold_in_blocks(F.size(fences), {"fence": F.lit("")}, step, "states", "string")["states"]
+    )
+
+
+def _marked_headers(framed: Column) -> Column:
+    """The lines with a mark before each header line; paragraphs outside code end in two spaces."""
+
+    def outside(part: Column, i: Column, last: Column) -> Column:
+        body = F.when(i == 0, F.regexp_replace(part, r"\A\n+(?=[^\n]|\z)", "\n")).otherwise(part)
         for level in (1, 2, 3):
-            part = F.regexp_replace(part, rf"\n(?=#{{{level}}}[ \t])", f"{_MARK}{level}\n")
-        return part
+            body = F.regexp_replace(body, rf"\n+(?=#{{{level}}}(?:[ \n{_MARK}]|\z))", f"{_MARK}{level}\n")
+        body = F.regexp_replace(body, r"\n{2,}(?=[^\n])", P.PARAGRAPH_BREAK)
+        ended = F.when(last | (body == "\n") & (i == 0), F.lit("")).otherwise(F.lit(P.PARAGRAPH_BREAK[:-1]))
+        return T.let(
+            body, lambda b: F.when(b.endswith("\n"), F.concat(F.rtrim(b, F.lit("\n")), ended)).otherwise(b)
+        )
+
+    def rejoin(parts: Column, fences: Column, states: Column) -> Column:
+        def one(part: Column, i: Column) -> Column:
+            code = F.coalesce(F.get(states, i - 1), F.lit("")) != ""
+            body = F.when(code, part).otherwise(outside(part, i, i == F.size(fences)))
+            return F.concat(body, F.coalesce(F.get(fences, i), F.lit("")))
+
+        return F.array_join(F.transform(parts, one), "")
+
+    line = rf"\n(?:{P.FENCE}|{P.OTHER_FENCE})[^\n]*"
+    both = F.struct(
+        F.split(framed, line).alias("parts"), F.regexp_extract_all(framed, F.lit(line), F.lit(0)).alias("fences")
+    )
+    return T.let(
+        both, lambda b: T.let(_fence_states(b["fences"]), lambda states: rejoin(b["parts"], b["fences"], states))
+    )
+
 
-    def restore(piece: Column) -> Column:
-        return F.replace(piece, F.lit(_KEPT), F.lit(_MARK))
+def header_parts(text: Column) -> Column:
+    """array<struct<h1, h2, h3, text>>: the text cut before each header line outside code.
+
+    Headers are lines of one to three # that end there or go on after a space. A header holds until
+    one of the same or a higher level; one that does not hold is null, a bare one ''. Lines are
+    stripped, unprintable characters go; paragraphs are parted by two spaces and a newline, and blank
+    lines stay in code alone. A level-1 part is cut into level-2 parts and those into level-3 parts,
+    which gives each its headers without a window.
+    """
 
     def title(piece: Column, level: int, i: Column) -> Column:
-        # Possessive and unrolled: a long header line must not use up the regex stack.
-        plain = rf"[^\n{_MARK}]*+"
-        line = F.regexp_extract(piece, rf"^\n#{{{level}}}[ \t]+({plain}(?:{_KEPT}{plain})*+)", 1)
-        return F.when(i > 0, T.strip(restore(line))).otherwise(F.lit(""))
+        # The first line, which begins with a newline and may end in the mark of the next part.
+        line = F.substring_index(F.substring_index(F.substr(piece, F.lit(2)), "\n", 1), _MARK, 1)
+        return F.when(i > 0, T.strip(F.substr(line, F.lit(level + 1))))
 
     def by_h3(piece: Column, h1: Column, h2: Column) -> Column:
         return F.transform(
@@ -123,38 +178,64 @@ def sections(text: Column) -> Column:
                 h1.alias("h1"),
                 h2.alias("h2"),
                 title(sub, 3, k).alias("h3"),
-                F.substr(restore(sub), F.lit(2)).alias("text"),
+                F.substr(sub, F.lit(2)).alias("text"),
                 (sub != "").alias("present"),
             ),
         )
 
     def by_h2(piece: Column, h1: Column) -> Column:
-        return F.flatten(
-            F.transform(
-                F.split(piece, _MARK + "2"),
-                lambda sub, j: T.let(title(sub, 2, j), lambda h2: by_h3(sub, h1, h2)),
-            )
-        )
+        def one(sub: Column, j: Column) -> Column:
+            return T.let(title(sub, 2, j), lambda h2: by_h3(sub, h1, h2))
+
+        return F.flatten(F.transform(F.split(piece, _MARK + "2"), one))
 
     def by_h1(marked: Column) -> Column:
-        return F.flatten(
-            F.transform(
-                F.split(marked, _MARK + "1"),
-                lambda sub, i: T.let(title(sub, 1, i), lambda h1: by_h2(sub, h1)),
-            )
-        )
+        def one(sub: Column, i: Column) -> Column:
+            return T.let(title(sub, 1, i), lambda h1: by_h2(sub, h1))
 
-    def unchanged(part: Column) -> Column:
-        return part
+        return F.flatten(F.transform(F.split(marked, _MARK + "1"), one))
 
-    escaped = F.replace(text, F.lit(_MARK), F.lit(_KEPT))
-    pieces = by_h1(_rewrite(escaped, mark_headers, unchanged, unchanged))
-    fields = ("h1", "h2", "h3", "text")
-    numbered = F.transform(
-        pieces,
-        lambda s, n: F.struct(n.alias("section_id"), *(s[f].alias(f) for f in (*fields, "present"))),
-    )
+    pieces = by_h1(T.let(_bare_lines(text), _marked_headers))
     return F.transform(
-        F.filter(numbered, lambda s: s["present"]),
-        lambda s: F.struct(*(s[f].alias(f) for f in ("section_id", *fields))),
+        F.filter(pieces, lambda s: s["present"]),
+        lambda s: F.struct(*(s[f].alias(f) for f in ("h1", "h2", "h3", "text"))),
     )
+
+
+def sections(text: Column) -> Column:
+    """array<struct<section_id, h1, h2, h3, text>>: the header parts, some joined to one section.
+
+    Neighbours under the same headers are one section. A part that ends in a header line (an empty
+    parent) is folded into the next one if that stands under more headers. A section has the headers
+    of its last part, '' where none holds, and the texts joined like paragraphs.
+    """
+    levels = ("h1", "h2", "h3")
+
+    def joins(one: Column, two: Column) -> Column:
+        same = one["h1"].eqNullSafe(two["h1"]) & one["h2"].eqNullSafe(two["h2"]) & one["h3"].eqNullSafe(two["h3"])
+        deeper = sum(one[h].isNotNull().cast("int") for h in levels) < sum(
+            two[h].isNotNull().cast("int") for h in levels
+        )
+        ends = F.substring_index(one["text"], "\n", -1).startswith("#")
+        return same | (deeper & ends)
+
+    def join_up(parts: Column) -> Column:
+        begins = F.transform(
+            parts, lambda part, i: F.when((i == 0) | ~joins(F.get(parts, i - 1), part), i)
+        )
+        return T.let(F.filter(begins, lambda i: i.isNotNull()), lambda starts: joined(parts, starts))
+
+    def joined(parts: Column, starts: Column) -> Column:
+        def one(start: Column, j: Column) -> Column:
+            end = F.coalesce(F.get(starts, j + 1), F.size(parts))
+            texts = F.transform(F.slice(parts, start + 1, end - start), lambda p: p["text"])
+            head = F.get(parts, end - 1)
+            return F.struct(
+                j.alias("section_id"),
+                *(F.coalesce(head[h], F.lit("")).alias(h) for h in levels),
+                F.array_join(texts, P.PARAGRAPH_BREAK).alias("text"),
+            )
+
+        return F.transform(starts, one)
+
+    return T.let(header_parts(text), join_up)

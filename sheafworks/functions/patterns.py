@@ -32,6 +32,11 @@ URL = f"https?://[^{WHITESPACE_CLASS}]+"
 WORD = f"[^{WHITESPACE_CLASS}]+"
 WORD_BREAK = f"[{WHITESPACE_CLASS}]+"
 FENCE = "```"
+OTHER_FENCE = "~~~"
+# Characters that are not printable, but for the space and the newline.
+NOT_PRINTABLE = r"[\p{C}\p{Z}&&[^ \n]]"
+# What stands between paragraphs of one section.
+PARAGRAPH_BREAK = "  \n"
 BACK_TO_TOP = "back to top"
 BADGE_HOST = "img.shields.io"
 REPO_FILE = r"^(.+?)_README"

@@ -20,6 +20,35 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+#: Steps per block of `fold_in_blocks`; a setting of speed only.
+FOLD_BLOCK = 256
+
+
+def fold_in_blocks(count: Column, begin: dict[str, Column], step, results: str, kind: str) -> Column:
+    """The state after `step(state, i)` for i in 0..count-1.
+
+    A state has the fields of `begin` and, first, a list `results` of `kind` to which steps append.
+    Appending copies a list, so each block of steps has one of its own: the last state holds a list
+    of lists.
+    """
+
+    def with_results(state: Column, held: Column) -> Column:
+        return F.struct(held.alias(results), *(state[f].alias(f) for f in begin))
+
+    def block(state: Column, first: Column) -> Column:
+        last = F.least(first + (FOLD_BLOCK - 1), count - 1)
+        start = with_results(state, F.array().cast(f"array<{kind}>"))
+        return let(
+            F.aggregate(F.sequence(first, last), start, step),
+            lambda done: with_results(done, F.array_append(state[results], done[results])),
+        )
+
+    firsts = F.when(count > 0, F.sequence(F.lit(0), count - 1, F.lit(FOLD_BLOCK)))
+    none = F.array().cast(f"array<array<{kind}>>")
+    zero = F.struct(none.alias(results), *(value.alias(f) for f, value in begin.items()))
+    return F.aggregate(F.coalesce(firsts, F.array().cast("array<int>")), zero, block)
+
+
 def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(P.WHITESPACE))
 

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,58 +44,103 @@ def split_window(text: Column, size: int, overlap: int) -> Column:
     ).otherwise(F.array(text))
 
 
-def _split_recursive(text: str, size: int, overlap: int, separators: tuple[str, ...]) -> list[str]:
-    """Pieces broken at the first separator that occurs, finer where a piece is too long."""
-    at = next(i for i, s in enumerate(separators) if s == "" or s in text)
-    separator, finer = separators[at], separators[at + 1 :]
-    if separator:
-        head, *tail = text.split(separator)
-        parts = [p for p in [head, *(separator + t for t in tail)] if p]
-    else:
-        parts = list(text)
-    pieces: list[str] = []
-    run: list[str] = []
-    length = 0
-
-    def flush() -> None:
-        piece = "".join(run).strip()
-        if piece:
-            pieces.append(piece)
-
-    for part in parts:
-        if len(part) >= size and finer:
-            flush()
-            run, length = [], 0
-            pieces += _split_recursive(part, size, overlap, finer)
-            continue
-        if run and length + len(part) > size:
-            flush()
-            drop = 0
-            while drop < len(run) and (length > overlap or length + len(part) > size):
-                length -= len(run[drop])
-                drop += 1
-            run = run[drop:]
-        run.append(part)
-        length += len(part)
-    flush()
-    return pieces
-
-
-def split_recursive(texts: Column, size: int, overlap: int) -> Column:
-    """array<string> to array<array<string>>; only over-long texts travel, the rest give null."""
-
-    @F.pandas_udf("array<array<string>>")
-    def split(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            yield batch.map(
-                lambda sections: [
-                    None if s is None else _split_recursive(s, size, overlap, ("\n\n", "\n", " ", ""))
-                    for s in sections
-                ]
+#: Where an over-long text is broken: paragraphs, then lines, then words, at last characters.
+SEPARATORS = ("\n\n", "\n", " ")
+
+# A Unicode noncharacter that marks cuts; text that holds it is escaped.
+_CUT = "\ufdd0"
+
+
+def _packed(parts: Column, size: int, overlap: int) -> Column:
+    """Pieces of up to `size` characters from parts shorter than that, joined as they come.
+
+    A piece begins with as many of the last parts of the one before as fit into `overlap` and leave
+    room for the part that follows. White space around a piece goes, and empty pieces.
+    """
+
+    def fold(lengths: Column) -> Column:
+        def begin_after(first: Column, i: Column, held: Column, coming: Column) -> Column:
+            def drop(at: Column, length: Column) -> Column:
+                over = (at["held"] > overlap) | (at["held"] + coming > size)
+                kept = at["held"] - length
+                return F.when(over, F.struct((at["first"] + 1).alias("first"), kept.alias("held"))).otherwise(at)
+
+            run = F.slice(lengths, first + 1, i - first)
+            return F.aggregate(run, F.struct(first.alias("first"), held.alias("held")), drop)
+
+        def step(state: Column, i: Column) -> Column:
+            return T.let(F.get(lengths, i), lambda coming: advance(state, i, coming))
+
+        def advance(state: Column, i: Column, coming: Column) -> Column:
+            full = (i > state["first"]) & (state["held"] + coming > size)
+            piece = F.struct(state["first"].alias("first"), i.alias("end"))
+            after = T.let(
+                begin_after(state["first"], i, state["held"], coming),
+                lambda at: F.struct(
+                    F.array_append(state["pieces"], piece).alias("pieces"),
+                    at["first"].alias("first"),
+                    (at["held"] + coming).alias("held"),
+                ),
             )
+            held = (state["held"] + coming).alias("held")
+            return F.when(full, after).otherwise(F.struct(state["pieces"], state["first"], held))
+
+        begin = {"first": F.lit(0), "held": F.lit(0)}
+        return T.fold_in_blocks(F.size(lengths), begin, step, "pieces", "struct<first:int,end:int>")
+
+    def texts(done: Column) -> Column:
+        last = F.struct(done["first"].alias("first"), F.size(parts).alias("end"))
+        ranges = F.array_append(F.flatten(done["pieces"]), last)
+        joined = F.transform(ranges, lambda r: F.array_join(F.slice(parts, r["first"] + 1, r["end"] - r["first"]), ""))
+        return _trimmed(joined)
+
+    none = F.array().cast("array<string>")
+    packed = T.let(T.let(F.transform(parts, F.length), fold), texts)
+    return F.when(F.size(parts) == 0, none).when(F.size(parts) == 1, _trimmed(parts)).otherwise(packed)
+
+
+def _trimmed(pieces: Column) -> Column:
+    return F.filter(F.transform(pieces, T.strip), lambda piece: piece != "")
+
 
-    # Marked so that the optimizer never runs the split twice for one row.
-    return split.asNondeterministic()(F.transform(texts, lambda s: F.when(F.length(s) > size, s)))
+def _parts(text: Column, separator: str) -> Column:
+    """The text cut before each separator, from the left; each part begins with its own."""
+    escaped = F.replace(text, F.lit(_CUT), F.lit(_CUT + "0"))
+    marked = F.replace(escaped, F.lit(separator), F.lit(_CUT + "1" + separator))
+    parts = F.filter(F.split(marked, _CUT + "1"), lambda part: part != "")
+    return F.transform(parts, lambda part: F.replace(part, F.lit(_CUT + "0"), F.lit(_CUT)))
+
+
+def split_recursive(text: Column, size: int, overlap: int, separators: tuple[str, ...] = SEPARATORS) -> Column:
+    """Pieces of up to `size` characters, broken at the first separator that occurs.
+
+    Parts that are still too long are broken at the next one, in the end between characters; runs of
+    shorter parts are joined to pieces that overlap. A text that fits is one piece. Array functions
+    all the way: each level is one expression, linear in the length of the text.
+    """
+    none = F.array().cast("array<string>")
+
+    def broken(text: Column, level: int) -> Column:
+        if level == len(separators):
+            return _trimmed(split_window(text, size, overlap))
+        return T.let(_parts(text, separators[level]), lambda parts: runs(parts, level))
+
+    def runs(parts: Column, level: int) -> Column:
+        places = F.filter(
+            F.transform(parts, lambda part, i: F.when(F.length(part) >= size, i)), lambda i: i.isNotNull()
+        )
+        return T.let(F.array_append(places, F.size(parts)), lambda ends: between(parts, ends, level))
+
+    def between(parts: Column, ends: Column, level: int) -> Column:
+        def one(end: Column, j: Column) -> Column:
+            first = F.coalesce(F.get(ends, j - 1), F.lit(-1)) + 1
+            short = F.slice(parts, first + 1, end - first)
+            long = F.when(end < F.size(parts), broken(F.get(parts, end), level + 1)).otherwise(none)
+            return F.concat(T.let(short, lambda run: _packed(run, size, overlap)), long)
+
+        return F.flatten(F.transform(ends, one))
+
+    return F.when(F.length(text) > size, broken(text, 0)).otherwise(F.array(text))
 
 
 def merge_starts(chunks: Column, merge_below: int, chunk_size: int) -> Column:
@@ -217,20 +260,11 @@ def chunk_arrays(df: DataFrame, text: str, settings: ChunkSettings) -> DataFrame
     size, overlap = settings.chunk_size, settings.chunk_overlap
     cleaned = M.clean_text(F.col(text), settings.markup_in_code)
     sections = F.filter(T.let(cleaned, M.sections), lambda s: quiet(s["text"]))
-    if settings.size_split == "window":
-        small = T.let(
-            sections,
-            lambda found: small_chunks(found, lambda s, i: split_window(s["text"], size, overlap)),
-        )
-        return df.withColumn("_chunks", merged(small))
-    cut = df.withColumn("_sections", sections).withColumn(
-        "_pieces", split_recursive(F.transform("_sections", lambda s: s["text"]), size, overlap)
-    )
-    both = F.struct(F.col("_sections").alias("sections"), F.col("_pieces").alias("pieces"))
+    split = split_window if settings.size_split == "window" else split_recursive
     small = T.let(
-        both, lambda b: small_chunks(b["sections"], lambda s, i: F.get(b["pieces"], i))
+        sections, lambda found: small_chunks(found, lambda s, i: split(s["text"], size, overlap))
     )
-    return cut.withColumn("_chunks", merged(small)).drop("_sections", "_pieces")
+    return df.withColumn("_chunks", merged(small))
 
 
 def chunk_documents(

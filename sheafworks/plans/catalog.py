@@ -451,6 +451,11 @@ def markdown_sections(spark, sf):
     return chunking.document_sections(docs)
 
 
+def header_splitter(spark, sf):
+    """Sections of uncleaned documents with every kind of fence and header line."""
+    return chunking.document_sections(shapes.rough_markdown(spark, sf))
+
+
 def split_by_size(spark, sf):
     docs = shapes.documents(spark, sf)
     pieces = chunking.split_window(F.col("text"), 800, 100)
@@ -761,6 +766,7 @@ _QUERIES: tuple[Query, ...] = (
     clean_text,
     noise_flags,
     markdown_sections,
+    header_splitter,
     split_by_size,
     chunk_reindex,
     merge_small_chunks,

@@ -113,28 +113,65 @@ ct as (select doc_id, {_strip(f"regexp_replace(string_agg(line, {NL} order by i)
 cleaned as (select md.doc_id, source, file_name, coalesce(ct.text, '') text from md left join ct using (doc_id))"""
 )
 
-SECTIONS = (
-    CLEAN
-    + ","
-    + _numbered("sl", "cleaned", "text")
-    + f""",
-lv as (select *, case when fence or code then 0 else length(regexp_extract(l, '^(#{{1,3}})[ \\t]+', 1)) end lvl from sl),
-grp as (select *, {_strip("regexp_extract(l, '^#{1,3}[ " + chr(92) + "t]+(.*)$', 1)")} title,
-    sum(case when lvl > 0 then 1 else 0 end) over w section_id,
+UNPRINTABLE = "[\\p{Cc}\\p{Cf}\\p{Co}\\p{Zl}\\p{Zp}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{202f}\\x{205f}\\x{3000}]"
+
+# Lines with the fence that is open after them, header parts of paragraphs, and parts joined.
+SECTION_STEPS = (
+    f""",
+sl as (select doc_id, unnest(string_split(text, {NL})) l, generate_subscripts(string_split(text, {NL}), 1) - 1 i from cleaned),
+bare as (select doc_id, i, regexp_replace({_strip('l')}, '{UNPRINTABLE}', '', 'g') l from sl),
+fence as (select *, row_number() over (partition by doc_id order by i) c from bare
+  where starts_with(l, '```') or starts_with(l, '~~~')),
+state(doc_id, c, i, f) as (
+  select doc_id, 0::bigint, -1::bigint, '' from cleaned
+  union all
+  select n.doc_id, n.c, n.i, case
+    when s.f <> '' then case when starts_with(n.l, s.f) then '' else s.f end
+    when starts_with(n.l, '~~~') then '~~~'
+    when {_count('n.l', '```')} = 1 then '```' else '' end
+  from state s join fence n on n.doc_id = s.doc_id and n.c = s.c + 1),
+lv as (select b.doc_id, b.i, b.l, s.f <> '' code,
+    case when s.f <> '' then 0 else length(regexp_extract(b.l, '^(#{{1,3}})(?: |$)', 1)) end lvl
+  from bare b asof join state s on b.doc_id = s.doc_id and b.i >= s.i),
+grp as (select *, case when lvl > 0 then {_strip('substr(l, lvl + 1)')} end title,
+    sum(case when lvl > 0 then 1 else 0 end) over w g,
     sum(case when lvl = 1 then 1 else 0 end) over w g1,
-    sum(case when lvl in (1, 2) then 1 else 0 end) over w g2
+    sum(case when lvl in (1, 2) then 1 else 0 end) over w g2,
+    sum(case when l = '' and not code then 1 else 0 end) over w par
   from lv window w as (partition by doc_id order by i rows unbounded preceding)),
 named as (select *,
-    coalesce(max(case when lvl = 1 then title end) over (partition by doc_id, g1), '') h1,
-    coalesce(max(case when lvl = 2 then title end) over (partition by doc_id, g2), '') h2,
-    coalesce(max(case when lvl = 3 then title end) over (partition by doc_id, section_id), '') h3
+    max(case when lvl = 1 then title end) over (partition by doc_id, g1) h1,
+    max(case when lvl = 2 then title end) over (partition by doc_id, g2) h2,
+    max(case when lvl = 3 then title end) over (partition by doc_id, g) h3
   from grp),
-se as (select doc_id, section_id::int section_id, any_value(h1) h1, any_value(h2) h2, any_value(h3) h3,
-    string_agg(l, {NL} order by i) text
-  from named group by doc_id, section_id),
-sections as (select * from se where not (section_id = 0 and text = ''))"""
+para as (select doc_id, g, par, any_value(h1) h1, any_value(h2) h2, any_value(h3) h3,
+    string_agg(l, {NL} order by i) t, last(l order by i) last_line
+  from named where l <> '' or code group by doc_id, g, par),
+part as (select doc_id, g, any_value(h1) h1, any_value(h2) h2, any_value(h3) h3,
+    string_agg(t, '  ' || {NL} order by par) t, last(last_line order by par) last_line
+  from para group by doc_id, g),
+near as (select *, lag(g) over w is not null and (
+      lag(h1) over w is not distinct from h1 and lag(h2) over w is not distinct from h2 and lag(h3) over w is not distinct from h3
+      or starts_with(lag(last_line) over w, '#')
+        and (lag(h1) over w is not null)::int + (lag(h2) over w is not null)::int + (lag(h3) over w is not null)::int
+          < (h1 is not null)::int + (h2 is not null)::int + (h3 is not null)::int) joins
+  from part window w as (partition by doc_id order by g)),
+runs as (select *, (sum(case when joins then 0 else 1 end) over (partition by doc_id order by g) - 1)::int section_id from near),
+sections as (select doc_id, section_id, last(coalesce(h1, '') order by g) h1, last(coalesce(h2, '') order by g) h2,
+    last(coalesce(h3, '') order by g) h3, string_agg(t, '  ' || {NL} order by g) as text
+  from runs group by doc_id, section_id)"""
 )
 
+SECTIONS = CLEAN + SECTION_STEPS
+
+ROUGH_MARKDOWN = f"""
+cleaned as (select doc_id, array_to_string(list_transform(string_split(text, {NL}), lambda l, n: case (n - 1 + doc_id) % 16
+    when 0 then '# ' || substr(l, 1, 30) when 1 then '## ' || substr(l, 1, 20) when 3 then '#' when 4 then '~~~ text'
+    when 5 then '# in code' when 6 then '```' when 7 then '  ~~~' when 8 then '' when 9 then '### ' || substr(l, 1, 10)
+    when 10 then '````' when 11 then '' when 12 then '## in code' when 13 then '```' when 14 then '``` in line ```'
+    when 15 then '#### deep' else l end), {NL}) as text
+  from documents)"""
+
 
 def _merged(source: str) -> str:
     """`merged` from source(doc_id, idx, h1, h2, h3, text): the small-chunk walk."""
@@ -154,26 +191,90 @@ merged as (select doc_id, first_idx, any_value(s.h1) filter (s.idx = first_idx)
     )
 
 
-CHUNKS = (
-    SECTIONS
-    + f""",
-quiet as (select * from sections where not {_noise('text')}),
+WINDOW_PIECES = f"""
 pc as (select doc_id, section_id, h1, h2, h3, text, unnest(generate_series(0, greatest(length(text) - 101, 0), 700)) p from quiet),
-pieces as (select doc_id, section_id, p, {_strip(f"regexp_replace(h1, '{P.HTML_TAG}', '', 'g')")} h1, h2, h3,
-    case when length(text) > 800 then substr(text, p + 1, 800) else text end piece from pc),
+cut as (select doc_id, section_id, p, h1, h2, h3,
+    case when length(text) > 800 then substr(text, p + 1, 800) else text end piece from pc)"""
+
+CUT = "chr(64976)"
+
+
+def _level(name: str, source: str, keys: str, order: str, separator: str) -> str:
+    """Parts of each text of `source`, cut before each separator, and how many long ones stand before."""
+    parts = f"string_split(replace({{text}}, {separator}, {CUT} || {separator}), {CUT})"
+    parts = f"list_filter({parts}, lambda part: part <> '')"
+    return f"""
+{name}_all as (select {keys}, unnest({parts.replace("{text}", "text")}) text,
+    generate_subscripts({parts.replace("{text}", "text")}, 1) {order} from {source}),
+{name} as (select *, length(text) >= 800 too_long,
+    sum((length(text) >= 800)::int) over (partition by {keys} order by {order}) run from {name}_all)"""
+
+
+# Separators from coarse to fine give parts; runs of short neighbours are walked piece by piece, by
+# their running lengths s (s[1] = 0): a piece begins with part a and ends before part b.
+RECURSIVE_PIECES = (
+    "over as (select doc_id, section_id, text from quiet where length(text) > 800),"
+    + _level("p1", "over", "doc_id, section_id", "o1", f"{NL} || {NL}")
+    + ","
+    + _level("p2", "(select * from p1 where too_long)", "doc_id, section_id, o1", "o2", NL)
+    + ","
+    + _level("p3", "(select * from p2 where too_long)", "doc_id, section_id, o1, o2", "o3", "' '")
+    + f""",
+atom as (
+  select doc_id, section_id, 1 lvl, o1, 0 o2, 0 o3, run, text from p1 where not too_long
+  union all select doc_id, section_id, 2, o1, o2, 0, run, text from p2 where not too_long
+  union all select doc_id, section_id, 3, o1, o2, o3, run, text from p3 where not too_long),
+sums as (select *, (sum(length(text)) over w)::bigint upto from atom
+  window w as (partition by doc_id, section_id, lvl, case when lvl > 1 then o1 end, case when lvl > 2 then o2 end, run
+               order by o1, o2, o3)),
+run as (select row_number() over () run_id, doc_id, section_id, min((o1, o2, o3)) place,
+    list(text order by o1, o2, o3) parts, list_concat([0::bigint], list(upto order by o1, o2, o3)) s
+  from sums group by doc_id, section_id, lvl, case when lvl > 1 then o1 end, case when lvl > 2 then o2 end, run),
+walk(run_id, a, b) as (
+  select run_id, 0::bigint, len(list_filter(s, lambda x: x <= 800)) - 1 from run
+  union all
+  select run_id, a, len(list_filter(s, lambda x: x - s[a + 1] <= 800)) - 1
+  from (select run_id, s, greatest(a, len(s) - len(list_filter(s,
+            lambda x: s[b + 1] - x <= least(100, 800 - (s[b + 2] - s[b + 1]))))) a
+        from walk join run using (run_id) where b < len(parts))),
+piece as (
+  select doc_id, section_id, place, a p, {_strip("array_to_string(parts[a + 1:b], '')")} piece from walk join run using (run_id)
+  union all
+  select doc_id, section_id, (o1, o2, o3), p, {_strip("substr(text, p + 1, 800)")}
+  from (select *, unnest(generate_series(0, greatest(length(text) - 101, 0), 700)) p from p3 where too_long)),
+cut as (
+  select doc_id, section_id, row_number() over (partition by doc_id, section_id order by place, p) p, h1, h2, h3, piece
+  from piece join quiet using (doc_id, section_id) where piece <> ''
+  union all
+  select doc_id, section_id, 0, h1, h2, h3, text from quiet where length(text) <= 800)"""
+)
+
+
+def _chunks(cut: str) -> str:
+    """`chunks` of the markdown documents, by a way to cut long sections."""
+    return (
+        SECTIONS
+        + f""",
+quiet as (select * from sections where not {_noise('text')}),"""
+        + cut
+        + f""",
+pieces as (select doc_id, section_id, p, {_strip(f"regexp_replace(h1, '{P.HTML_TAG}', '', 'g')")} h1, h2, h3, piece from cut),
 small as (select doc_id, row_number() over (partition by doc_id order by section_id, p) - 1 idx, h1, h2, h3,
     case when h1 <> '' then '# ' || h1 || {NL} else '' end || case when h2 <> '' then '## ' || h2 || {NL} else '' end ||
     case when h3 <> '' then '### ' || h3 || {NL} else '' end || piece as text
   from pieces where not {_noise('piece')}),"""
-    + _merged("small")
-    + f""",
+        + _merged("small")
+        + f""",
 kept as (select *, row_number() over (partition by doc_id order by first_idx) - 1 chunk_index
   from merged where not {_noise('text')}),
 chunks as (select k.text, md.source source_repo, md.file_name source_file, k.chunk_index::int chunk_index,
     {_uuid('k.doc_id')} doc_id, {_uuid('k.doc_id', 'k.chunk_index', 'k.text')} chunk_id,
     k.h1 section_h1, k.h2 section_h2, k.h3 section_h3
   from kept k join md using (doc_id))"""
-)
+    )
+
+
+CHUNKS = _chunks(WINDOW_PIECES)
 
 
 def _vectors(source: str, key: str, text: str, dim: int = 384, name: str = "") -> str:
@@ -346,18 +447,21 @@ select count(*) filter (split = 'train') train_samples, count(*) filter (split =
         "noise_flags": f"""
 with {MARKDOWN}, {_numbered('ln', 'md', 'text')}
 select doc_id, i::int line_no, {', '.join(f'{flag} {name}' for name, flag in _flags('l').items())}, {_noise('l')} is_noise from ln""",
-        "markdown_sections": f"with {SECTIONS} select doc_id, section_id, h1, h2, h3, text from sections",
+        "markdown_sections": f"with recursive {SECTIONS} select doc_id, section_id, h1, h2, h3, text from sections",
+        "header_splitter": f"""
+with recursive {ROUGH_MARKDOWN} {SECTION_STEPS} select doc_id, section_id, h1, h2, h3, text from sections""",
         "split_by_size": """
 with p as (select doc_id, text, unnest(generate_series(0, greatest(length(text) - 101, 0), 700)) p from documents)
 select doc_id, (p // 700)::int piece_no, case when length(text) > 800 then substr(text, p + 1, 800) else text end piece from p""",
         "chunk_reindex": f"""
-with {SECTIONS} select doc_id, section_id, (row_number() over (partition by doc_id order by section_id) - 1)::int chunk_index
+with recursive {SECTIONS} select doc_id, section_id, (row_number() over (partition by doc_id order by section_id) - 1)::int chunk_index
 from sections where not {_noise('text')}""",
         "merge_small_chunks": f"""
 with recursive {SECTIONS},
 s0 as (select *, row_number() over (partition by doc_id order by section_id) - 1 idx from sections), {_merged('s0')}
 select doc_id, (row_number() over (partition by doc_id order by first_idx) - 1)::int chunk_index, h1, text from merged""",
         "chunk_documents": f"with recursive {CHUNKS} select * from chunks",
+        "chunk_documents_recursive": f"with recursive {_chunks(RECURSIVE_PIECES)} select * from chunks",
         "chat_format": f"""
 select {IMAGE} image, split, 'human' from_0, '<image>' || {NL} || {PROMPT_TEXT} value_0, 'gpt' from_1, text value_1,
   'prompts:/{PROMPT_NAME}/3' prompt_uri, 3 prompt_version from {_split_in_order('documents', 'doc_id')}""",

@@ -31,6 +31,28 @@ array_join(transform(split(text, '\n'), (l, i) ->
 """
 
 
+_ROUGH_MARKDOWN = r"""
+array_join(transform(split(text, '\n'), (l, i) ->
+  case (i + doc_id) % 16
+       when 0  then concat('# ', substr(l, 1, 30))
+       when 1  then concat('## ', substr(l, 1, 20))
+       when 3  then '#'
+       when 4  then '~~~ text'
+       when 5  then '# in code'
+       when 6  then '```'
+       when 7  then '  ~~~'
+       when 8  then ''
+       when 9  then concat('### ', substr(l, 1, 10))
+       when 10 then '````'
+       when 11 then ''
+       when 12 then '## in code'
+       when 13 then '```'
+       when 14 then '``` in line ```'
+       when 15 then '#### deep'
+       else l end), '\n')
+"""
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return read_parquet(spark, f"{sf}/{name}.parquet")
 
@@ -62,6 +84,11 @@ def markdown(spark: SparkSession, sf: str) -> DataFrame:
     return as_markdown(documents(spark, sf))
 
 
+def rough_markdown(spark: SparkSession, sf: str) -> DataFrame:
+    """(doc_id, text) with fences of both kinds inside each other, bare headers and empty parents."""
+    return documents(spark, sf).select("doc_id", F.expr(_ROUGH_MARKDOWN).alias("text"))
+
+
 def image_name(key: str = "doc_id") -> Column:
     return F.format_string("image_%06d.jpg", F.col(key))
 

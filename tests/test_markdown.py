@@ -31,27 +31,81 @@ def test_fence_state(value):
         assert [(r["line"], r["in_code"], r["is_fence"]) for r in rows] == list(walk_lines(text))
 
 
-def test_sections_follow_headers(value):
-    import re
+def printable(line):
+    return "".join(c for c in line.strip() if c.isprintable())
+
+
+def paragraphs(text):
+    """(headers, text) of each paragraph, one line at a time; headers are a dict by level."""
+    out, lines, heads, fence = [], [], {}, ""
+
+    def end():
+        if lines:
+            out.append((dict(heads), "\n".join(lines)))
+            lines.clear()
+
+    for line in map(printable, text.split("\n")):
+        if fence:
+            fence = "" if line.startswith(fence) else fence
+        elif line.startswith("```") and line.count("```") == 1:
+            fence = "```"
+        elif line.startswith("~~~"):
+            fence = "~~~"
+        level = len(line) - len(line.lstrip("#"))
+        if not fence and level in (1, 2, 3) and (len(line) == level or line[level] == " "):
+            end()
+            heads = {k: v for k, v in heads.items() if k < level} | {level: line[level:].strip()}
+            lines.append(line)
+        elif line or fence:
+            lines.append(line)
+        else:
+            end()
+    end()
+    return out
+
+
+def sections_by_hand(text):
+    out = []
+    for heads, body in paragraphs(text):
+        if out and (out[-1][0] == heads or len(out[-1][0]) < len(heads) and out[-1][1].split("\n")[-1][0] == "#"):
+            out[-1] = (heads, out[-1][1] + "  \n" + body)
+        else:
+            out.append((heads, body))
+    return [(i, *(h.get(k, "") for k in (1, 2, 3)), body) for i, (h, body) in enumerate(out)]
+
+
+MORE = ["~~~", "~~~ python", "````", "#", "##", "### ", "``` in line ```", "# Top", "## Second", "#tag", "zero\u200bwidth", "\x1f## x"]
+
 
+def test_sections_follow_headers(value):
+    rng = random.Random(5)
     texts = random_texts(80, seed=5)
+    texts += ["\n".join(rng.choice(PIECES + 2 * MORE + [""] * 6) for _ in range(rng.randint(0, 30))) for _ in range(600)]
     for text, rows in zip(texts, value(M.sections, texts)):
-        expected, heads = [], {1: "", 2: "", 3: ""}
-        current = [0, ("", "", ""), []]
-        for line, inside, fence in walk_lines(text):
-            header = None if inside or fence else re.match(r"(#{1,3})[ \t]+(.*)$", line)
-            if header:
-                expected.append(current)
-                level = len(header[1])
-                heads = {k: (v if k < level else "") for k, v in heads.items()}
-                heads[level] = header[2].strip()
-                current = [current[0] + 1, tuple(heads.values()), []]
-            current[2].append(line)
-        expected.append(current)
-        wanted = [(i, *h, "\n".join(lines)) for i, h, lines in expected if lines]
-        if text == "" :
-            wanted = [(0, "", "", "", "")]
-        assert [tuple(r) for r in rows] == wanted, text
+        assert [tuple(r) for r in rows] == sections_by_hand(text), text
+
+
+def test_fences_of_two_kinds_and_empty_parents(value):
+    texts = [
+        "# A\n\n## B\n\n### C\ntext",  # empty parents are folded into the first part with a text
+        "# A\n## B\none\n## C\ntwo",
+        "# A\none\n# A\ntwo",  # the same headers again
+        "~~~\n# no\n```\n# no\n~~~\n# yes",
+        "````\n# no\n```\n# yes",  # a longer fence ends at a shorter one
+        "```\n\na\n\n```\n\nb",
+        "``` x ```\n# yes",
+        "#\none\n##\ntwo",  # bare headers
+        "\n\none\n\n\n\ntwo  \n\n",
+    ]
+    found = [[tuple(r) for r in rows] for rows in value(M.sections, texts)]
+    assert found == [sections_by_hand(t) for t in texts]
+    assert found[0] == [(0, "A", "B", "C", "# A  \n## B  \n### C\ntext")]
+    assert [r[1:] for r in found[1]] == [("A", "B", "", "# A  \n## B\none"), ("A", "C", "", "## C\ntwo")]
+    assert found[2] == [(0, "A", "", "", "# A\none  \n# A\ntwo")]
+    assert found[3] == [(0, "", "", "", "~~~\n# no\n```\n# no\n~~~"), (1, "yes", "", "", "# yes")]
+    assert [r[1] for r in found[4]] == ["", "yes"]
+    assert found[5] == [(0, "", "", "", "```\n\na\n\n```  \nb")]
+    assert found[8] == [(0, "", "", "", "one  \ntwo")]
 
 
 def test_clean_text_by_lines(value):
@@ -88,6 +142,6 @@ def test_long_lines_and_long_documents(value):
     header = "# " + "h" * 200_000 + "\ufdd0" * 50
     many = "\n".join(f"## part {i}\n" + ("word " * 20) + ("\n```\n# code\n```" if i % 3 == 0 else "") for i in range(20_000))
     (one,), (rows,) = value(M.sections, [header]), value(lambda c: M.sections(M.clean_text(c)), [many])
-    assert one[0]["h1"] == header[2:] and one[0]["text"] == header
+    assert one[0]["h1"] == "h" * 200_000 and one[0]["text"] == header[:-50]
     assert len(rows) == 20_000 and rows[-1]["h2"] == "part 19999"
     assert "\n".join(r["text"] for r in rows).count("# code") == 6667
