@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from .lookup import as_local, settled
 
-SKETCH_ACCURACY = 100_000
+#: Cells per group and pass in the search for a median, after the first.
+CELLS = 4_096
+#: Cells per power of two in the first pass.
+POWER_CELLS = 64
 
 
 def melt(df: DataFrame, columns: list[str], keep: list[str] | None = None, name: str = "feature") -> DataFrame:
@@ -18,7 +21,7 @@ def melt(df: DataFrame, columns: list[str], keep: list[str] | None = None, name:
 
 
 _FIELDS = ["n", "mean", "std", "min", "max"]
-_KNOWN = "n bigint, mean double, std double, min double, max double, bracket array<double>"
+_SEARCH = ["_low", "_high", "_below", "median"]
 
 
 def _number(column: Column) -> Column:
@@ -27,44 +30,94 @@ def _number(column: Column) -> Column:
     return F.when(~F.isnan(v), v)
 
 
-def _first_pass(v: Column, population: bool) -> dict[str, Column]:
-    """All statistics but the median, for which a sketch of fixed size gives a bracket."""
-    spread = 8.0 / SKETCH_ACCURACY
+def _power_cell(v: Column) -> Column:
+    """Cells by sign and power of two, each power in equal parts; they rise with the value."""
+    power = F.least(F.greatest(F.log2(F.abs(v)), F.lit(-1075.0)), F.lit(1025.0))
+    cell = F.floor((power + 1100) * POWER_CELLS).cast("int")
+    return F.when(v == 0, 0).when(v < 0, -cell).otherwise(cell)
+
+
+def _width_cell(v: Column, low: Column, high: Column) -> Column:
+    """Cells of equal width between the ends, which have cells of their own."""
+    cell = F.floor(F.nanvl((v - low) / (high - low), F.lit(0.0)) * CELLS)
+    inner = F.greatest(F.lit(0), F.least(cell, F.lit(CELLS - 1))).cast("int")
+    return F.when(v <= low, -1).when(v >= high, CELLS).otherwise(inner)
+
+
+def _middle(n: Column) -> dict[str, Column]:
+    """The cells of the two middle rows, from rows (_cell, _rows, _least, _most, _upto) of one group."""
+    ends = F.col("_upto")
+    cell = F.struct("_cell", "_least", "_most", (ends - F.col("_rows")).alias("_before"))
     return {
-        "n": F.count(v),
-        "mean": F.avg(v),
-        "std": F.stddev_pop(v) if population else F.stddev_samp(v),
-        "min": F.min(v),
-        "max": F.max(v),
-        "bracket": F.percentile_approx(v, [0.5 - spread, 0.5 + spread], SKETCH_ACCURACY),
+        "_one": F.min(F.when(ends > F.floor((n - 1) / 2), cell)),
+        "_two": F.min(F.when(ends > F.floor(n / 2), cell)),
     }
 
 
-def _with_median(long: DataFrame, keys: list[str], known: DataFrame) -> DataFrame:
-    """Reads the exact median off counts: what lies below the bracket and each value in it."""
-    renamed = known.withColumnsRenamed({k: f"_{k}" for k in keys})
-
-    def attach(df: DataFrame) -> DataFrame:
-        if not keys:
-            only = renamed.first()
-            return df.withColumns({f: F.lit(only[f]) for f in [*_FIELDS, "bracket"]})
-        return df.join(renamed, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
-
-    low, high = F.get("bracket", F.lit(0)), F.get("bracket", F.lit(1))
-    counted = (
-        attach(long)
-        .where((F.col("_v") <= high) | (F.col("n") == 0))
-        # Everything below the bracket falls into one null entry, which sorts first.
-        .select(*keys, F.when(F.col("_v") >= low, F.col("_v")).alias("_v"))
-        .groupBy(*keys, "_v")
-        .agg(F.count(F.lit(1)).alias("_rows"))
+def _next_search() -> list[Column]:
+    """The bounds for the next pass, and the median where it is known.
+
+    It is known where the two middle rows part at the end of a cell, or where a cell holds one value.
+    """
+    parted = F.col("_one._cell") != F.col("_two._cell")
+    single = F.col("_one._least") == F.col("_one._most")
+    median = F.when(parted, (F.col("_one._most") + F.col("_two._least")) / 2).when(single, F.col("_one._least"))
+    return [
+        F.col("_one._least").alias("_low"),
+        F.col("_one._most").alias("_high"),
+        F.col("_one._before").alias("_below"),
+        median.alias("median"),
+    ]
+
+
+def _first_pass(values: DataFrame, keys: list[str], population: bool) -> DataFrame:
+    """All statistics, and where the median lies, from counts and moments by cell."""
+    cells = values.groupBy(*keys, _power_cell(F.col("_v")).alias("_cell")).agg(
+        F.count("_v").alias("_rows"),
+        F.sum("_v").alias("_sum"),
+        F.var_pop("_v").alias("_var"),
+        F.min("_v").alias("_least"),
+        F.max("_v").alias("_most"),
     )
-    upto = Window.partitionBy(*keys).orderBy(F.col("_v").asc_nulls_first())
-    placed = attach(counted.withColumn("_upto", F.sum("_rows").over(upto)))
-    lower, upper = F.floor((F.col("n") - 1) / 2), F.floor(F.col("n") / 2)
-    first = F.min(F.when(F.col("_upto") > lower, F.col("_v")))
-    second = F.min(F.when(F.col("_upto") > upper, F.col("_v")))
-    return placed.groupBy(*keys, *_FIELDS).agg(((first + second) / 2).alias("median"))
+    group = Window.partitionBy(*keys)
+    n, mean = F.sum("_rows").over(group), F.sum("_sum").over(group) / F.nullif(F.sum("_rows").over(group), F.lit(0))
+    upto = F.sum("_rows").over(group.orderBy("_cell"))
+    placed = cells.select("*", n.alias("n"), mean.alias("mean"), upto.alias("_upto"))
+    # The spread is taken cell by cell about the mean, so values of any size keep their digits.
+    off = F.col("_sum") / F.nullif(F.col("_rows"), F.lit(0)) - F.col("mean")
+    squares = F.sum(F.col("_rows") * (F.col("_var") + off * off))
+    free = F.col("n") if population else F.nullif(F.col("n") - 1, F.lit(0))
+    found = placed.groupBy(*keys, "n", "mean").agg(
+        squares.alias("_squares"),
+        F.min("_least").alias("min"),
+        F.max("_most").alias("max"),
+        *(c.alias(name) for name, c in _middle(F.col("n")).items()),
+    )
+    std = F.sqrt(F.col("_squares") / free)
+    return found.select(*keys, "n", "mean", std.alias("std"), "min", "max", *_next_search())
+
+
+def _attach(rows: DataFrame, keys: list[str], state: DataFrame) -> DataFrame:
+    """The rows with the columns of their group's state; rows of other groups go."""
+    renamed = state.withColumnsRenamed({k: f"_{k}" for k in keys})
+    if keys:
+        return rows.join(renamed, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]).drop(*(f"_{k}" for k in keys))
+    only = state.first()
+    return rows.withColumns({f: F.lit(only[f]).cast(kind) for f, kind in state.dtypes})
+
+
+def _narrowed(values: DataFrame, keys: list[str], searched: DataFrame) -> DataFrame:
+    """A later pass: counts by cell between the bounds of each group."""
+    low, high = F.col("_low"), F.col("_high")
+    inside = _attach(values, keys, searched).where(F.col("_v").between(low, high))
+    counts = inside.groupBy(*keys, _width_cell(F.col("_v"), low, high).alias("_cell")).agg(
+        F.count(F.lit(1)).alias("_rows"), F.min("_v").alias("_least"), F.max("_v").alias("_most")
+    )
+    upto = F.sum("_rows").over(Window.partitionBy(*keys).orderBy("_cell"))
+    placed = _attach(counts.withColumn("_upto", upto), keys, searched)
+    placed = placed.withColumn("_upto", F.col("_upto") + F.col("_below"))
+    found = placed.groupBy(*keys, "n").agg(*(c.alias(name) for name, c in _middle(F.col("n")).items()))
+    return found.select(*keys, "n", *_next_search())
 
 
 def describe_values(
@@ -72,35 +125,40 @@ def describe_values(
 ) -> DataFrame:
     """n, mean, std, min, max and the exact median of `value` for each of few keys.
 
-    Spark's exact median keeps every distinct value of a group in one buffer, so it is not
-    used. A quantile sketch of fixed size first brackets the median; a second pass counts
-    what lies below the bracket and the distinct values inside it (about 16 values of
-    100,000), and the median is read off those counts. Both passes aggregate before they
-    shuffle. `std` is the sample form unless `population` is set. Nulls are ignored. Any
-    number of keys is taken; with many, the first pass is written and joined, not broadcast.
+    Spark's exact median keeps every distinct value of a group in one buffer, and a sketch good enough
+    to bracket it is merged in one task, so neither is used. One pass over the data counts the values
+    of each group in cells by power of two (64 each), with their moments: that gives all statistics
+    and the cell that holds the middle rows. Later passes count between the least and the largest
+    value of that cell, in 4,096 cells of equal width, until the middle is one value or lies between
+    two cells: one or two passes as a rule, five at most, and only groups that need it take part. All
+    passes aggregate before they shuffle. `std` is the sample form unless `population` is set. Nulls
+    and NaN are ignored.
     """
-    shaped = long.select(*keys, _number(F.col(value)).alias("_v"))
-    parts = _first_pass(F.col("_v"), population)
-    known = settled(shaped.groupBy(*keys).agg(*(c.alias(name) for name, c in parts.items())))
-    return _with_median(shaped, keys, known)
+    values = long.select(*keys, _number(F.col(value)).alias("_v"))
+    known = settled(_first_pass(values, keys, population))
+    open_ = (F.col("n") > 0) & F.col("median").isNull()
+    searched, medians = known.where(open_).select(*keys, "n", *_SEARCH[:3]), []
+    while searched.limit(1).count():
+        found = settled(_narrowed(values, keys, searched))
+        medians.append(found.where("median is not null").select(*keys, "median"))
+        searched = found.where("median is null").select(*keys, "n", *_SEARCH[:3])
+    known = known.select(*keys, *_FIELDS, "median")
+    if not medians:
+        return known
+    if not keys:
+        return known.withColumn("median", F.lit(medians[-1].first()["median"]))
+    later = medians[0]
+    for more in medians[1:]:
+        later = later.union(more)
+    later = later.withColumnsRenamed({k: f"_{k}" for k in keys} | {"median": "_later"})
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    median = F.coalesce("median", "_later").alias("median")
+    return known.join(later, same, "left").select(*keys, *_FIELDS, median)
 
 
 def feature_stats(df: DataFrame, columns: list[str], population: bool = False) -> DataFrame:
-    """One row per column: mean, std, min, max, median.
-
-    The first pass keeps the columns side by side; only the median counts need them stacked.
-    """
-    wide = df.select(*(_number(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(columns)))
-    parts = {
-        f"{name}{i}": part
-        for i in range(len(columns))
-        for name, part in _first_pass(F.col(f"c{i}"), population).items()
-    }
-    row = wide.agg(*(part.alias(name) for name, part in parts.items())).first()
-    rows = [(c, *(row[f"{f}{i}"] for f in [*_FIELDS, "bracket"])) for i, c in enumerate(columns)]
-    known = df.sparkSession.createDataFrame(rows, f"feature string, {_KNOWN}")
-    long = melt(df, columns).select("feature", _number(F.col("value")).alias("_v"))
-    return _with_median(long, ["feature"], known)
+    """One row per column: mean, std, min, max, median."""
+    return describe_values(melt(df, columns), ["feature"], population=population)
 
 
 def describe_counts(

@@ -26,12 +26,34 @@ def test_describe_values_with_a_hot_value_and_nulls(spark):
     assert population["a"] == pytest.approx(np.std(data["a"]))
 
 
-def test_median_bracket_when_the_sketch_is_rough(spark, monkeypatch):
-    monkeypatch.setattr(profile, "SKETCH_ACCURACY", 100)
-    df = spark.range(20_001).select(F.lit("x").alias("k"), (F.col("id") * 37 % 20_001).cast("double").alias("value"))
-    assert profile.describe_values(df, ["k"]).first()["median"] == 10_000.0
-    even = df.where("value < 20000")
-    assert profile.describe_values(even, ["k"]).first()["median"] == 9_999.5
+@pytest.mark.parametrize("cells", [4, 4096])
+def test_median_over_many_passes(spark, monkeypatch, cells):
+    monkeypatch.setattr(profile, "CELLS", cells)
+    monkeypatch.setattr(profile, "POWER_CELLS", min(cells, 64))
+    rng = np.random.default_rng(1)
+    data = {
+        "even": [float(i * 37 % 20_000) for i in range(20_000)],
+        "odd": [float(i * 37 % 20_001) for i in range(20_001)],
+        "scales": [float(s * 10.0**e) for e in range(-300, 300) for s in (-1, 1)] + [0.0, -0.0, 0.0],
+        "far": [1e300, -1e300, float("inf"), float("-inf"), *rng.normal(size=1000)],
+        "close": list(1 + np.arange(999) * 2.0**-52),
+        "ends": [float("-inf")] * 5 + [float("inf")] * 4,
+        "small": [5e-324, 1e-323, -5e-324],
+        "two": [1.0, 2.0],
+        "same": [7.0] * 50,
+    }
+    rows = [(k, float(x)) for k, v in data.items() for x in v] + [("same", float("nan")), (None, 3.0)]
+    df = spark.createDataFrame(rows, "k string, value double").repartition(4)
+    got = {r["k"]: r["median"] for r in profile.describe_values(df, ["k"]).collect()}
+    assert got == {k: statistics.median(v) for k, v in data.items()} | {None: 3.0}
+
+
+def test_median_search_broadcasts_and_ranks_cells_only(spark):
+    from conftest import plan_of
+
+    df = spark.range(1000).select((F.col("id") % 3).alias("k"), F.rand(3).alias("value"))
+    plan = plan_of(profile.describe_values(df, ["k"]))
+    assert "percentile" not in plan and "CartesianProduct" not in plan
 
 
 def test_describe_values_without_keys(spark):
