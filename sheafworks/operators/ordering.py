@@ -7,17 +7,21 @@ are ever windowed as a whole. Bucket bounds decide balance, never the result.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from .lookup import as_local
+from .lookup import settled
 
 HASH_BUCKETS = 65_536
-MAX_RANGE_BUCKETS = 4_096
 ROWS_PER_BUCKET = 1_000_000
 SAMPLED_KEYS_PER_BUCKET = 16
+#: Range bounds that are compared in two levels; more are searched by halving.
+LITERAL_BOUNDS = 4_096
+#: Sixteen-bit levels of a digest that are used.
+MAX_LEVELS = 4
 
 
 def hash_rank_key(key: str | Column, seed: int) -> Column:
@@ -26,28 +30,31 @@ def hash_rank_key(key: str | Column, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), column.cast("string")))
 
 
-def hash_bucket(digest: Column) -> Column:
-    """The first 16 bits of a digest: 65,536 buckets of equal expected size."""
-    return F.conv(F.substring(digest, 1, 4), 16, 10).cast("int")
+def hash_bucket(digest: Column, level: int = 0) -> Column:
+    """Sixteen bits of a digest: 65,536 buckets of equal expected size, and as many in each of them."""
+    return F.conv(F.substring(digest, 4 * level + 1, 4), 16, 10).cast("int")
 
 
 def range_bucket(df: DataFrame, key: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> Column:
-    """Order-preserving buckets of at most about ROWS_PER_BUCKET rows for a unique order key.
+    """Order-preserving buckets of about `rows_per_bucket` rows for a unique order key.
 
-    The bounds come from a sample of the key column only (at most 16 keys per bucket come
-    to the driver) and are fixed in the plan as literals, so every pass and every retried
-    task sees the same buckets.
+    Their number grows with the rows. The bounds come from a sample of the key column and are fixed
+    as constants of the plan, so every pass and every retried task sees the same buckets. Up to
+    LITERAL_BOUNDS of them each row compares in two levels; more are one array (a key for each million
+    rows, so 8 MB for 10^12 rows of a number), which each row searches by halving.
     """
     total = df.count()
     cores = df.sparkSession.sparkContext.defaultParallelism
-    useful = max(-(-total // rows_per_bucket), min(cores, total // SAMPLED_KEYS_PER_BUCKET))
-    buckets = min(MAX_RANGE_BUCKETS, useful)
+    buckets = max(-(-total // rows_per_bucket), min(cores, total // SAMPLED_KEYS_PER_BUCKET))
     if buckets <= 1:
         return F.lit(0)
+    keys = df.select(F.col(key).alias("key")).where(F.col(key).isNotNull())
+    if buckets > LITERAL_BOUNDS:
+        return _searched_bucket(keys, key, total, buckets)
     fraction = min(1.0, buckets * SAMPLED_KEYS_PER_BUCKET / total)
-    keys = sorted(row[0] for row in df.select(key).where(F.col(key).isNotNull()).sample(fraction, seed=7).collect())
-    step = max(1, len(keys) // buckets)
-    bounds = keys[step::step]
+    sample = sorted(row[0] for row in keys.sample(fraction, seed=7).collect())
+    step = max(1, len(sample) // buckets)
+    bounds = sample[step::step]
     if not bounds:
         return F.lit(0)
     # Two levels of bounds: the coarse ones choose which fine ones are compared.
@@ -61,8 +68,26 @@ def range_bucket(df: DataFrame, key: str, rows_per_bucket: int = ROWS_PER_BUCKET
     return group * width + F.size(F.filter(fine, lambda bound: bound <= F.col(key)))
 
 
+def _searched_bucket(keys: DataFrame, key: str, total: int, buckets: int) -> Column:
+    """The number of bounds up to the key, found by halving in one sorted constant array."""
+    kind = dict(keys.dtypes)["key"]
+    sample = keys.sample(min(1.0, buckets / total), seed=7).distinct().select(F.col("key").cast("string"))
+    found = sample.toArrow().column("key").to_pylist()
+    if not found:
+        return F.lit(0)
+    # One string constant, which the optimizer folds: far smaller a plan than a literal for each bound.
+    bounds = F.sort_array(F.from_json(F.lit(json.dumps(found)), "array<string>").cast(f"array<{kind}>"))
+    steps = [1 << k for k in reversed(range(len(found).bit_length()))]
+
+    def halve(place: Column, step: Column) -> Column:
+        # Beyond the last bound the element is null, which is no step.
+        return F.when(F.get(bounds, place + step - 1) <= F.col(key), place + step).otherwise(place)
+
+    return F.aggregate(F.lit(steps).cast("array<int>"), F.lit(0), halve)
+
+
 def _bucket_starts(df: DataFrame, bucket: Column) -> DataFrame:
-    """(bucket, rows, start, total): at most one row per bucket."""
+    """(bucket, rows, start, total): one row per bucket, so one for about a million rows."""
     counts = df.select(bucket.alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("rows"))
     in_order = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -75,7 +100,12 @@ def _bucket_starts(df: DataFrame, bucket: Column) -> DataFrame:
 
 
 def cut_point(
-    df: DataFrame, bucket: Column, order: dict[str, Column], wanted: Callable[[Column], Column]
+    df: DataFrame,
+    bucket: Column,
+    order: dict[str, Column],
+    wanted: Callable[[Column], Column],
+    finer: Callable[[int], Column] | None = None,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> Row | None:
     """The order key of the last of the first n rows; None when n is 0.
 
@@ -84,18 +114,25 @@ def cut_point(
     row each comes back, and the caller gets a constant to compare with, so every later
     use of the split sees the same cut and no rows are shuffled or joined for it. A null
     key comes first. Rows on both sides of the cut that share a key are an error, as no
-    comparison could part them.
+    comparison could part them. With `finer(level)` a bucket of more than `rows_per_bucket` rows is
+    counted again in buckets of its own before its keys are ranked.
     """
-    starts = _bucket_starts(df, bucket)
-    target = wanted(F.col("total"))
-    hit = (
-        starts.where((F.col("start") < target) & (target <= F.col("start") + F.col("rows")))
-        .select("bucket", (target - F.col("start")).alias("offset"))
-        .first()
-    )
-    if hit is None:
-        return None
-    keys = df.where(bucket.eqNullSafe(F.lit(hit["bucket"]))).select(*(c.alias(name) for name, c in order.items()))
+    part, target, level = df, wanted(F.col("total")), 0
+    while True:
+        starts = _bucket_starts(part, bucket)
+        hit = (
+            starts.where((F.col("start") < target) & (target <= F.col("start") + F.col("rows")))
+            .select("bucket", "rows", (target - F.col("start")).alias("offset"))
+            .first()
+        )
+        if hit is None:
+            return None
+        part = part.where(bucket.eqNullSafe(F.lit(hit["bucket"])))
+        level += 1
+        if finer is None or hit["rows"] <= rows_per_bucket or level == MAX_LEVELS:
+            break
+        bucket, target = finer(level), F.lit(hit["offset"])
+    keys = part.select(*(c.alias(name) for name, c in order.items()))
     place = F.row_number().over(Window.orderBy(*order))
     around = F.col("_place").between(hit["offset"], hit["offset"] + 1)
     found = keys.withColumn("_place", place).where(around).orderBy("_place").drop("_place").collect()
@@ -122,15 +159,17 @@ def before_cut(df: DataFrame, cut: Row | None, order: dict[str, Column]) -> Colu
 def with_position(df: DataFrame, key: str, name: str = "position", bucket: Column | None = None) -> DataFrame:
     """Adds the 0-based place of each row in the order of a unique key.
 
-    One shuffle by bucket; each bucket is ranked alone and moved by its start. The starts
-    (at most MAX_RANGE_BUCKETS rows, however big the table) travel to every task.
+    One shuffle by bucket; each bucket is ranked alone and moved by its start. The starts (a row for
+    about a million rows) travel to every task up to HASH_BUCKETS rows; more are written and joined
+    by bucket, as the ranked rows already lie, so that the rows are not shuffled again.
     """
     bucket = range_bucket(df, key) if bucket is None else bucket
-    starts = as_local(_bucket_starts(df, bucket).select(F.col("bucket").alias("_bucket"), "start"), HASH_BUCKETS)
+    starts = settled(_bucket_starts(df, bucket).select(F.col("bucket").alias("_bucket"), "start"), HASH_BUCKETS)
     within = F.row_number().over(Window.partitionBy("_bucket").orderBy(key))
-    ranked = df.withColumn("_bucket", bucket).withColumn("_within", within)
+    # Exploded, for the optimizer else carries the bucket's expression over to the side of the starts.
+    ranked = df.select("*", F.explode(F.array(bucket)).alias("_bucket")).withColumn("_within", within)
     return (
-        ranked.join(F.broadcast(starts), "_bucket")
+        ranked.join(starts, "_bucket")
         .withColumn(name, F.col("start") + F.col("_within") - 1)
         .select(*df.columns, name)
     )

@@ -23,7 +23,8 @@ def _rounded_share(fraction: float):
 def _chosen(df: DataFrame, key: str, seed: int, wanted) -> Column:
     digest = hash_rank_key(key, seed)
     order = {"digest": digest, "key": F.col(key)}
-    return before_cut(df, cut_point(df, hash_bucket(digest), order, wanted), order)
+    cut = cut_point(df, hash_bucket(digest), order, wanted, lambda level: hash_bucket(digest, level))
+    return before_cut(df, cut, order)
 
 
 def sample_exact(df: DataFrame, key: str, fraction: float, seed: int = 42, rounding: str = "floor") -> DataFrame:

@@ -96,3 +96,32 @@ def test_one_null_key_keeps_the_size_and_shared_keys_at_the_cut_fail(spark):
         sampling.split_by_order(nulls, "k", 0.2)
     with pytest.raises(ValueError, match="unique"):
         sampling.sample_exact(spark.createDataFrame([(1,)] * 10, "k int"), "k", 0.3)
+
+
+@pytest.mark.parametrize("starts", [3, 65_536])
+def test_bounds_are_searched_when_there_are_many(spark, rows, monkeypatch, starts):
+    monkeypatch.setattr(O, "LITERAL_BOUNDS", 2)
+    monkeypatch.setattr(O, "HASH_BUCKETS", starts)
+    names = rows.select(F.when(F.col("k") > 3, F.concat(F.lit("f"), F.col("k").cast("string"))).alias("k"))
+    names = names.where("k is not null").unionByName(spark.createDataFrame([(None,)], "k string"))
+    for df in (rows, names):
+        bucket = O.range_bucket(df, "k", 5)
+        placed = O.with_position(df.select("k"), "k", bucket=bucket)
+        got = {r["k"]: r["position"] for r in placed.collect()}
+        keys = sorted((k for k in got if k is not None))
+        wanted = [None, *keys] if None in got else keys
+        assert got == {k: i for i, k in enumerate(wanted)}
+        assert df.select(bucket.alias("b")).distinct().count() > 50
+        order = {"key": F.col("k")}
+        cut = O.cut_point(df, bucket, order, lambda total: F.floor(total * 0.25))
+        assert cut["key"] == wanted[len(wanted) // 4 - 1]
+
+
+def test_large_hash_buckets_are_counted_again(rows):
+    digest = O.hash_rank_key("k", 42)
+    order = {"digest": digest, "key": F.col("k")}
+    wanted = lambda total: F.floor(total * 0.3)
+    plain = O.cut_point(rows, F.lit(0), order, wanted)
+    coarse = F.substring(digest, 1, 1)
+    found = O.cut_point(rows, coarse, order, wanted, lambda level: F.substring(digest, level + 1, 1), rows_per_bucket=2)
+    assert found == plain
