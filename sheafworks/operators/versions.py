@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import re
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from ..sources.readers import read_binary_files
 
 
@@ -99,22 +101,49 @@ def missing_content(
     return at_version(manifest, dataset, version).join(store, content, "left_anti")
 
 
-def read_files_at(spark: SparkSession, manifest: DataFrame, dataset: str, version: str) -> DataFrame:
-    """(logical_path, content) of the files of a version.
+def store_files(spark: SparkSession, path: str, store: str, pattern: str = "*") -> None:
+    """Adds the files below a folder to a store of contents: rows (md5, length, content) by hash prefix.
 
-    Only the wanted files are opened, in any number of folders. Their paths are the list of
-    inputs that Spark's file index holds in the driver for every scan; no content goes there.
-    A file that is gone is an error.
+    A content that is there already, from another file or an earlier version, is not stored again.
+    Files are hashed where they are read; of equal ones the hashes meet, not the contents.
+    """
+    files = read_binary_files(spark, path, pattern).select("path", "length", F.md5("content").alias("md5"))
+    one = files.groupBy("md5").agg(F.min("path").alias("path"))
+    if _holds(spark, store):
+        one = one.join(spark.read.parquet(store).select("md5"), "md5", "left_anti")
+    rows = read_binary_files(spark, path, pattern).join(one, "path").select("md5", "length", "content")
+    rows.withColumn("prefix", _prefix("md5")).write.mode("append").partitionBy("prefix").parquet(store)
+
+
+def _prefix(content: str) -> Column:
+    return F.substring(content, 1, 2)
+
+
+def _holds(spark: SparkSession, store: str) -> bool:
+    try:
+        return bool(spark.read.parquet(store).columns)
+    except AnalysisException as missing:
+        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return False
+
+
+def read_files_at(spark: SparkSession, manifest: DataFrame, dataset: str, version: str, store: str) -> DataFrame:
+    """(logical_path, content) of the files of a version, out of a store that `store_files` filled.
+
+    The manifest meets the store by hash and prefix, so no path goes through the driver, and folders
+    without a wanted prefix are not opened. A version without rows and a content that is gone are
+    errors.
     """
     wanted = at_version(manifest, dataset, version)
-    paths = [row["physical_path"] for row in wanted.select("physical_path").distinct().toLocalIterator()]
-    if not paths:
+    if wanted.isEmpty():
         raise ValueError(f"{dataset} has no version {version}")
-    # The paths are literal: none of their characters stands for a pattern.
-    literal = [re.sub(r"([\\*?\[\]{}])", r"\\\1", path) for path in paths]
-    files = spark.read.format("binaryFile").load(literal)
-    store = files.select(F.col("path").alias("_path"), "content")
-    return wanted.join(store, F.col("physical_path") == F.col("_path")).select("logical_path", "content")
+    held = spark.read.parquet(store).select("prefix", "md5", "content").withColumn("_stored", F.lit(True))
+    lost = F.raise_error(F.concat(F.lit("no content for "), F.coalesce("logical_path", F.lit("a null path"))))
+    found = wanted.withColumn("prefix", _prefix("md5")).join(held, ["prefix", "md5"], "left")
+    return found.where(F.when(F.col("_stored").isNull(), lost.cast("boolean")).otherwise(True)).select(
+        "logical_path", "content"
+    )
 
 
 def lineage_edge(dataset: str, version: str, source: str, source_version: str) -> Column:
@@ -125,3 +154,33 @@ def lineage_edge(dataset: str, version: str, source: str, source_version: str) -
         F.lit(source).alias("source_dataset"),
         F.lit(source_version).alias("source_data_version"),
     )
+
+
+def upstream(edges: DataFrame) -> DataFrame:
+    """(dataset, version, source_dataset, source_data_version, depth): all a dataset was built from.
+
+    `edges` has a row for each version and what it was built from directly, as `lineage_edge` makes
+    them. Rounds of joins follow them; `depth` is the least number of steps. Each round is written
+    once, and what is known is not followed again, so circles end. A source that very many are built
+    from is one row of `edges` for each of its own sources, so rounds meet it by a broadcast or a skew
+    join, never by pairs.
+    """
+    spark = edges.sparkSession
+    node, source = ["dataset", "version"], ["source_dataset", "source_data_version"]
+    edges = edges.select(*node, *source).distinct()
+    step = edges.select(*(F.col(c).alias(f"_{c}") for c in node), *source)
+    known = _written(edges.withColumn("depth", F.lit(1)), spark)
+    newest = known
+    while not newest.isEmpty():
+        further = newest.select(*node, *(F.col(c).alias(f"_at_{c}") for c in source), "depth")
+        ends = [F.col(f"_at_{s}").eqNullSafe(F.col(f"_{n}")) for s, n in zip(source, node)]
+        found = further.join(step, ends).select(*node, *source, (F.col("depth") + 1).alias("depth")).distinct()
+        newest = _written(found.join(known.select(*node, *source), [*node, *source], "left_anti"), spark)
+        known = known.union(newest)
+    return known
+
+
+def _written(df: DataFrame, spark: SparkSession) -> DataFrame:
+    path = scratch_path(spark, "lineage")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -14,7 +14,7 @@ from ..operators import chat, chunking, combine, profile, sampling, search, vect
 from ..operators.embedding import embed
 from ..operators.rows import explode_array, explode_structs
 from ..session import scratch_path
-from ..sources import idx, readers, writers
+from ..sources import files, idx, readers, writers
 from ..streaming import ingest as stream
 from . import datasets, shapes
 
@@ -262,11 +262,12 @@ def tensor_from_bytes(spark, sf):
     def file(kind: str, header, field: str) -> DataFrame:
         body = F.array_join(F.transform("rows", lambda r: r[field]), "")
         path = F.concat(F.lit("shard"), F.col("shard").cast("string"), F.lit(f"-{kind}-idx-ubyte"))
-        return files.select(path.alias("path"), F.unhex(F.concat(*header, body)).alias("content"))
+        content = F.unhex(F.concat(*header, body))
+        return files.select(path.alias("path"), F.octet_length(content).alias("length"), content.alias("content"))
 
     images = file("images", [F.lit("00000803"), count, F.lit("0000000800000008")], "pixels")
     labels = file("labels", [F.lit("00000801"), count], "label")
-    paired = idx.pair_by_position(idx.decode_images(images), idx.decode_labels(labels))
+    paired = idx.pair_files(images, labels)
     shard = F.regexp_extract("shard", r"(\d+)", 1).cast("bigint")
     return paired.select(
         (shard * 256 + F.col("idx")).alias("vec_id"),
@@ -328,6 +329,21 @@ def scan_text_wholefile(spark, sf):
     )
 
 
+def entity_files(spark, sf):
+    """One file for each entity; the markdown files among them read back whole."""
+    path = scratch_path(spark, "entities")
+    rows = shapes.supplier_files(spark, sf)
+    files.write_files(rows, path, F.col("name"), F.col("text"))
+    back = readers.read_text_files(spark, path, ".md")
+    return back.select(
+        T.base_name(F.col("path")).alias("file"),
+        F.regexp_extract("path", r"/(n\d+)/[^/]+$", 1).alias("folder"),
+        "text",
+        T.byte_count(F.col("text")).alias("bytes"),
+        T.line_count(F.col("text")).alias("lines"),
+    )
+
+
 def scan_permissive_rejects(spark, sf):
     """Events as JSON lines, each third one cut off in the middle, read without failing."""
     events = shapes.table(spark, sf, "events")
@@ -538,6 +554,29 @@ def image_dims_avg(spark, sf):
     return chat.image_size_means(split, shapes.images(spark, sf), order="doc_id")
 
 
+def image_files(spark, sf):
+    """Image files copied into split folders; per split their number and sizes, read back from headers.
+
+    Also files that are no image: they are copied, and listed as unread.
+    """
+    annotations = shapes.table(spark, sf, "supplier").select(
+        "s_suppkey", F.format_string("image_%06d.png", "s_suppkey").alias("image")
+    )
+    split = sampling.split_by_order(annotations, "s_suppkey", 0.8)
+    path = scratch_path(spark, "image-files")
+    files.copy_files(split, shapes.png_files(spark, sf), path)
+    sizes = readers.read_image_sizes(spark, path, "*.png")
+    folder = F.element_at(F.split("path", "/"), -2).alias("split")
+    good = sizes.groupBy(folder).agg(
+        F.count(F.lit(1)).alias("num_images"),
+        F.round(F.avg("width"), 2).alias("width_mean"),
+        F.round(F.avg("height"), 2).alias("height_mean"),
+        F.max("width").alias("width_max"),
+    )
+    bad = readers.unread_files(spark, path, sizes, "*.png").groupBy(folder).agg(F.count(F.lit(1)).alias("num_unread"))
+    return good.join(bad, "split")
+
+
 # --- vectors ---------------------------------------------------------------------------
 
 
@@ -604,6 +643,60 @@ def snapshot_changed(spark, sf):
     return versions.has_changed(snapshot_diff(spark, sf))
 
 
+def _file_versions(spark, sf) -> tuple[DataFrame, list[str]]:
+    """Manifest of two versions of a folder of files, and the folders."""
+    folders = [scratch_path(spark, f"files-v{v}") for v in (1, 2)]
+    for version, folder in enumerate(folders, 1):
+        files.write_files(shapes.supplier_files(spark, sf, version), folder, F.col("name"), F.col("text"))
+    parts = [versions.file_manifest(spark, folder, "files", f"v{v}") for v, folder in enumerate(folders, 1)]
+    return parts[0].unionByName(parts[1]), folders
+
+
+def file_manifest(spark, sf):
+    """Name, length and hash of every file of two versions."""
+    return _file_versions(spark, sf)[0].drop("physical_path")
+
+
+def read_files_at(spark, sf):
+    """The markdown files of both versions out of one store of contents."""
+    manifest, folders = _file_versions(spark, sf)
+    store = scratch_path(spark, "contents")
+    for folder in folders:
+        versions.store_files(spark, folder, store)
+    manifest = manifest.where(F.col("logical_path").endswith(".md"))
+    parts = [
+        versions.read_files_at(spark, manifest, "files", v, store).withColumn("version", F.lit(v)) for v in ("v1", "v2")
+    ]
+    held = spark.read.parquet(store).agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("md5").alias("contents")).first()
+    both = parts[0].unionByName(parts[1]).select("version", "logical_path", F.col("content").cast("string").alias("text"))
+    return both.withColumns({"stored": F.lit(held["rows"]), "contents": F.lit(held["contents"])})
+
+
+def lineage_upstream(spark, sf):
+    """What every order was built from, over three levels; versions from the tables' keys."""
+    orders, customers, nations = (shapes.table(spark, sf, t) for t in ("orders", "customer", "nation"))
+
+    def edges(df: DataFrame, name: str, key: str, source: str, source_key: str) -> DataFrame:
+        version, source_version = (F.concat(F.lit("v"), k) for k in (key, source_key))
+        edge = versions.lineage_edge(name, "", source, "")
+        return df.select(
+            edge["dataset"].alias("dataset"),
+            version.alias("version"),
+            edge["source_dataset"].alias("source_dataset"),
+            source_version.alias("source_data_version"),
+        )
+
+    parts = [
+        edges(orders, "orders", "o_orderkey", "customer", "o_custkey"),
+        edges(customers, "customer", "c_custkey", "nation", "c_nationkey"),
+        edges(nations, "nation", "n_nationkey", "region", "n_regionkey"),
+    ]
+    found = versions.upstream(reduce(DataFrame.unionByName, parts))
+    return found.groupBy("dataset", "source_dataset", "source_data_version", "depth").agg(
+        F.count(F.lit(1)).alias("built")
+    )
+
+
 def manifest_asof_version(spark, sf):
     old, new = shapes.order_versions(spark, sf)
     store = old.select("md5", "price_cents").union(new.select("md5", "price_cents")).dropDuplicates(["md5"])
@@ -750,6 +843,7 @@ _QUERIES: tuple[Query, ...] = (
     scan_json_roundtrip,
     split_write_readback,
     scan_text_wholefile,
+    entity_files,
     scan_permissive_rejects,
     eval_questions_scan,
     sample_exact_floor,
@@ -777,17 +871,21 @@ _QUERIES: tuple[Query, ...] = (
     caption_image_join,
     existing_image_semi,
     image_dims_avg,
+    image_files,
     embed_hashing,
     vector_table_write,
     vector_topk_cosine,
     question_search,
     retrieval_recall_by_version,
     snapshot_manifest,
+    file_manifest,
+    read_files_at,
     snapshot_diff,
     snapshot_changed,
     manifest_asof_version,
     dataset_fingerprint,
     lineage_filter,
+    lineage_upstream,
     decode_payload,
     readme_file_name,
     repo_name_from_path,

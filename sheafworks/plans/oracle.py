@@ -306,6 +306,16 @@ def _split_in_order(table: str, key: str) -> str:
 
 IMAGE = "format('image_{:06d}.jpg', doc_id)"
 
+SUPPLIER_FILES = """
+sup as (select s_suppkey k, s_name, s_nationkey, v from supplier, (values (1), (2)) versions(v)
+  where case when v = 2 then s_suppkey % 10 <> 0 else s_suppkey % 10 <> 1 end),
+files as (select v, case when k % 4 = 0 then 'n' || s_nationkey else '' end folder,
+    's' || k || case when k % 10 = 3 then '.txt' else '.md' end file,
+    case when k % 10 = 5 then 'the same' || chr(10)
+      else s_name || case when k % 10 = 2 and v = 2 then ' (changed)' else '' end || chr(10) || 'é of nation ' || s_nationkey
+    end as text from sup),
+named as (select *, case when folder = '' then file else folder || '/' || file end logical_path from files)"""
+
 ORDER_VERSIONS = """
 cents as (select o_orderkey, o_custkey, o_orderstatus, round(o_totalprice * 100)::bigint p from orders),
 v1 as (select o_orderkey logical_path, md5(concat_ws('|', o_custkey, o_orderstatus, p)) md5, p price_cents
@@ -475,6 +485,32 @@ select {IMAGE} image, split, format('{{}}_radiology_{{:06d}}.jpg', split, positi
   md5(concat_ws('|', doc_id, quality, toxic)) content_md5 from p join labels using (doc_id)""",
         "existing_image_semi": f"""
 select {IMAGE} image, doc_id in (select doc_id from labels) "exists" from documents""",
+        "image_files": f"""
+with a as (select s_suppkey k, split from {_split_in_order('supplier', 's_suppkey')})
+select split, count(*) filter (k % 9 <> 0) num_images, round(avg(16 + k % 112) filter (k % 9 <> 0), 2) width_mean,
+  round(avg(16 + k * 7 % 112) filter (k % 9 <> 0), 2) height_mean, (max(16 + k % 112) filter (k % 9 <> 0))::int width_max,
+  count(*) filter (k % 9 = 0) num_unread
+from a where k % 5 <> 0 group by split""",
+        "entity_files": f"""
+with {SUPPLIER_FILES}
+select file, folder, text, strlen(text)::int bytes, {_lines('text')}::int lines from named where v = 1 and ends_with(file, '.md')""",
+        "file_manifest": f"""
+with {SUPPLIER_FILES}
+select 'files' dataset, 'v' || v as version, logical_path, strlen(text)::bigint length, md5(text) md5 from named""",
+        "read_files_at": f"""
+with {SUPPLIER_FILES}, c as (select count(distinct text) n from named)
+select 'v' || v as version, logical_path, text, n stored, n contents from named, c where ends_with(file, '.md')""",
+        "lineage_upstream": """
+with recursive edge as (
+  select 'orders' dataset, 'v' || o_orderkey as version, 'customer' source_dataset, 'v' || o_custkey source_data_version from orders
+  union all select 'customer', 'v' || c_custkey, 'nation', 'v' || c_nationkey from customer
+  union all select 'nation', 'v' || n_nationkey, 'region', 'v' || n_regionkey from nation),
+up as (
+  select *, 1 depth from edge
+  union
+  select up.dataset, up.version, e.source_dataset, e.source_data_version, depth + 1
+  from up join edge e on e.dataset = up.source_dataset and e.version = up.source_data_version)
+select dataset, source_dataset, source_data_version, depth::int depth, count(*) built from up group by all""",
         "image_dims_avg": f"""
 with p as (select *, row_number() over (partition by split order by doc_id) rn from {_split_in_order('documents', 'doc_id')}),
 s as (select doc_id, 256 + doc_id % 512 w, 256 + (doc_id * 7) % 512 h from labels)

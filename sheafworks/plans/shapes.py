@@ -6,6 +6,11 @@ captions and images, tagged sources, two versions of a table.
 
 from __future__ import annotations
 
+import struct
+import zlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -109,6 +114,45 @@ def images(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def supplier_files(spark: SparkSession, sf: str, version: int = 1) -> DataFrame:
+    """(name, text): a small file for each supplier; version 2 lacks some, has changed and new ones.
+
+    Nine in ten are markdown files, some lie in a folder, and some hold the same text.
+    """
+    key = F.col("s_suppkey")
+    kept = key % 10 != 0 if version == 2 else key % 10 != 1
+    suffix = F.when(key % 10 == 3, ".txt").otherwise(".md")
+    folder = F.when(key % 4 == 0, F.concat(F.lit("n"), F.col("s_nationkey"), F.lit("/"))).otherwise("")
+    changed = F.when((key % 10 == 2) & F.lit(version == 2), " (changed)").otherwise("")
+    text = F.when(key % 10 == 5, "the same\n").otherwise(F.concat("s_name", changed, F.lit("\né of nation "), "s_nationkey"))
+    rows = table(spark, sf, "supplier").where(kept)
+    return rows.select(F.concat(folder, F.lit("s"), key, suffix).alias("name"), text.alias("text"))
+
+
+def png_files(spark: SparkSession, sf: str) -> DataFrame:
+    """(image, content): a PNG file of its own size for each supplier but every fifth; each ninth is broken."""
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def chunk(kind: bytes, body: bytes) -> bytes:
+            return struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
+
+        def png(key: int) -> bytes:
+            if key % 9 == 0:
+                return b"no image"
+            width, height = 16 + key % 112, 16 + key * 7 % 112
+            header = chunk(b"IHDR", struct.pack(">IIBBBBB", width, height, 8, 0, 0, 0, 0))
+            rows = b"".join(b"\0" + bytes([key % 256]) * width for _ in range(height))
+            return b"\x89PNG\r\n\x1a\n" + header + chunk(b"IDAT", zlib.compress(rows)) + chunk(b"IEND", b"")
+
+        for batch in batches:
+            keys = batch.column("key").to_pylist()
+            names = [f"image_{k:06d}.png" for k in keys]
+            yield pa.RecordBatch.from_arrays([pa.array(names), pa.array([png(k) for k in keys])], ["image", "content"])
+
+    keys = table(spark, sf, "supplier").where("s_suppkey % 5 != 0").select(F.col("s_suppkey").alias("key"))
+    return keys.mapInArrow(draw, "image string, content binary")
+
+
 def prompts(spark: SparkSession) -> DataFrame:
     """The prompt registry: three versions of one template."""
     rows = [

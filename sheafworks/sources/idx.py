@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .readers import read_binary_files
@@ -69,16 +69,50 @@ def decode_labels(files: DataFrame) -> DataFrame:
     )
 
 
-def pair_by_position(images: DataFrame, labels: DataFrame) -> DataFrame:
-    """(shard, idx, image, label): files pair by the name before `-images`/`-labels`."""
+#: Label files are broadcast up to so many bytes, which the listing of the files tells.
+BROADCAST_BYTES = 64 << 20
+
+
+def _shard() -> Column:
+    """The name of a file before `-images` or `-labels`."""
     name = F.element_at(F.split("path", "/"), -1)
-    shard = F.regexp_replace(name, r"[-.](images|labels)[-.].*\z", "")
-    left = images.select(shard.alias("shard"), "idx", "image")
-    right = labels.select(shard.alias("shard"), "idx", "label")
-    return left.join(right, ["shard", "idx"])
+    return F.regexp_replace(name, r"[-.](images|labels)[-.].*\z", "")
+
+
+def pair_files(images: DataFrame, labels: DataFrame) -> DataFrame:
+    """(shard, idx, image, label) from image files and label files (path, length, content).
+
+    Files pair by the name before `-images` or `-labels`, as rows that hold a whole file, and one task
+    decodes both: pixels are never shuffled. Label files are small, so they go to the image files as
+    long as their bytes allow; beyond, file rows meet by shard. Items beyond the shorter file of a
+    pair are left out.
+    """
+    small = labels.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0] <= BROADCAST_BYTES
+    left = images.select(_shard().alias("shard"), F.col("content").alias("images"))
+    right = labels.select(_shard().alias("shard"), F.col("content").alias("labels"))
+    pairs = left.join(F.broadcast(right) if small else right, "shard")
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                shard, pixels, marks = (batch.column(c)[row].as_py() for c in ("shard", "images", "labels"))
+                image, label = _tensor(pixels, 3), _tensor(marks, 1)
+                count = min(len(image), len(label))
+                for first in range(0, count, _ROWS_PER_BATCH):
+                    end = min(first + _ROWS_PER_BATCH, count)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([shard] * (end - first)),
+                            pa.array(np.arange(first, end, dtype=np.int64)),
+                            _image_column(image[first:end]),
+                            _label_column(label[first:end]),
+                        ],
+                        names=["shard", "idx", "image", "label"],
+                    )
+
+    schema = "shard string, idx bigint, image array<array<smallint>>, label smallint"
+    return pairs.select("shard", "images", "labels").mapInArrow(decode, schema)
 
 
 def read_idx(spark: SparkSession, images_path: str, labels_path: str) -> DataFrame:
-    return pair_by_position(
-        decode_images(read_binary_files(spark, images_path)), decode_labels(read_binary_files(spark, labels_path))
-    )
+    return pair_files(read_binary_files(spark, images_path), read_binary_files(spark, labels_path))

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .images import image_sizes
+
 CORRUPT = "_corrupt_record"
 
 QUESTION_SCHEMA = "question string, expected_answer string, key_concepts string"
@@ -88,24 +90,12 @@ def read_binary_files(spark: SparkSession, path: str, pattern: str = "*") -> Dat
 
 
 def read_image_sizes(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """(image, width, height) of the image files below a folder.
+    """(image, width, height) of the image files below a folder, from their header bytes.
 
     Broken ones are left out; `unread_files` lists them from the column `path`, which comes last.
     """
-    images = (
-        spark.read.format("image")
-        .option("dropInvalid", True)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", pattern)
-        .load(path)
-    )
-    name = F.element_at(F.split("image.origin", "/"), -1)
-    return images.select(
-        name.alias("image"),
-        F.col("image.width").alias("width"),
-        F.col("image.height").alias("height"),
-        F.col("image.origin").alias("path"),
-    )
+    sizes = image_sizes(read_binary_files(spark, path, pattern))
+    return sizes.select(F.element_at(F.split("path", "/"), -1).alias("image"), "width", "height", "path")
 
 
 def unread_files(spark: SparkSession, path: str, read: DataFrame, pattern: str = "*") -> DataFrame:

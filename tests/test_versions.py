@@ -39,8 +39,14 @@ def test_file_manifest_and_read_at_version(spark, tmp_path):
 
     assert rows[("v1", "sub/b.md")] == (3, hashlib.md5(b"two").hexdigest())
     assert len(rows) == 3
-    read = {r["logical_path"]: bytes(r["content"]) for r in V.read_files_at(spark, manifest, "docs", "v1").collect()}
+    store = str(tmp_path / "store")
+    for v in ("v1", "v2", "v1"):
+        V.store_files(spark, str(tmp_path / v), store, "*.md")
+    assert spark.read.parquet(store).count() == 3
+    read = {r["logical_path"]: bytes(r["content"]) for r in V.read_files_at(spark, manifest, "docs", "v1", store).collect()}
     assert read == {"a.md": b"one", "sub/b.md": b"two"}
+    read = {r["logical_path"]: bytes(r["content"]) for r in V.read_files_at(spark, manifest, "docs", "v2", store).collect()}
+    assert read == {"a.md": b"changed"}
     diff = V.snapshot_diff(V.at_version(manifest, "docs", "v1"), V.at_version(manifest, "docs", "v2"))
     assert {r["logical_path"]: r["status"] for r in diff.collect()} == {"a.md": "changed", "sub/b.md": "removed"}
 
@@ -103,15 +109,34 @@ def test_row_hash_tells_nulls_apart(spark):
 
 
 def test_reads_only_the_named_files_of_many_folders(spark, tmp_path):
+    import pytest
+
     for i in range(1_050):
         folder = tmp_path / f"d{i} [{i % 2}]"
         folder.mkdir()
         (folder / "a.md").write_text(str(i))
     (tmp_path / "d0 [0]" / "other.md").write_text("not in the version")
     manifest = V.file_manifest(spark, str(tmp_path), "docs", "v1", "a.md").persist()
-    got = V.read_files_at(spark, manifest, "docs", "v1")
+    store = str(tmp_path / "store")
+    V.store_files(spark, str(tmp_path), store, "*.md")
+    got = V.read_files_at(spark, manifest, "docs", "v1", store)
     assert {r["logical_path"]: bytes(r["content"]) for r in got.collect()} == {
         f"d{i} [{i % 2}]/a.md": str(i).encode() for i in range(1_050)
     }
-    assert len(got.inputFiles()) == 1_050
+    assert spark.read.parquet(store).count() == 1_051
     manifest.unpersist()
+    with pytest.raises(ValueError, match="no version"):
+        V.read_files_at(spark, manifest, "docs", "v2", store)
+
+
+def test_upstream_over_levels_and_circles(spark):
+    from sheafworks.operators.versions import upstream
+
+    rows = [("a", "1", "b", "1"), ("a", "1", "c", "1"), ("b", "1", "c", "1"), ("c", "1", "d", "2"), ("d", "2", "b", "1")]
+    rows += [("x", "9", "a", "1"), ("x", "9", "a", "1"), ("y", None, "x", "8")]
+    edges = spark.createDataFrame(rows, "dataset string, version string, source_dataset string, source_data_version string")
+    got = {(r["dataset"], r["source_dataset"]): r["depth"] for r in upstream(edges).collect()}
+    assert {k[1]: v for k, v in got.items() if k[0] == "x"} == {"a": 1, "b": 2, "c": 2, "d": 3}
+    assert {k[1]: v for k, v in got.items() if k[0] == "b"} == {"c": 1, "d": 2, "b": 3}
+    assert {k[1]: v for k, v in got.items() if k[0] == "y"} == {"x": 1}
+    assert upstream(edges.where("false")).collect() == []
