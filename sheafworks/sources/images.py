@@ -46,7 +46,7 @@ def _jpeg(data: memoryview) -> tuple[int, int] | None:
 
 def image_size(data: bytes | memoryview) -> tuple[int, int] | None:
     """(width, height) of a PNG, JPEG, GIF or BMP file; None for what is none of these or broken."""
-    data = memoryview(data)
+    data = memoryview(data).cast("B")
     head = bytes(data[:8])
     found = None
     if head == _PNG:
