@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from hashlib import md5
 from itertools import islice
 from typing import Any, Protocol
 
@@ -11,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from ..functions import patterns as P
+from ..sources.files import file_place
 
 
 @dataclass(frozen=True)
@@ -104,6 +108,75 @@ def write_batches(rows: DataFrame, connect: Callable[[], Writer], batch_size: in
     rows.foreachPartition(send)
 
 
+class Ledger(Protocol):
+    """A store that knows which batches it holds. `commit` adds rows and the batch's key as one step."""
+
+    def holds(self, batch: str) -> bool: ...
+    def commit(self, batch: str, rows: list[Row]) -> None: ...
+    def close(self) -> None: ...
+
+
+class FolderLedger:
+    """A folder of JSON lines, one file for each batch, named by its key.
+
+    A file is written beside its place and moved there, so it is whole or not there, and a batch that
+    is committed twice, even at the same time, is one file.
+    """
+
+    def __init__(self, folder: str):
+        self.folder = folder
+
+    def _file(self, name: str):
+        system, root = file_place(self.folder)
+        return system, root, f"{root}/{name}"
+
+    def holds(self, batch: str) -> bool:
+        system, _, path = self._file(f"{batch}.json")
+        return system.get_file_info(path).is_file
+
+    def commit(self, batch: str, rows: list[Row]) -> None:
+        system, root, path = self._file(f"{batch}.json")
+        beside = f"{root}/_{batch}-{uuid.uuid4().hex}"
+        system.create_dir(root, recursive=True)
+        with system.open_output_stream(beside) as out:
+            out.write("".join(json.dumps(row.asDict(True), default=str) + "\n" for row in rows).encode())
+        system.move(beside, path)
+
+    def close(self) -> None:
+        pass
+
+
+def write_batches_once(
+    rows: DataFrame,
+    connect: Callable[[], Ledger],
+    key: str = "id",
+    batch_size: int = P.WRITE_BATCH,
+    partitions: int | None = None,
+) -> None:
+    """Sends the rows to an outside store in batches, each of which it takes once.
+
+    Rows are dealt out by a hash of their unique key to a fixed number of partitions and sorted there,
+    so a batch has the same rows whenever it is made: by a task that runs a second time, at the same
+    time elsewhere, or in another run over the same rows. Its key is a digest of the rows' keys; a
+    batch that the store holds is passed over. Of rows with one key and other content the first sent
+    stays.
+    """
+    count = partitions or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def send(part: Iterator[Row]) -> None:
+        store = connect()
+        try:
+            while batch := list(islice(part, batch_size)):
+                name = md5("\0".join(str(row[key]) for row in batch).encode()).hexdigest()
+                if not store.holds(name):
+                    store.commit(name, batch)
+        finally:
+            store.close()
+
+    # The optimizer may not change this number, or batches would differ from run to run.
+    rows.repartition(count, key).sortWithinPartitions(key).foreachPartition(send)
+
+
 def jdbc_rows(rows: DataFrame) -> DataFrame:
     """The same rows in types every JDBC driver takes: vector and metadata as text."""
     vector = F.concat(F.lit("["), F.array_join(F.col("embedding").cast("array<string>"), ","), F.lit("]"))

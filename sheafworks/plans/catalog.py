@@ -746,6 +746,17 @@ def lineage_filter(spark, sf):
     )
 
 
+def batched_sink(spark, sf):
+    """Rows sent to an outside store in batches, twice; what the store then holds."""
+    docs = shapes.documents(spark, sf)
+    rows = docs.select(T.hash_uuid(F.col("doc_id")).alias("id"), "source", F.md5("text").alias("content_md5"))
+    folder = scratch_path(spark, "batches")
+    for sent in (rows, rows.repartition(3)):
+        vector_table.write_batches_once(sent, lambda: vector_table.FolderLedger(folder), "id")
+    held = spark.read.schema(rows.schema).json(folder)
+    return held.groupBy("id", "source", "content_md5").agg(F.count(F.lit(1)).alias("times"))
+
+
 # --- names and payloads ----------------------------------------------------------------
 
 
@@ -775,19 +786,22 @@ def repo_name_from_path(spark, sf):
 # --- streams ---------------------------------------------------------------------------
 
 
-def _stream(spark, sf) -> DataFrame:
-    schema = shapes.table(spark, sf, "documents").schema
-    return stream.stream_parquet(spark, sf, schema, "documents.parquet")
-
-
 def latest_per_source(spark, sf):
-    """The newest file per source, kept by a stream over the landing folder."""
-    files = _stream(spark, sf).select("doc_id", "source", shapes.landed_at().alias("ts"))
+    """The newest file per source, kept by a stream over a landing folder.
+
+    Three files land, a batch each: some older texts, then the newest ones, then the oldest, late.
+    """
+    docs = shapes.table(spark, sf, "documents")
+    schema, landing = docs.schema, scratch_path(spark, "landed")
+    for turn in (1, 0, 2):
+        docs.where((F.col("doc_id") + 1) % 3 == turn).coalesce(1).write.mode("append").parquet(landing)
+    files = stream.stream_parquet(spark, landing, schema, files_per_batch=1)
+    files = files.select("doc_id", "source", shapes.landed_at().alias("ts"))
     table, checkpoint = scratch_path(spark, "latest"), scratch_path(spark, "checkpoint")
-    stream.track_latest(files, "source", "ts", "doc_id", table, checkpoint)
-    newest = stream.read_tracked(spark, table).select("doc_id")
-    docs = shapes.table(spark, sf, "documents").join(newest, "doc_id", "left_semi")
-    return docs.select("source", "doc_id", shapes.file_path().alias("path"), "text")
+    stream.track_latest(files, "source", "ts", "doc_id", table, checkpoint, merge_every=2)
+    newest = stream.read_tracked(spark, table, "source", "ts", "doc_id").select("doc_id")
+    rows = docs.join(newest, "doc_id", "left_semi")
+    return rows.select("source", "doc_id", shapes.file_path().alias("path"), "text")
 
 
 def incremental_ingest(spark, sf):
@@ -885,6 +899,7 @@ _QUERIES: tuple[Query, ...] = (
     manifest_asof_version,
     dataset_fingerprint,
     lineage_filter,
+    batched_sink,
     lineage_upstream,
     decode_payload,
     readme_file_name,

@@ -500,6 +500,7 @@ select 'files' dataset, 'v' || v as version, logical_path, strlen(text)::bigint
         "read_files_at": f"""
 with {SUPPLIER_FILES}, c as (select count(distinct text) n from named)
 select 'v' || v as version, logical_path, text, n stored, n contents from named, c where ends_with(file, '.md')""",
+        "batched_sink": f"select {_uuid('doc_id')} id, source, md5(text) content_md5, 1 times from documents",
         "lineage_upstream": """
 with recursive edge as (
   select 'orders' dataset, 'v' || o_orderkey as version, 'customer' source_dataset, 'v' || o_custkey source_data_version from orders

@@ -26,7 +26,7 @@ _STAGING = "_staging"
 _TASKS = "tasks"
 
 
-def _place(path: str) -> tuple[fs.FileSystem, str]:
+def file_place(path: str) -> tuple[fs.FileSystem, str]:
     """The file system of a folder (local, s3, gs, hdfs) and the folder in it."""
     if path.startswith("file:"):
         path = "/" + path[len("file:") :].lstrip("/")
@@ -44,7 +44,7 @@ class _Writer(DataSourceArrowWriter):
         self.staging = staging
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> _TaskDone:
-        system, root = _place(self.staging)
+        system, root = file_place(self.staging)
         folder = f"{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}"
         made: set[str] = set()
         for batch in iterator:
@@ -61,14 +61,14 @@ class _Writer(DataSourceArrowWriter):
 
     def commit(self, messages: list[_TaskDone | None]) -> None:
         """Writes the list of the folders that count: one short name for each task."""
-        system, root = _place(self.staging)
+        system, root = file_place(self.staging)
         system.create_dir(root, recursive=True)
         folders = [m.folder for m in messages if m and m.folder]
         with system.open_output_stream(f"{root}/{_TASKS}") as out:
             out.write(json.dumps(folders).encode())
 
     def abort(self, messages: list[_TaskDone | None]) -> None:
-        system, root = _place(self.staging)
+        system, root = file_place(self.staging)
         if system.get_file_info(root).type != fs.FileType.NotFound:
             system.delete_dir(root)
 
@@ -93,8 +93,8 @@ def _checked(name: str | None) -> str:
 
 def _moved(target: str, staging: str):
     def move(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        system, root = _place(staging)
-        _, place = _place(target)
+        system, root = file_place(staging)
+        _, place = file_place(target)
         for batch in batches:
             for folder in batch.column("folder").to_pylist():
                 base, count, made = f"{root}/{folder}", 0, set()
@@ -125,7 +125,7 @@ def write_files(df: DataFrame, path: str, name: Column, content: Column) -> None
     staging = f"{path.rstrip('/')}/{_STAGING}-{uuid.uuid4().hex}"
     rows = df.select(name.cast("string").alias("name"), content.cast("binary").alias("content"))
     rows.write.format(FORMAT).mode("append").option("path", staging).save()
-    system, root = _place(staging)
+    system, root = file_place(staging)
     with system.open_input_stream(f"{root}/{_TASKS}") as held:
         folders = json.loads(held.read())
     if folders:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -76,16 +77,31 @@ def latest_per_source(files: DataFrame, source: str, ts: str, key: str) -> DataF
     return files.join(latest_keys(files, source, ts, key).select(key), key, "left_semi")
 
 
-def track_latest(stream: DataFrame, source: str, ts: str, key: str, table: str, checkpoint: str) -> None:
-    """Keeps a table of the newest file per source up to date with what has landed."""
+#: After so many batches the changes of a tracked table are merged into one.
+MERGE_EVERY = 16
 
-    def replace(state: DataFrame, batch_id: int) -> None:
-        state.write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
+
+def track_latest(
+    stream: DataFrame, source: str, ts: str, key: str, table: str, checkpoint: str, merge_every: int = MERGE_EVERY
+) -> None:
+    """Keeps a table of the newest file per source up to date with what has landed.
+
+    The state of a source is one (ts, key), kept by the stream; a batch writes only the sources it
+    touched, into a folder of its own, which a batch that runs again replaces. Every `merge_every`
+    batches the changes so far become one table, so a read never meets more folders than that. A file
+    that lands late and is older than what is known changes nothing.
+    """
+    spark = stream.sparkSession
+
+    def add(touched: DataFrame, batch_id: int) -> None:
+        touched.write.mode("overwrite").parquet(f"{table}/changed/batch_id={batch_id}")
+        if (batch_id + 1) % merge_every == 0:
+            _tracked(spark, table, source, ts, key).write.mode("overwrite").parquet(f"{table}/merged/upto={batch_id}")
 
     (
         latest_keys(stream, source, ts, key)
-        .writeStream.outputMode("complete")
-        .foreachBatch(replace)
+        .writeStream.outputMode("update")
+        .foreachBatch(add)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -93,8 +109,19 @@ def track_latest(stream: DataFrame, source: str, ts: str, key: str, table: str,
     )
 
 
-def read_tracked(spark: SparkSession, table: str) -> DataFrame:
-    """The state after the last batch; older folders are pruned, not read."""
-    rows = spark.read.parquet(table)
-    last = rows.agg(F.max("batch_id")).scalar()
-    return rows.where(F.col("batch_id") == last).drop("batch_id")
+def _tracked(spark: SparkSession, table: str, source: str, ts: str, key: str) -> DataFrame:
+    rows = spark.read.parquet(f"{table}/changed")
+    try:
+        merged = spark.read.parquet(f"{table}/merged")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return latest_keys(rows, source, ts, key)
+    last = merged.agg(F.max("upto")).first()[0]
+    later = rows.where(F.col("batch_id") > last).drop("batch_id")
+    return latest_keys(merged.where(F.col("upto") == last).drop("upto").unionByName(later), source, ts, key)
+
+
+def read_tracked(spark: SparkSession, table: str, source: str, ts: str, key: str) -> DataFrame:
+    """(source, key, ts) after the last batch: the newest merged table and the changes since."""
+    return _tracked(spark, table, source, ts, key)

@@ -41,18 +41,37 @@ def test_latest_per_source_batch_and_stream_agree(spark, tmp_path):
     folder = tmp_path / "landing"
     folder.mkdir()
     table, checkpoint = str(tmp_path / "table"), str(tmp_path / "checkpoint")
-    rows = [(i, f"s{i % 3}", datetime(2025, 1, 1 + i % 5), f"t{i}") for i in range(30)]
+    rows = [(i, f"s{i % 3}" if i % 7 else None, datetime(2025, 1, 1 + i % 5), f"t{i}") for i in range(40)]
     wanted = {}
-    for n, part in enumerate((rows[:20], rows[20:])):
+    names = {"source": "source", "ts": "ts", "key": "id"}
+    for n, part in enumerate((rows[10:20], rows[20:30], rows[:10], rows[30:])):
         land(spark, folder, tmp_path, f"p{n}", part)
         schema = spark.read.parquet(str(folder)).schema
-        I.track_latest(I.stream_parquet(spark, str(folder), schema), "source", "ts", "id", table, checkpoint)
+        landed = I.stream_parquet(spark, str(folder), schema, files_per_batch=1)
+        I.track_latest(landed, **names, table=table, checkpoint=checkpoint, merge_every=2)
         batch = I.latest_per_source(spark.read.parquet(str(folder)), "source", "ts", "id")
-        for row in rows[: 20 + 10 * n]:
+        for row in part:
             wanted[row[1]] = max(wanted.get(row[1], (row[2], row[0])), (row[2], row[0]))
         assert {r["source"]: (r["ts"], r["id"]) for r in batch.collect()} == wanted
-        tracked = I.read_tracked(spark, table)
+        tracked = I.read_tracked(spark, table, **names)
         assert {r["source"]: (r["ts"], r["id"]) for r in tracked.collect()} == wanted
+    assert len(list((tmp_path / "table" / "changed").glob("batch_id=*"))) == 4
+    assert sorted(p.name for p in (tmp_path / "table" / "merged").glob("upto=*")) == ["upto=1", "upto=3"]
+
+
+def test_a_batch_writes_only_the_sources_it_touched(spark, tmp_path):
+    from datetime import datetime
+
+    folder = tmp_path / "landing"
+    folder.mkdir()
+    table, checkpoint = str(tmp_path / "table"), str(tmp_path / "checkpoint")
+    day = datetime(2025, 1, 1)
+    for n, part in enumerate(([(i, f"s{i}", day, "x") for i in range(20)], [(30, "s3", day, "y")])):
+        land(spark, folder, tmp_path, f"q{n}", part)
+        schema = spark.read.parquet(str(folder)).schema
+        I.track_latest(I.stream_parquet(spark, str(folder), schema), "source", "ts", "id", table, checkpoint)
+    changed = spark.read.parquet(f"{table}/changed").groupBy("batch_id").count().collect()
+    assert {r["batch_id"]: r["count"] for r in changed} == {0: 20, 1: 1}
 
 
 def test_newer_text_replaces_all_rows_of_a_document(spark, tmp_path):

@@ -1,4 +1,5 @@
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -81,3 +82,32 @@ def test_jdbc_rows_have_plain_types(rows):
     out = V.jdbc_rows(rows)
     assert dict(out.dtypes)["embedding"] == "string" and dict(out.dtypes)["metadata"] == "string"
     assert len(json.loads(out.first()["embedding"])) == 8
+
+
+def test_batches_reach_a_store_once(spark, tmp_path):
+    rows = spark.range(1000).select(F.format_string("k%04d", "id").alias("id"), (F.col("id") % 7).alias("x"))
+    folder = str(tmp_path / "sent")
+    for sent in (rows, rows.repartition(5), rows.union(rows.limit(0)).coalesce(1)):
+        V.write_batches_once(sent, lambda: V.FolderLedger(folder), "id", batch_size=30, partitions=6)
+    held = spark.read.json(folder)
+    assert held.count() == held.select("id").distinct().count() == 1000
+    files = [p for p in (tmp_path / "sent").iterdir() if p.suffix == ".json"]
+    assert all(len(p.read_text().splitlines()) <= 30 for p in files)
+
+
+def test_a_task_that_fails_between_batches_sends_none_twice(spark, tmp_path):
+    folder, broken = str(tmp_path / "sent"), str(tmp_path / "broken")
+    rows = spark.range(200).select(F.col("id").cast("string").alias("id"))
+
+    class Breaks(V.FolderLedger):
+        def commit(self, batch, rows):
+            super().commit(batch, rows)
+            if not os.path.exists(broken):
+                open(broken, "w").close()
+                raise OSError("lost")
+
+    with pytest.raises(Exception, match="lost"):
+        V.write_batches_once(rows, lambda: Breaks(folder), "id", 10, 2)
+    V.write_batches_once(rows, lambda: Breaks(folder), "id", 10, 2)
+    held = [r["id"] for r in spark.read.json(folder).collect()]
+    assert sorted(held, key=int) == [str(i) for i in range(200)]
