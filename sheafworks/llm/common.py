@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pickle
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -215,7 +215,14 @@ def write_once(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def with_text(documents: DataFrame, text: Column) -> DataFrame:
-    """The columns of `documents` with a new text and, where there is one, its n_chars."""
-    out = documents.withColumn("text", text)
-    return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in out.columns else out
+def shielded(documents: DataFrame, work: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What `work` makes of the documents, with columns of any other names carried past it unchanged.
+
+    `work` sees doc_id, text and the others under names that no operator uses; it may drop rows and
+    change the text. n_chars, where there is one, is the length of the text that comes out.
+    """
+    names = {c: c if c in ("doc_id", "text") else f"_own{i}" for i, c in enumerate(documents.columns)}
+    out = work(documents.select(*(F.col(f"`{c}`").alias(own) for c, own in names.items())))
+    columns = [F.col(own).alias(c) for c, own in names.items() if c != "n_chars"]
+    out = out.select(*columns, *([F.length("text").cast("long").alias("n_chars")] if "n_chars" in names else []))
+    return out.select(*(F.col(f"`{c}`") for c in documents.columns))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from sheafworks.session import scratch_path
 
-from .common import SPACES, text_of, with_text, write_once
+from .common import SPACES, shielded, text_of, write_once
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Rows of one key are spread over so many groups before they meet their verdict.
@@ -149,7 +149,8 @@ def drop_repeated_lines(
 
 
 def stage(documents: DataFrame) -> DataFrame:
-    """The documents with their repeated lines gone."""
-    columns = documents.columns
-    cut = drop_repeated_lines(documents)
-    return with_text(cut, F.col("kept")).select(*columns)
+    """The documents with their repeated lines gone.
+
+    Columns of any other names stay as they are; n_chars follows the text.
+    """
+    return shielded(documents, lambda docs: drop_repeated_lines(docs).withColumn("text", F.col("kept")))

@@ -28,12 +28,13 @@ from pyspark.sql import functions as F
 
 from sheafworks.session import scratch_path
 
-from .common import Words, join_hashes, mix64, slices, text_of, window_hashes, write_once
+from .common import Words, join_hashes, mix64, shielded, slices, text_of, window_hashes, write_once
 from .components import connected_components
 from .sketch import build, build_counts, estimated, maybe_repeated
 
-#: Sets in one block of a cluster; a task holds two blocks.
+#: Sets in one block of a cluster, and bytes of their n-grams; a task holds two blocks.
 BLOCK = 2048
+BLOCK_BYTES = 32 << 20
 FANOUT = 16
 BITMAP_BITS = 4096
 #: Pairs looked at together while walking the trees.
@@ -257,9 +258,10 @@ def _tree_links(percent: int):
     return run
 
 
-def _compare(dealt: DataFrame, percent: int) -> DataFrame:
-    """Links found in each group (cluster of it `task`) of at most two blocks."""
-    groups = dealt.select("task", "cluster", "node", "grams", F.length("grams").alias("n"))
+def _compare(sets: DataFrame, dealt: DataFrame, percent: int) -> DataFrame:
+    """Links found in each group (cluster of it `task`) of at most two blocks; `dealt` has the keys."""
+    groups = sets.join(dealt.select("task", "cluster", "node"), "node")
+    groups = groups.select("task", "cluster", "node", "grams", F.length("grams").alias("n"))
     return groups.groupBy("task").applyInArrow(_tree_links(percent), "a binary, b binary")
 
 
@@ -288,28 +290,39 @@ def linked_classes(documents: DataFrame, size: int = 5, percent: int = 80, block
     clusters = connected_components(meets).withColumnRenamed("root", "cluster")
     clusters = write_once(clusters, scratch_path(spark, "clusters"))
 
-    sizes = clusters.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
-    members = sets.join(clusters, "node").join(sizes, "cluster")
-    members = members.withColumn("block", F.expr("pmod(xxhash64(node), blocks)").cast("int"))
-    members = write_once(members, scratch_path(spark, "members"))
-    small = members.where("blocks = 1")
-    groups = max(1, -(-small.count() // block))
+    # Which set goes to which tasks is settled on keys; the n-grams are moved to the tasks once.
+    placed = _placed(sets, clusters, block)
+    weight = placed.where("blocks = 1").agg(F.count(F.lit(1)), F.sum("bytes")).first()
+    groups = max(1, -(-weight[0] // block), -(-(weight[1] or 0) // BLOCK_BYTES))
+    small = placed.where("blocks = 1")
     small = small.withColumn("task", F.concat_ws(":", F.lit("s"), F.expr(f"pmod(xxhash64(cluster), {groups})")))
-    big = members.where("blocks > 1")
+    big = placed.where("blocks > 1")
     # The first block goes to every task of its cluster, the others to their own.
     first = F.when(F.col("block") == 0, F.sequence(F.lit(1), F.col("blocks") - 1)).otherwise(F.array("block"))
     big = big.withColumn("other", F.explode(first))
     big = big.withColumn("task", F.concat_ws(":", F.lit("b"), F.hex("cluster"), "other"))
-    links = _compare(small.unionByName(big.drop("other")), percent)
+    links = _compare(sets, small.unionByName(big.drop("other")), percent)
     links = write_once(links, scratch_path(spark, "links"))
-    rest = _outside_largest(members.where("blocks > 1"), links, block)
+    rest = _outside_largest(placed.where("blocks > 1"), links)
     if rest is not None:
-        links = links.union(_compare(rest, percent))
+        links = links.union(_compare(sets, rest, percent))
     return connected_components(links)
 
 
-def _outside_largest(members: DataFrame, links: DataFrame, block: int) -> DataFrame | None:
-    """Sets of big clusters that are not in the cluster's largest component, with all sets they must still meet.
+def _placed(sets: DataFrame, clusters: DataFrame, block: int) -> DataFrame:
+    """(node, bytes, cluster, blocks, block): a table of keys with the block of each set in its cluster.
+
+    A block has about `block` sets or BLOCK_BYTES of n-grams, whichever is less.
+    """
+    keys = clusters.join(sets.select("node", F.length("grams").alias("bytes")), "node")
+    most = F.greatest(F.count(F.lit(1)) / block, F.sum("bytes") / BLOCK_BYTES)
+    sizes = keys.groupBy("cluster").agg(F.ceil(most).cast("int").alias("blocks"))
+    placed = keys.join(sizes, "cluster").withColumn("block", F.expr("pmod(xxhash64(node), blocks)").cast("int"))
+    return write_once(placed, scratch_path(sets.sparkSession, "placed"))
+
+
+def _outside_largest(members: DataFrame, links: DataFrame) -> DataFrame | None:
+    """Sets of big clusters that are not in the cluster's largest component, and the sets they must still meet, by task.
 
     None if there are none. Each such set meets the whole cluster, so what is dealt out grows
     with (sets outside / block) * (sets of the cluster), not with the square of the cluster.
@@ -317,23 +330,23 @@ def _outside_largest(members: DataFrame, links: DataFrame, block: int) -> DataFr
     if members.isEmpty():
         return None
     roots = connected_components(links)
-    own = members.select("cluster", "node").join(roots, "node", "left")
-    own = own.select("cluster", "node", F.coalesce("root", "node").alias("root"))
+    own = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     counted = own.groupBy("cluster", "root").agg(F.count(F.lit(1)).alias("n"))
     best = counted.groupBy("cluster").agg(F.max(F.struct("n", "root"))["root"].alias("main"))
-    out = own.join(best, "cluster").where("root <> main").select("cluster", "node")
+    out = own.join(best, "cluster").where("root <> main").select("cluster", "node", "bytes", "blocks")
     out = write_once(out, scratch_path(members.sparkSession, "outside"))
     if out.isEmpty():
         return None
-    tiles = out.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("tiles"))
-    all_sets = members.join(tiles, "cluster")
-    outside = all_sets.join(out, ["cluster", "node"], "left_semi")
+    most = F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("bytes") / BLOCK_BYTES)
+    tiles = out.groupBy("cluster").agg(F.ceil(most).cast("int").alias("tiles"))
+    outside = out.join(tiles, "cluster")
     outside = outside.withColumn("tile", F.expr("pmod(xxhash64(1, node), tiles)").cast("int"))
     outside = outside.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    every = all_sets.withColumn("other", F.col("block"))
+    every = members.join(tiles, "cluster").withColumn("other", F.col("block"))
     every = every.withColumn("tile", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    both = outside.unionByName(every).withColumn("task", F.concat_ws(":", F.lit("r"), F.hex("cluster"), "tile", "other"))
-    return both.dropDuplicates(["task", "node"])
+    columns = ["cluster", "node", "tile", "other"]
+    both = outside.select(*columns).unionByName(every.select(*columns)).distinct()
+    return both.withColumn("task", F.concat_ws(":", F.lit("r"), F.hex("cluster"), "tile", "other"))
 
 
 def classify(documents: DataFrame, size: int = 5, percent: int = 80, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
@@ -375,8 +388,12 @@ def one_of_each(documents: DataFrame, size: int = 5, percent: int = 80, block: i
     """The documents without near copies: of each component the one with the smallest doc_id stays.
 
     Ties go by text hash; of equal rows one stays. Null ids come after all others. Texts without
-    words all stay.
+    words all stay. Columns of any other names stay as they are.
     """
+    return shielded(documents, lambda docs: _one_of_each(docs, size, percent, block))
+
+
+def _one_of_each(documents: DataFrame, size: int, percent: int, block: int) -> DataFrame:
     columns = documents.columns
     rows, classes = classify(documents, size, percent, block)
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "kt")

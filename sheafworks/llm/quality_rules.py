@@ -174,6 +174,6 @@ def stage(documents: DataFrame) -> DataFrame:
     key = F.xxhash64("source", text_of())
     marked = documents.select("doc_id", "source", "text", key.alias("_key"))
     measured = write_once(measure(marked).drop("text"), scratch_path(documents.sparkSession, "measures"))
-    failed = judge(measured).where("not kept").select(F.col("doc_id").alias("_id"), F.col("_key").alias("_failed"))
-    same = (F.xxhash64("source", text_of()) == F.col("_failed")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+    failed = judge(measured).where("not kept").select(F.col("doc_id").alias("_failed_id"), F.col("_key").alias("_failed_key"))
+    same = (F.xxhash64("source", text_of()) == F.col("_failed_key")) & F.col("doc_id").eqNullSafe(F.col("_failed_id"))
     return documents.join(failed.distinct(), same, "left_anti")

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Words, join_hashes, mix64, signed, sliding_max, sliding_min, slices, text_of, window_hashes, with_text
+from .common import Words, join_hashes, mix64, shielded, signed, sliding_max, sliding_min, slices, text_of, window_hashes
 from .sketch import build, maybe_repeated
 
 #: Windows held by one task before they are handed on.
@@ -170,7 +170,7 @@ def repeated_windows(documents: DataFrame, size: int = 35, bits: int | None = No
     A window in many texts is first grouped inside each task. A task sends at most 2 * SENT places
     of a window (for each half million windows) to where the window is grouped; further places are
     known to be repeated and travel under keys of their own. Texts with no repeated window give no
-    row.
+    row; equal rows have the same places, which are kept once.
     """
     spark = documents.sparkSession
     texts = documents.select(text_of().alias("text"), F.col("doc_id"))
@@ -184,7 +184,7 @@ def repeated_windows(documents: DataFrame, size: int = 35, bits: int | None = No
     total = F.sum(n).over(Window.partitionBy("w1", "w2"))
     places = F.concat(F.array(F.struct("kd", "kt", "pos")), F.coalesce("more", F.array().cast("array<struct<kd:bigint,kt:bigint,pos:int>>")))
     repeated = rows.withColumn("_all", total).where("_all > 1").select(F.inline(places))
-    return repeated.groupBy("kd", "kt").agg(F.collect_list("pos").alias("starts"))
+    return repeated.groupBy("kd", "kt").agg(F.collect_set("pos").alias("starts"))
 
 
 def remove_repeats(
@@ -216,6 +216,8 @@ def remove_repeats(
 
 
 def stage(documents: DataFrame) -> DataFrame:
-    """The documents with the words of repeated passages gone; the words left are joined by one space."""
-    columns = documents.columns
-    return with_text(remove_repeats(documents), F.col("kept")).select(*columns)
+    """The documents with the words of repeated passages gone; the words left are joined by one space.
+
+    Columns of any other names stay as they are; n_chars follows the text.
+    """
+    return shielded(documents, lambda docs: remove_repeats(docs).withColumn("text", F.col("kept")))

@@ -25,6 +25,7 @@ from sheafworks.llm import (
     substring_dedup,
     toxicity,
 )
+from sheafworks.session import scratch_path
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -484,3 +485,38 @@ def test_native_operators_run_no_python(docs):
     for df in (quality_rules.document_verdicts(docs), line_dedup.drop_repeated_lines(docs), sharding.shard_documents(docs, 4, 64)):
         plan = plan_of(df)
         assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
+
+
+def test_stages_carry_columns_of_any_name(spark, rows):
+    """Own columns, named like those the operators work with, come through all stages but the last."""
+    names = ["n_words", "kept", "n_removed", "n_lines", "_text", "_kd", "_kt", "_key", "_best", "_copy", "_pos", "_id", "lang"]
+    schema = "doc_id long, text string, source string, n_chars long, " + ", ".join(f"`{n}` string" for n in names)
+    long = " ".join(f"word{i}" for i in range(60))
+    data = rows + [(2000 + i, f"{long} own{i} and so on\nline of its own {i}") for i in range(4)]
+    data = [(d, t, f"h{(d or 0) % 3}", 7, *(f"{n} {k}" for n in names)) for k, (d, t) in enumerate(data)]
+    docs = spark.createDataFrame(data, schema)
+    given = {tuple(r[4:]): r for r in data}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = common.write_once(stage(spark, docs, ""), scratch_path(spark, "carried"))
+        assert docs.columns == ["doc_id", "text", "source", "n_chars", *names], name
+        found = docs.collect()
+        assert found
+        for row in found:
+            was = given[tuple(row[4:])]
+            assert (row["doc_id"], row["source"]) == (was[0], was[2]), name
+        if name in ("line_dedup", "substring_dedup"):
+            assert all(r["n_chars"] == len(r["text"] or "") for r in found), name
+
+
+def test_places_of_equal_rows_are_kept_once(spark):
+    text = " ".join(f"w{i % 50}" for i in range(60))
+    docs = spark.createDataFrame([(None, text)] * 300 + [(i, text) for i in range(150)], "doc_id long, text string")
+    found = substring_dedup.repeated_windows(docs, 35).collect()
+    assert max(len(r["starts"]) for r in found) <= 26
+
+
+def test_blocks_of_few_bytes_link_the_same(spark, rows, monkeypatch):
+    docs = table(spark, [(d, f"{t or ''} {t or ''} tail {i % 3}") for i, (d, t) in enumerate(rows)])
+    wanted = sorted(map(tuple, ngram_join.component_ids(docs).collect()), key=repr)
+    monkeypatch.setattr(ngram_join, "BLOCK_BYTES", 600)
+    assert sorted(map(tuple, ngram_join.component_ids(docs).collect()), key=repr) == wanted
