@@ -574,7 +574,8 @@ def image_files(spark, sf):
         F.max("width").alias("width_max"),
     )
     bad = readers.unread_files(spark, path, sizes, "*.png").groupBy(folder).agg(F.count(F.lit(1)).alias("num_unread"))
-    return good.join(bad, "split")
+    counts = {c: F.coalesce(c, F.lit(0)) for c in ("num_images", "num_unread")}
+    return good.join(bad, "split", "full").withColumns(counts)
 
 
 # --- vectors ---------------------------------------------------------------------------
