@@ -2,8 +2,9 @@
 
 A long text is cut into pieces that are encoded apart, in parallel. Neighbours are then joined
 two by two: a window around the join is encoded again, and what it gives replaces the tokens there
-once it agrees with the tokens of both sides at its two ends; until then it grows. A join looks
-at some tokens around it, not at the whole sides.
+once it agrees with the tokens of both sides at its two ends; until then it grows. A join encodes
+some text around it, not the whole sides; inside long words of other characters than ASCII letters
+and digits the window grows to them.
 """
 
 from __future__ import annotations

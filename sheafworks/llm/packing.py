@@ -114,8 +114,8 @@ def _pack_group(capacity: int):
 def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> DataFrame:
     """Adds sequence_id and offset to pieces (doc_id, piece, start, length, ids_crc32).
 
-    Full pieces and equal rows are dealt out like any other, so no document or copy is a hot group.
-    No rows: no rows.
+    Full pieces and copies under ids of their own are dealt out like any other, so no document or copy
+    is a hot group. Rows that are equal in id, place and tokens meet in one group. No rows: no rows.
     """
     pieces = write_once(pieces, scratch_path(pieces.sparkSession, "pieces"))
     groups = max(1, -(-pieces.count() // group))
