@@ -2,10 +2,11 @@
 
 P(word | word before) = P(class | class before) * P(word | class), mixed with an add-one unigram.
 All training words are counted and clustered. The `HEAD` most frequent are clustered by exchange on
-the driver, as a start; each other word goes, in tasks, to the class that its neighbours make
-likeliest: first those up to `KNOWN`, then all the rest, these once more after the grid of class
-bigrams has been rebuilt with them. Words beyond `KNOWN` have their count less a discount, and an
-unseen word has what the discounts leave.
+the driver, as a start. Then tasks sum the neighbours' classes of each word and move it to the class
+that makes the likelihood of the class bigrams largest: in a first sweep the other words up to
+`KNOWN`, in `sweeps` more all words up to `KNOWN`, each with a rebuilt grid of class bigrams, in the
+last one all the rest, whose class counts in the grid too. Words of one sweep move at the same time.
+Every word has its count less a discount, and an unseen word has what the discounts of a class leave.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,10 +24,14 @@ from sheafworks.session import scratch_path
 
 from .common import Words, share, shared, signed, slices, text_of, write_once
 
-#: Words that exchange moves on the driver, words with count and class in every task (1 MB), the
+#: Words that exchange moves on the driver, words with count and class in every task (10 MB), the
 #: fewest classes: more than 262,144 different words make it the cube root of their number.
-HEAD, KNOWN, CLASSES = 2048, 65_536, 64
+HEAD, KNOWN, CLASSES = 2048, 262_000, 64
 SWEEPS = 6
+#: Blocks of known words in a sweep, by rank; numbers of a gain table held at a time.
+BLOCKS, GAINS = 1024, 1 << 22
+#: Bits of a word's hash by which it is looked up.
+LOOKUP = 20
 #: Weight of the class model against the unigram; what is added to each class transition.
 MIX, ADDED = 0.9, 0.1
 END = np.uint64(0x5EED0F7E57E4D000)
@@ -63,16 +69,32 @@ class Known:
 
     def __init__(self, words: np.ndarray, counts: np.ndarray):
         self.words, self.counts = words, counts
-        self.order = np.argsort(words)
-        self.sorted = words[self.order]
+        self.begin: np.ndarray | None = None
+
+    def _prepare(self) -> None:
+        order = np.argsort(self.words)
+        ordered = self.words[order]
+        edges = np.arange(1 << LOOKUP, dtype=np.uint64) << np.uint64(64 - LOOKUP)
+        self.begin = np.searchsorted(ordered, edges).astype(np.int32)
+        self.longest = int(np.diff(np.append(self.begin, len(ordered))).max())
+        # The lists end in words that are found nowhere.
+        self.sorted = np.append(ordered, np.full(self.longest, END))
+        self.order = np.append(order, np.full(self.longest, len(order))).astype(np.int32)
+
+    def __getstate__(self) -> dict:
+        return {"words": self.words, "counts": self.counts, "begin": None}
 
     def place(self, tokens: np.ndarray) -> np.ndarray:
         """Rank of each token; len(words) for END and others."""
-        if not len(self.words):
-            return np.zeros(len(tokens), np.int64)
-        at = np.searchsorted(self.sorted, tokens)
-        at[at == len(self.sorted)] = 0
-        return np.where(self.sorted[at] == tokens, self.order[at], len(self.words))
+        if self.begin is None:
+            self._prepare()
+        rank = np.full(len(tokens), len(self.words), np.int64)
+        at = self.begin[tokens >> np.uint64(64 - LOOKUP)]
+        for _ in range(self.longest):
+            hit = np.flatnonzero(self.sorted[at] == tokens)
+            rank[hit] = self.order[at[hit]]
+            at += 1
+        return rank
 
 
 def _pair_counts(held, size: int):
@@ -90,14 +112,17 @@ def _pair_counts(held, size: int):
             before[bounds[:-1]] = size - 1  # a text begins after an end
             pair, n = np.unique(before * size + own, return_counts=True)
             total[pair] += n
-        where = np.flatnonzero(total)
-        edges = np.searchsorted(where, np.arange(0, size * size + ROW_BLOCK * size, ROW_BLOCK * size))
-        rows = [(k, where[a:b], total[where[a:b]]) for k, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if a < b]
-        yield _pair_batch(rows)
+        yield _pair_batch(_pair_rows(total, size))
 
     return run
 
 
+def _pair_rows(total: np.ndarray, size: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    where = np.flatnonzero(total)
+    edges = np.searchsorted(where, np.arange(0, size * size + ROW_BLOCK * size, ROW_BLOCK * size))
+    return [(k, where[a:b], total[where[a:b]]) for k, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if a < b]
+
+
 def _pair_batch(rows) -> pa.RecordBatch:
     return pa.record_batch(
         [
@@ -125,11 +150,17 @@ def _add_pairs(size: int):
 def neighbour_counts(texts: DataFrame, rank, size: int) -> np.ndarray:
     """The size x size table of neighbours in all texts; the last row and column are the end of a text."""
     held = share(texts.sparkSession, rank)
-    schema = "block int, pairs binary, counts binary"
-    each = texts.select("text").mapInArrow(_pair_counts(held, size), schema)
+    return _sum_pairs(texts.select("text").mapInArrow(_pair_counts(held, size), _PAIRS), size)
+
+
+_PAIRS = "block int, pairs binary, counts binary"
+
+
+def _sum_pairs(each: DataFrame, size: int) -> np.ndarray:
+    """The table whose blocks of rows, as tasks have counted them, are in (block, pairs, counts)."""
     blocks = -(-size // ROW_BLOCK)
     table = np.zeros(size * size, np.int64)
-    for _, pairs, counts in each.repartition(blocks, "block").mapInArrow(_add_pairs(size), schema).toLocalIterator():
+    for _, pairs, counts in each.repartition(blocks, "block").mapInArrow(_add_pairs(size), _PAIRS).toLocalIterator():
         table[np.frombuffer(pairs, np.int64)] = np.frombuffer(counts, np.int64)
     return table.reshape(size, size)
 
@@ -191,83 +222,231 @@ def _h(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1))
 
 
-def _contexts(held, low: int, high: int):
-    """(word, other, f, n) of the words of ranks `low` to `high`, summed inside the task.
+class Gains:
+    """What a word adds to the likelihood of the class bigrams in each class, from its neighbours' classes.
+
+    A neighbour f is the class before the word, or `total` plus the class after it.
+    """
 
-    f is the class before the word, or `total` plus the class after it; where two unranked words
-    meet, there is also a row with the second as `other`.
+    def __init__(self, grid: np.ndarray):
+        grid = grid.astype(float)
+        self.total, self.classes = len(grid), len(grid) - 2
+        self.near = np.vstack([grid[:, : self.classes], grid[: self.classes].T])
+        self.h_near = _h(self.near)
+        self.one = _h(self.near + 1) - self.h_near
+        self.sums = [grid.sum(1)[: self.classes], grid.sum(0)[: self.classes]]
+
+    def best(self, first: np.ndarray, f: np.ndarray, n: np.ndarray, own: np.ndarray) -> np.ndarray:
+        """The class of each word; its neighbours (f, n) begin at `first`, `own` is its class so far, or -1."""
+        ends = np.append(first[1:], len(f))
+        out, begin = np.empty(len(first), np.int32), 0
+        while begin < len(first):
+            end = max(begin + 1, int(np.searchsorted(ends, first[begin] + GAINS // self.classes, "right")))
+            rows = slice(first[begin], ends[end - 1])
+            out[begin:end] = self._best(first[begin:end] - first[begin], f[rows], n[rows], own[begin:end])
+            begin = end
+        return out
+
+    def _best(self, first, f, n, own) -> np.ndarray:
+        add = self.one[f]
+        many = np.flatnonzero(n > 1)
+        add[many] = _h(self.near[f[many]] + n[many, None]) - self.h_near[f[many]]
+        gain = np.add.reduceat(add, first)
+        size = np.add.reduceat(np.where(f >= self.total, n, 0), first)
+        sizes, at = np.unique(size, return_inverse=True)
+        for s in self.sums:
+            gain -= (_h(s + sizes[:, None]) - _h(s))[at]
+        here = np.flatnonzero(own >= 0)
+        if len(here):  # what a word gives to its own class is in the grid already
+            mine = np.repeat(np.maximum(own, 0), np.diff(np.append(first, len(f))))
+            stay = np.add.reduceat(self.h_near[f, mine] - _h(np.maximum(self.near[f, mine] - n, 0)), first)[here]
+            for s in self.sums:
+                stay -= _h(s[own[here]]) - _h(np.maximum(s[own[here]] - size[here], 0))
+            gain[here, own[here]] = stay + 1e-9
+        return gain.argmax(1)
+
+
+def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(keys)
+    keys, n = keys[order], n[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    return keys[first], np.add.reduceat(n, first)
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """32-bit numbers with their lowest bytes first, then their next ones, compressed."""
+    return pa.compress(values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), codec="zstd", asbytes=True)
+
+
+def _from_planes(data: bytes, size: int) -> np.ndarray:
+    raw = np.frombuffer(pa.decompress(data, 4 * size, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(raw.reshape(4, size).T).view("<u4").ravel().astype(np.int64)
+
+
+def _neighbours(tokens: np.ndarray, own: np.ndarray, bounds: np.ndarray, total: int) -> tuple[np.ndarray, np.ndarray]:
+    """The classes before and after each token: the end of a text, as a rule, is its last token."""
+    before = np.append(total - 1, own[:-1])
+    before[bounds[:-1]] = total - 1
+    return before, np.append(own[1:], total - 1)
+
+
+def _features(held, low: int):
+    """(block, size, keys, counts): neighbours' classes of the known words from rank `low`, summed inside the task.
+
+    Ranks are dealt to `BLOCKS` blocks in turn; a key is a word's number in its block times 2 total, plus f.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         np.seterr(over="ignore")
         chosen: ClassOf = shared(held)
         total, rest = chosen.total, len(chosen.known.words)
-        rows: list[tuple[np.ndarray, ...]] = []
+        room = -(-rest // BLOCKS) * 2 * total
+        raw: list[np.ndarray] = []
+        keys, counts = np.empty(0, np.int64), np.empty(0, np.int64)
 
         def out() -> pa.RecordBatch:
-            word, other, f = map(np.concatenate, zip(*rows, strict=True))
-            order = np.lexsort((f, other, word))
-            word, other, f = word[order], other[order], f[order]
-            new = np.append(True, (word[1:] != word[:-1]) | (other[1:] != other[:-1]) | (f[1:] != f[:-1]))
-            at = np.flatnonzero(new)
-            n = np.diff(np.append(at, len(word)))
-            columns = [pa.array(signed(word[at])), pa.array(signed(other[at]), mask=f[at] >= 0), pa.array(f[at]), pa.array(n)]
-            return pa.record_batch(columns, ["word", "other", "f", "n"])
+            edges = np.searchsorted(keys, np.arange(BLOCKS + 1) * room)
+            used = [(k, a, b) for k, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if a < b]
+            columns = [
+                pa.array([k for k, _, _ in used], pa.int32()),
+                pa.array([b - a for _, a, b in used], pa.int32()),
+                pa.array([_planes(np.diff(keys[a:b] - k * room, prepend=0)) for k, a, b in used], pa.binary()),
+                pa.array([_planes(counts[a:b]) for _, a, b in used], pa.binary()),
+            ]
+            return pa.record_batch(columns, ["block", "size", "keys", "counts"])
+
+        def merged() -> tuple[np.ndarray, np.ndarray]:
+            key, n = np.unique(np.concatenate(raw), return_counts=True)
+            return _summed(np.append(keys, key), np.append(counts, n)) if len(keys) else (key, n)
 
         for part in slices(batches):
             tokens, bounds = _tokens(part.column("text"))
             place = chosen.known.place(tokens)
-            own = chosen.at(tokens, place).astype(np.int32)
-            before = np.append(np.int32(total - 1), own[:-1])
-            before[bounds[:-1]] = total - 1
-            after = np.append(own[1:], np.int32(total - 1))
-            words = tokens != END
-            here = np.flatnonzero(words & (place >= low) & (place <= high))
-            none = np.zeros(len(here), np.uint64)
-            rows.append((tokens[here], none, before[here]))
-            rows.append((tokens[here], none, after[here] + np.int32(total)))
-            if high >= rest:
-                tail = words & (place == rest)
-                both = np.flatnonzero(tail[:-1] & tail[1:])
-                rows.append((tokens[both], tokens[both + 1], np.full(len(both), -1, np.int32)))
-            if sum(len(r[0]) for r in rows) > HELD // 4:
-                yield out()
-                rows = []
-        if rows:
+            before, after = _neighbours(tokens, chosen.at(tokens, place), bounds, total)
+            here = np.flatnonzero((place >= low) & (place < rest))
+            at = place[here] % BLOCKS * room + place[here] // BLOCKS * (2 * total)
+            raw += [at + before[here], at + after[here] + total]
+            if sum(map(len, raw)) > HELD // 2:
+                keys, counts = merged()
+                raw = []
+                if len(keys) > HELD // 2:
+                    yield out()
+                    keys, counts = np.empty(0, np.int64), np.empty(0, np.int64)
+        if raw:
+            keys, counts = merged()
+        if len(keys):
             yield out()
 
     return run
 
 
-def _best_class(held):
-    """(word, class) from the neighbours of each word, which come sorted by word; `own` is its class so far, or -1."""
+def _move(held):
+    """(rank, class) of the words of each block; the rows of a block come one after the other."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chosen, grid = shared(held)
+        gains, total = Gains(grid), chosen.total
+        room = -(-len(chosen.known.words) // BLOCKS) * 2 * total
+        now, sums = -1, np.zeros(room, np.int64)
+
+        def placed() -> pa.RecordBatch:
+            keys = np.flatnonzero(sums)
+            number = keys // (2 * total)
+            first = np.flatnonzero(np.append(True, number[1:] != number[:-1]))
+            rank = number[first] * BLOCKS + now
+            own = np.where(chosen.of[rank] < gains.classes, chosen.of[rank], -1)
+            best = gains.best(first, keys % (2 * total), sums[keys], own)
+            return pa.record_batch([pa.array(rank.astype(np.int32)), pa.array(best)], ["rank", "class"])
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                block, size, keys, counts = (batch.column(c)[i].as_py() for c in ("block", "size", "keys", "counts"))
+                if block != now:
+                    if now >= 0:
+                        yield placed()
+                    now, sums = block, np.zeros(room, np.int64)
+                sums[np.cumsum(_from_planes(keys, size))] += _from_planes(counts, size)
+        if now >= 0:
+            yield placed()
+
+    return run
+
+
+def sweep(texts: DataFrame, chosen: ClassOf, grid: np.ndarray, low: int = 0) -> ClassOf:
+    """The classes after each known word from rank `low` has moved to its best class in `grid`, all at the same time."""
+    spark = texts.sparkSession
+    each = texts.select("text").mapInArrow(_features(share(spark, chosen), low), "block int, size int, keys binary, counts binary")
+    each = each.repartition("block").sortWithinPartitions("block")
+    moved = each.mapInArrow(_move(share(spark, (chosen, grid))), "rank int, class int").toArrow()
+    of = chosen.of.copy()
+    of[moved.column("rank").to_numpy()] = moved.column("class").to_numpy()
+    return ClassOf(chosen.known, of, chosen.total)
+
+
+def _tail_rows(held):
+    """Rows of the words beyond the known ones, and the pair counts of all classes, of which they make one.
+
+    (word, near) for each time such a word stands somewhere, near being the class before it times
+    `total` plus the class after it; (word, other) where two of them meet; (block, pairs, counts).
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        np.seterr(over="ignore")
+        chosen: ClassOf = shared(held)
+        total = chosen.total
+        table = np.zeros(total * total, np.int64)
+        for part in slices(batches):
+            tokens, bounds = _tokens(part.column("text"))
+            own = chosen(tokens)
+            before, after = _neighbours(tokens, own, bounds, total)
+            table += np.bincount(before * total + own, minlength=len(table))
+            tail = own == total - 2
+            here, both = np.flatnonzero(tail), np.flatnonzero(tail[:-1] & tail[1:])
+            yield _filled(
+                word=pa.array(signed(tokens[np.append(here, both)])),
+                other=pa.concat_arrays([pa.nulls(len(here), pa.int64()), pa.array(signed(tokens[both + 1]))]),
+                near=pa.concat_arrays([pa.array((before * total + after)[here].astype(np.int32)), pa.nulls(len(both), pa.int32())]),
+            )
+        batch = _pair_batch(_pair_rows(table, total))
+        yield _filled(**{c: batch.column(c) for c in batch.schema.names})
+
+    return run
+
+
+_ROWS = {"word": pa.int64(), "other": pa.int64(), "near": pa.int32(), "block": pa.int32(), "pairs": pa.binary(), "counts": pa.binary()}
+
+
+def _filled(**columns: pa.Array) -> pa.RecordBatch:
+    size = len(next(iter(columns.values())))
+    return pa.record_batch([columns[c] if c in columns else pa.nulls(size, t) for c, t in _ROWS.items()], list(_ROWS))
+
+
+def _place_tail(held):
+    """(word, n, class) from (word, near), which come sorted by word; then pair counts of these words with known ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grid = shared(held).astype(float)
-        total = len(grid)
-        classes = total - 2
-        near = np.vstack([grid[:, :classes], grid[:classes].T])
-        h_near = _h(near)
-        sums = [grid.sum(1)[:classes], grid.sum(0)[:classes]]
+        gains = Gains(shared(held))
+        total = gains.total
+        rare, table = total - 2, np.zeros(total * total, np.int64)
         kept = None
 
-        def placed(word, f, n, own) -> pa.RecordBatch:
-            first = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
-            gain = np.add.reduceat(_h(near[f] + n[:, None]) - h_near[f], first)
-            size, now = np.add.reduceat(np.where(f >= total, n, 0), first), own[first]
-            for s in sums:
-                gain -= _h(s + size[:, None]) - _h(s)
-            at = np.flatnonzero(now >= 0)
-            if len(at):  # what a word gives to its own class is in the grid already
-                mine = np.maximum(own, 0)
-                stay = np.add.reduceat(h_near[f, mine] - _h(np.maximum(near[f, mine] - n, 0)), first)[at]
-                for s in sums:
-                    stay -= _h(s[now[at]]) - _h(np.maximum(s[now[at]] - size[at], 0))
-                gain[at, now[at]] = stay
-            return pa.record_batch([pa.array(word[first]), pa.array(gain.argmax(1).astype(np.int32))], ["word", "class"])
+        def placed(word, near) -> pa.RecordBatch:
+            number = np.cumsum(np.append(False, word[1:] != word[:-1]))
+            before, after = near // total, near % total
+            key, n = np.unique(np.append(number, number) * (2 * total) + np.append(before, after + total), return_counts=True)
+            owner = key // (2 * total)
+            first = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
+            best = gains.best(first, key % (2 * total), n, np.full(len(first), -1))
+            own = best[number].astype(np.int64)
+            for pair, at in ((before * total + own, before), (own * total + after, after)):
+                table[:] += np.bincount(pair[at != rare], minlength=len(table))
+            size = len(first)
+            columns = [pa.array(word[np.flatnonzero(np.append(True, word[1:] != word[:-1]))]), pa.array(np.bincount(number)), pa.array(best)]
+            columns += [pa.nulls(size, t) for t in (pa.int32(), pa.binary(), pa.binary())]
+            return pa.record_batch(columns, ["word", "n", "class", "block", "pairs", "counts"])
 
         for batch in batches:
-            rows = [batch.column(c).to_numpy() for c in ("word", "f", "n", "own")]
+            rows = [batch.column(c).to_numpy().astype(np.int64) for c in ("word", "near")]
             if kept is not None:
                 rows = [np.append(a, b) for a, b in zip(kept, rows, strict=True)]
             if not len(rows[0]):
@@ -278,51 +457,32 @@ def _best_class(held):
                 yield placed(*(r[:cut] for r in rows))
         if kept is not None:
             yield placed(*kept)
+        batch = _pair_batch(_pair_rows(table, total))
+        columns = [pa.nulls(batch.num_rows, t) for t in (pa.int64(), pa.int64(), pa.int32())]
+        yield pa.record_batch([*columns, *batch.columns], ["word", "n", "class", "block", "pairs", "counts"])
 
     return run
 
 
-def _place(near: DataFrame, grid: np.ndarray) -> DataFrame:
-    """(word, class) of each word of (word, f, n, own)."""
-    held = share(near.sparkSession, grid)
-    sums = near.repartition("word").groupBy("word", "f").agg(F.sum("n").alias("n"), F.max("own").alias("own"))
-    return sums.sortWithinPartitions("word").mapInArrow(_best_class(held), "word long, class int")
-
-
-_CONTEXT = "word long, other long, f int, n long"
-
-
-def _place_rest(texts: DataFrame, chosen: ClassOf, pairs: np.ndarray) -> tuple[DataFrame, np.ndarray]:
-    """(word, class) of all words that `chosen` has no class for, and the whole table of class neighbours."""
+def _place_rest(texts: DataFrame, chosen: ClassOf) -> tuple[DataFrame, np.ndarray]:
+    """(word, n, class) of all words that `chosen` has no class for, and the whole table of class neighbours."""
     spark, total = texts.sparkSession, chosen.total
-    rest = len(chosen.known.words)
-    found = texts.mapInArrow(_contexts(share(spark, chosen), rest, rest), _CONTEXT)
+    schema = f"word long, other long, near int, {_PAIRS}"
+    found = texts.select("text").mapInArrow(_tail_rows(share(spark, chosen)), schema)
     found = write_once(found, scratch_path(spark, "contexts"))
-    alone = found.where("other is null").select("word", "f", "n")
-    both = found.where("other is not null").groupBy("word", "other").agg(F.sum("n").alias("n"))
-    known = alone.where(~F.col("f").isin(total - 2, 2 * total - 2))
-    placed = write_once(_place(alone.withColumn("own", F.lit(-1)), pairs), scratch_path(spark, "classes"))
-
-    def with_classes(of: DataFrame) -> DataFrame:
-        left = of.select("word", F.col("class").alias("left"))
-        right = of.select(F.col("word").alias("other"), F.col("class").alias("right"))
-        return both.join(right, "other").join(left, "word")
-
-    def whole(of: DataFrame) -> np.ndarray:
-        table = pairs.copy()
-        table[total - 2] = table[:, total - 2] = 0
-        for c, f, n in known.join(of, "word").groupBy("class", "f").agg(F.sum("n")).collect():
-            table[(f, c) if f < total else (c, f - total)] += n
-        for a, b, n in with_classes(of).groupBy("left", "right").agg(F.sum("n")).collect():
-            table[a, b] += n
-        return table
-
-    joined = with_classes(placed)
-    near = known.unionByName(joined.select("word", (F.col("right") + total).alias("f"), "n"))
-    near = near.unionByName(joined.select(F.col("other").alias("word"), F.col("left").alias("f"), "n"))
-    again = _place(near.join(placed.withColumnRenamed("class", "own"), "word"), whole(placed))
-    again = write_once(again, scratch_path(spark, "classes"))
-    return again, whole(again)
+    pairs = _sum_pairs(found.where("block is not null").select("block", "pairs", "counts"), total)
+    alone = found.where("near is not null").select("word", "near").repartition("word").sortWithinPartitions("word")
+    placed = alone.mapInArrow(_place_tail(share(spark, pairs)), f"word long, n long, class int, {_PAIRS}")
+    placed = write_once(placed, scratch_path(spark, "classes"))
+    pairs[total - 2] = pairs[:, total - 2] = 0
+    pairs += _sum_pairs(placed.where("block is not null").select("block", "pairs", "counts"), total)
+    of = placed.where("word is not null").select("word", "n", "class")
+    left = of.select("word", F.col("class").alias("left"))
+    right = of.select(F.col("word").alias("other"), F.col("class").alias("right"))
+    both = found.where("other is not null").select("word", "other").join(right, "other").join(left, "word")
+    for a, b, n in both.groupBy("left", "right").count().collect():
+        pairs[a, b] += n
+    return of, pairs
 
 
 @dataclass
@@ -369,63 +529,72 @@ class Model:
     mix: float
 
 
-def train(texts: DataFrame, head: int = HEAD, known: int = KNOWN, classes: int | None = None) -> tuple[Model, DataFrame]:
-    """(model, counts) from a table with a column text; counts is (word, n, class) of every
-    training word; of the known ones the model has the class.
+def _most_frequent(counts: DataFrame, known: int) -> tuple[Known, dict[str, int]]:
+    """The `known` words of largest count, and sums over all words.
 
-    What is in the model has the fixed size `known`; the counts stay a table in the shared folder.
+    Counts are first summed by sixteenths of powers of two, so that only words that may be among
+    them are ranked.
+    """
+    end = F.col("word") == int(END.astype(np.int64))
+    cells = counts.groupBy(F.floor(F.log2("n") * 16).cast("int").alias("cell")).agg(
+        F.sum("n").alias("tokens"),
+        F.count(F.lit(1)).alias("types"),
+        F.sum(F.when(end, F.col("n")).otherwise(0)).alias("ends"),
+        F.min("n").alias("least"),
+    )
+    cells = sorted(cells.collect(), reverse=True)
+    above = np.cumsum([r["types"] for r in cells])
+    at = int(np.searchsorted(above, known + 1))
+    least = cells[at]["least"] if at < len(cells) else 0
+    top = counts.where(~end & (F.col("n") >= least)).orderBy(F.desc("n"), "word").limit(known).toArrow()
+    sums = {c: sum(r[c] for r in cells) for c in ("tokens", "types", "ends")}
+    sums |= {c: sum(r["types"] for r in cells if r["least"] == n) for c, n in (("once", 1), ("twice", 2))}
+    return Known(top.column("word").to_numpy().view(np.uint64), top.column("n").to_numpy()), sums
+
+
+def train(
+    texts: DataFrame, head: int = HEAD, known: int = KNOWN, classes: int | None = None, sweeps: int = 1
+) -> tuple[Model, DataFrame]:
+    """(model, counts) from a table with a column text; counts is (word, n, class) of the training
+    words beyond the known ones, whose counts and classes the model has.
+
+    What is in the model has the fixed size `known`; the counts stay a table in the shared folder. A
+    word that follows itself counts as a neighbour of its class so far. Without texts there are no
+    words and a single class, and each token has the probability of an unseen one.
     """
     spark = texts.sparkSession
     texts = texts.select(text_of().alias("text"))
     counts = texts.mapInArrow(_count_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    counts = write_once(counts, scratch_path(spark, "word-counts"))
-    end = F.col("word") == int(END.astype(np.int64))
-    top = counts.where(~end).orderBy(F.desc("n"), "word").limit(known).toArrow()
-    best = Known(top.column("word").to_numpy().view(np.uint64), top.column("n").to_numpy())
-    of_counts = counts.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"),
-        F.count(F.lit(1)).alias("types"),
-        F.coalesce(F.sum(F.when(end, F.col("n"))), F.lit(0)).alias("ends"),
-        F.count(F.when(F.col("n") == 1, 1)).alias("once"),
-        F.count(F.when(F.col("n") == 2, 1)).alias("twice"),
-    ).first()
+    best, sums = _most_frequent(write_once(counts, scratch_path(spark, "word-counts")), known)
     head = min(head, len(best.words))
-    types = of_counts["types"]
-    classes = max(CLASSES, int(np.ceil(np.cbrt(types)))) if classes is None else classes
+    classes = max(CLASSES, int(np.ceil(np.cbrt(sums["types"])))) if classes is None else classes
     classes = max(1, min(classes, head))
     total = classes + 2
     table = neighbour_counts(texts, Rank(best, head), head + 2)
     of = exchange(table, classes).astype(np.int64)
+    chosen = ClassOf(best, np.append(of, np.full(len(best.words) - head, classes)), total)
     if len(best.words) > head:
         ends = np.append(of, [classes, classes + 1])
-        grid = np.zeros((total, total))
+        grid = np.zeros((total, total), np.int64)
         np.add.at(grid, (ends[:, None], ends[None, :]), table)
-        of = np.append(of, np.full(len(best.words) - head, classes))
-        near = texts.mapInArrow(_contexts(share(spark, ClassOf(best, of, total)), head, len(best.words) - 1), _CONTEXT)
-        placed = _place(near.select("word", "f", "n", F.lit(-1).alias("own")), grid).toArrow()
-        of[best.place(placed.column("word").to_numpy().view(np.uint64))] = placed.column("class").to_numpy()
-    chosen = ClassOf(best, of, total)
-    pairs = neighbour_counts(texts, chosen, total)
-    size, alone = np.bincount(of, best.counts, total), np.zeros(total)
-    if types - len(best.words) - (of_counts["ends"] > 0):
-        rest, pairs = _place_rest(texts, chosen, pairs)
-        counts = write_once(counts.join(rest, "word", "left"), scratch_path(spark, "word-classes"))
-        for c, n, words in counts.where("class is not null").groupBy("class").agg(F.sum("n"), F.count(F.lit(1))).collect():
-            size[c] += n
-            alone[c] = words
-    else:
-        counts = counts.withColumn("class", F.lit(None).cast("int"))
-    once, twice = of_counts["once"], of_counts["twice"]
-    discount = once / (once + 2 * twice) if once else 0.5
+        chosen = sweep(texts, chosen, grid, head)
+        for _ in range(sweeps):
+            chosen = sweep(texts, chosen, neighbour_counts(texts, chosen, total))
+    rest, pairs = _place_rest(texts, chosen)
+    size, types = np.bincount(chosen.of, best.counts, total), np.bincount(chosen.of, minlength=total)
+    for c, n, words in rest.groupBy("class").agg(F.sum("n"), F.count(F.lit(1))).collect():
+        size[c] += n
+        types[c] += words
+    discount = sums["once"] / (sums["once"] + 2 * sums["twice"]) if sums["once"] else 0.5
     moves = (pairs + ADDED) / (pairs.sum(1, keepdims=True) + ADDED * total)
-    if alone.any():  # after an unseen word comes what comes after those beyond the known ones
-        moves[total - 2] = alone @ moves / alone.sum()
-    left = discount * alone / np.maximum(size, 1)
-    left[total - 2] = 1
-    emits = np.append(best.counts / np.maximum(size[of], 1), 1.0)
-    base = (np.append(best.counts, of_counts["ends"]) + 1) / (of_counts["tokens"] + types + 1)
-    model = Model(chosen, moves, emits, base, of_counts["tokens"], types, size, moves @ left, discount, MIX)
-    return model, counts
+    if types.any():  # what comes after an unseen word is the mean over all words
+        moves[total - 2] = types @ moves / types.sum()
+    left = np.where(size > 0, discount * types / np.maximum(size, 1), 1.0)
+    left[total - 1] = 0  # the end is no word
+    emits = np.append((best.counts - discount) / np.maximum(size[chosen.of], 1), 1.0)
+    base = (np.append(best.counts, sums["ends"]) + 1) / (sums["tokens"] + sums["types"] + 1)
+    model = Model(chosen, moves, emits, base, sums["tokens"], sums["types"], size, moves @ left, discount, MIX)
+    return model, rest
 
 
 _TAIL = pa.list_(pa.struct([("word", pa.int64()), ("at", pa.int64())]))
@@ -443,6 +612,7 @@ def _score(held):
         np.seterr(over="ignore")
         model: Model = shared(held)
         size, rare = len(model.classes.known.words), model.classes.total - 2
+        row = TaskContext.get().partitionId() << 40
         for part in slices(batches):
             tokens, bounds = _tokens(part.column("text"))
             place = model.classes.known.place(tokens)
@@ -464,18 +634,19 @@ def _score(held):
             after = np.where(here[(tail + 1) % len(here)], np.minimum(place[(tail + 1) % len(here)], size), size + 1)
             at = number << 32 | before[tail].astype(np.int64) << 18 | after
             rows = pa.StructArray.from_arrays([pa.array(signed(tokens[tail])), pa.array(at)], ["word", "at"])
-            columns = [part.column(c) for c in ("doc_id", "kd", "kt")]
+            columns = [part.column("doc_id"), pa.array(np.arange(part.num_rows) + row)]
+            row += part.num_rows
             columns += [pa.array(np.diff(bounds)), pa.array(known.astype(np.int64)), pa.array(sums[0]), pa.array(sums[1])]
             columns.append(pa.ListArray.from_arrays(pa.array(ends), rows))
             yield pa.RecordBatch.from_arrays(
-                columns, ["doc_id", "kd", "kt", "n_tokens", "known", "base_sum", "score_sum", "tail"]
+                columns, ["doc_id", "row", "n_tokens", "known", "base_sum", "score_sum", "tail"]
             )
 
     return run
 
 
 def _score_tail(held):
-    """(kd, kt, t_known, t_base, t_score) from the words that stand in order of text and place; equal rows count once."""
+    """(row, t_known, t_base, t_score) from the words that stand in order of row and place."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = shared(held)
@@ -483,16 +654,14 @@ def _score_tail(held):
         of = np.append(model.classes.of, [rare + 1])
         last = None
         for batch in batches:
-            rows = np.stack([batch.column(c).to_numpy() for c in ("kd", "kt", "at", "n", "class")])
+            rows = np.stack([batch.column(c).to_numpy() for c in ("row", "at", "n", "class")])
             skip = last is not None
             if skip:
                 rows = np.hstack([last, rows])
-            if not rows.shape[1]:
+            if rows.shape[1] <= skip:
                 continue
             last = rows[:, -1:]
-            new = np.append(True, (rows[:3, 1:] != rows[:3, :-1]).any(0))
-            rows = rows[:, new]
-            kd, kt, at, n, own = rows
+            row, at, n, own = rows
             before, after = (at >> 18) & 0x3FFF, at & 0x3FFFF
             before = np.where(before == rare, np.append(rare, own[:-1]), before)
             plain = (n + 1) / float(model.tokens + model.types + 1)
@@ -502,12 +671,10 @@ def _score_tail(held):
             to = np.minimum(after, end)
             follow = model.mix * model.moves[own, of[to]] * model.emits[to] + (1 - model.mix) * model.base[to]
             score += np.where(known, np.log10(follow), 0)
-            kd, kt, n, plain, score = (x[int(skip) :] for x in (kd, kt, n, plain, score))
-            if not len(kd):
-                continue
-            first = np.flatnonzero(np.append(True, (kd[1:] != kd[:-1]) | (kt[1:] != kt[:-1])))
+            row, n, plain, score = (x[int(skip) :] for x in (row, n, plain, score))
+            first = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
             sums = [np.add.reduceat(x, first) for x in ((n > 0).astype(np.int64), np.log10(plain), score)]
-            yield pa.record_batch([pa.array(x) for x in (kd[first], kt[first], *sums)], ["kd", "kt", "t_known", "t_base", "t_score"])
+            yield pa.record_batch([pa.array(x) for x in (row[first], *sums)], ["row", "t_known", "t_base", "t_score"])
 
     return run
 
@@ -515,26 +682,25 @@ def _score_tail(held):
 def score_documents(documents: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
     """doc_id, n_tokens, n_known, base_score and score of each row of (doc_id, text); null text: empty.
 
-    Known words are scored where the text is read. The others meet their counts and classes in a join by word,
-    a key that no rare word makes hot, and return by text. Rows with the same id and text score alike.
+    Known words are scored where the text is read, and the rows numbered. The others meet their counts and
+    classes in a join by word, a key that no rare word makes hot, and return by the number of their row.
     """
     spark = documents.sparkSession
     held = share(spark, model)
     kind = dict(documents.dtypes)["doc_id"]
-    kd = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))
-    texts = documents.select("doc_id", kd.alias("kd"), F.xxhash64(text_of()).alias("kt"), text_of().alias("text"))
+    texts = documents.select("doc_id", text_of().alias("text"))
     schema = (
-        f"doc_id {kind}, kd long, kt long, n_tokens long, known long, base_sum double, score_sum double, "
+        f"doc_id {kind}, row long, n_tokens long, known long, base_sum double, score_sum double, "
         "tail array<struct<word:long,at:long>>"
     )
     parts = write_once(texts.mapInArrow(_score(held), schema), scratch_path(spark, "scores"))
-    tail = parts.select("kd", "kt", F.inline("tail")).join(counts, "word", "left")
+    tail = parts.select("row", F.inline("tail")).join(counts, "word", "left")
     rare = model.classes.total - 2
-    tail = tail.select("kd", "kt", "at", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("class", F.lit(rare)).cast("long").alias("class"))
-    tail = tail.repartition("kd", "kt").sortWithinPartitions("kd", "kt", "at")
-    sums = tail.mapInArrow(_score_tail(held), "kd long, kt long, t_known long, t_base double, t_score double")
-    sums = sums.groupBy("kd", "kt").agg(*(F.sum(c).alias(c) for c in ("t_known", "t_base", "t_score")))
-    both = parts.drop("tail").join(sums, ["kd", "kt"], "left")
+    tail = tail.select("row", "at", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("class", F.lit(rare)).cast("long").alias("class"))
+    tail = tail.repartition("row").sortWithinPartitions("row", "at")
+    sums = tail.mapInArrow(_score_tail(held), "row long, t_known long, t_base double, t_score double")
+    sums = sums.groupBy("row").agg(*(F.sum(c).alias(c) for c in ("t_known", "t_base", "t_score")))
+    both = parts.drop("tail").join(sums, "row", "left")
     return both.select(
         "doc_id",
         "n_tokens",
