@@ -74,9 +74,9 @@ class Known:
     def _prepare(self) -> None:
         order = np.argsort(self.words)
         ordered = self.words[order]
-        edges = np.arange(1 << LOOKUP, dtype=np.uint64) << np.uint64(64 - LOOKUP)
-        self.begin = np.searchsorted(ordered, edges).astype(np.int32)
-        self.longest = int(np.diff(np.append(self.begin, len(ordered))).max())
+        many = np.bincount((ordered >> np.uint64(64 - LOOKUP)).astype(np.int64), minlength=1 << LOOKUP)
+        self.begin = (np.cumsum(many) - many).astype(np.int32)
+        self.longest = int(many.max())
         # The lists end in words that are found nowhere.
         self.sorted = np.append(ordered, np.full(self.longest, END))
         self.order = np.append(order, np.full(self.longest, len(order))).astype(np.int32)
@@ -88,12 +88,17 @@ class Known:
         """Rank of each token; len(words) for END and others."""
         if self.begin is None:
             self._prepare()
-        rank = np.full(len(tokens), len(self.words), np.int64)
+        if not len(self.words):
+            return np.zeros(len(tokens), np.int64)
         at = self.begin[tokens >> np.uint64(64 - LOOKUP)]
-        for _ in range(self.longest):
-            hit = np.flatnonzero(self.sorted[at] == tokens)
-            rank[hit] = self.order[at[hit]]
-            at += 1
+        rank = self.order[at].astype(np.int64)
+        left = np.flatnonzero(self.sorted[at] != tokens)
+        rank[left] = len(self.words)
+        for step in range(1, self.longest):
+            here = at[left] + step
+            hit = self.sorted[here] == tokens[left]
+            rank[left[hit]] = self.order[here[hit]]
+            left = left[~hit]
         return rank
 
 
@@ -104,14 +109,19 @@ def _pair_counts(held, size: int):
         np.seterr(over="ignore")
         rank = shared(held)
         total = np.zeros(size * size, np.int64)
+        pairs: list[np.ndarray] = []
         for part in slices(batches):
             tokens, bounds = _tokens(part.column("text"))
             own = rank(tokens)
             before = np.empty_like(own)
             before[1:] = own[:-1]
             before[bounds[:-1]] = size - 1  # a text begins after an end
-            pair, n = np.unique(before * size + own, return_counts=True)
-            total[pair] += n
+            pairs.append(before * size + own)
+            if sum(map(len, pairs)) > len(total):
+                total += np.bincount(np.concatenate(pairs), minlength=len(total))
+                pairs = []
+        if pairs:
+            total += np.bincount(np.concatenate(pairs), minlength=len(total))
         yield _pair_batch(_pair_rows(total, size))
 
     return run
