@@ -170,10 +170,10 @@ def train(documents: DataFrame, labels: DataFrame, bits: int = BITS, sample: int
             yield pa.record_batch([part.column("doc_id"), part.column("toxic"), pa.array(found, pa.binary())], ["doc_id", "toxic", "own"])
 
     kind = dict(few.dtypes)["doc_id"]
-    got = few.mapInArrow(own_features, f"doc_id {kind}, toxic int, own binary").toArrow().to_pylist()
-    # Rows that share an id count once.
-    rows_of = {r["doc_id"]: r for r in sorted(got, key=lambda r: (r["doc_id"], r["own"]))}
-    kept = list(rows_of.values())
+    got = few.mapInArrow(own_features, f"doc_id {kind}, toxic int, own binary")
+    # Rows that share an id count once; tasks combine theirs, so that `sample` rows reach the driver.
+    got = got.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.max("own").alias("own")).toArrow()
+    kept = sorted(got.to_pylist(), key=lambda r: r["doc_id"])
     weights, bias = fit_weights(ratios, [np.frombuffer(r["own"], np.int32) for r in kept], np.array([r["toxic"] for r in kept], float))
     return Model((weights * ratios).astype(np.float32), bias, bits)
 

@@ -421,6 +421,17 @@ def test_toxicity(spark, nothing):
     assert toxicity.held_out_scores(nothing, labels).count() == 0
 
 
+def test_toxicity_rows_of_one_id_count_once_in_the_sample(spark):
+    """A third of the rows share a labelled id: the regression's sample has one row of them, the largest."""
+    texts = [(i, f"you rotten grub {i % 9}" if i % 4 == 0 else f"a calm day {i % 9}") for i in range(200)]
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(200)], "doc_id long, toxic int")
+    once = spark.createDataFrame(texts, "doc_id long, text string")
+    many = spark.createDataFrame(texts + [texts[4]] * 100, "doc_id long, text string").repartition(5)
+    plain, repeated = (toxicity.held_out_scores(t, labels).distinct().collect() for t in (once, many))
+    assert len(repeated) == len(plain) == 200
+    assert all((r.score >= 0.5) == (r.doc_id % 4 == 0) for r in repeated)
+
+
 # 10
 
 
