@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -16,6 +18,9 @@ QUERIES_PER_TILE = 131_072
 CORPUS_PER_TILE = 131_072
 TILE_BYTES = 64 * 1024 * 1024
 SCORE_BYTES = 32 * 1024 * 1024
+# Pairs of tiles wanted for each core, while a tile has so many rows at least.
+PAIRS_PER_CORE = 8
+LEAST_IN_TILE = 16_384
 
 # Scores are rounded before ranking so that equal vectors tie; ties go to the lower id.
 SCORE_DECIMALS = 6
@@ -45,25 +50,104 @@ def _candidates(
     Works on blocks of queries and rows, so the scores in memory stay within SCORE_BYTES.
     """
     by_id = np.argsort(ids, kind="stable")
-    ids, rows = ids[by_id], rows[by_id]
+    ids, rows = _lowest_copies(ids[by_id], rows[by_id], k + skip_same)
     wide = min(len(rows), max(4 * k, SCORE_BYTES // 8 // 1_024))
     high = max(1, SCORE_BYTES // 8 // max(1, wide))
+    near, own_near = rows.astype(np.float32), queries.astype(np.float32)
     found = []
-    for q0 in range(0, len(queries), high):
-        own = query_ids[q0 : q0 + high]
-        parts = [
-            _block(own, queries[q0 : q0 + high], ids[r0 : r0 + wide], rows[r0 : r0 + wide], k, skip_same)
-            for r0 in range(0, len(rows), max(1, wide))
-        ]
-        if parts:
-            found.append(parts[0] if len(parts) == 1 else _top(pd.concat(parts), k))
-    return pd.concat(found) if found else _block(query_ids[:0], queries[:0], ids[:0], rows[:0], k, False)
+    for q0 in range(0, len(queries) if len(rows) else 0, high):
+        part = slice(q0, q0 + high)
+        found.append(_best_of_rows(query_ids[part], queries[part], own_near[part], ids, rows, near, k, skip_same, wide))
+    if not found:
+        return pd.DataFrame({"query_id": query_ids[:0], "neighbour_id": ids[:0], "score": np.zeros(0)})
+    return pd.concat(found) if len(found) > 1 else found[0]
+
+
+def _lowest_copies(ids: np.ndarray, rows: np.ndarray, keep: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows (in id order) without those that come after `keep` equal ones, which lose every tie to them."""
+    if len(rows) <= keep or rows.shape[1] == 0:
+        return ids, rows
+    as_bytes = np.ascontiguousarray(rows).view(np.dtype((np.void, rows.itemsize * rows.shape[1]))).ravel()
+    _, kind = np.unique(as_bytes, return_inverse=True)
+    order = np.argsort(kind, kind="stable")
+    first = np.flatnonzero(np.diff(kind[order], prepend=-1))
+    place = np.arange(len(order)) - np.repeat(first, np.diff(first, append=len(order)))
+    kept = np.sort(order[place < keep])
+    return (ids, rows) if len(kept) == len(ids) else (ids[kept], rows[kept])
+
+
+def _best_of_rows(
+    query_ids: np.ndarray,
+    queries: np.ndarray,
+    queries_near: np.ndarray,
+    ids: np.ndarray,
+    rows: np.ndarray,
+    rows_near: np.ndarray,
+    k: int,
+    skip_same: bool,
+    wide: int,
+) -> pd.DataFrame:
+    """The best k of all rows (in id order) for one block of queries.
+
+    Products in single precision only rule out: a pair is scored exactly unless it is below the k-th best
+    so far by more than they can be wrong. For vectors of length 1 that is (dim + 2) / 2**24 a product,
+    and rounding moves a score by half a unit.
+    """
+    slack = (rows.shape[1] + 8) * 2.0**-23 + 10.0**-SCORE_DECIMALS
+    bar = np.full(len(queries), -np.inf, dtype=np.float32)
+    best = (np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0))
+    waiting, n_waiting = [best], 0
+    for r0 in range(0, len(rows), wide):
+        scores = queries_near @ rows_near[r0 : r0 + wide].T
+        if r0 == 0 and scores.shape[1] > k + skip_same:
+            head = scores[:, : max(1_024, 4 * (k + skip_same))]
+            bar = np.partition(head, -(k + skip_same), axis=1)[:, -(k + skip_same)] - np.float32(slack)
+        above = np.flatnonzero(scores >= bar[:, None])
+        if len(above) > max(scores.size // 16, 2 * k * len(queries)):
+            pairs = _block(query_ids, queries, ids[r0 : r0 + wide], rows[r0 : r0 + wide], k, skip_same)
+        else:
+            pairs = _exact(query_ids, queries, ids[r0 : r0 + wide], rows[r0 : r0 + wide], above, skip_same)
+        waiting.append((pairs[0], pairs[1] + r0, pairs[2]))
+        n_waiting += len(pairs[0])
+        if n_waiting >= 2 * k * len(queries) or r0 + wide >= len(rows):
+            best = _best_pairs(waiting, k)
+            waiting, n_waiting = [best], 0
+            counts = np.bincount(best[0], minlength=len(queries))
+            full = counts >= k
+            last = np.cumsum(counts) - 1
+            bar[full] = np.maximum(bar[full], (best[2][last[full]] - slack).astype(np.float32))
+    q, c, score = best
+    return pd.DataFrame({"query_id": query_ids[q], "neighbour_id": ids[c], "score": score})
+
+
+def _exact(
+    query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray, pairs: np.ndarray, skip_same: bool
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, row, score) of some pairs, as places in the block; `pairs` are places in the flat block."""
+    q, c = np.divmod(pairs, len(rows))
+    if skip_same:
+        other = query_ids[q] != ids[c]
+        q, c = q[other], c[other]
+    step = max(1, SCORE_BYTES // 32 // max(1, rows.shape[1]))
+    scores = [np.einsum("ij,ij->i", queries[q[i : i + step]], rows[c[i : i + step]]) for i in range(0, len(q), step)]
+    return q, c, np.round(np.concatenate(scores) if scores else np.zeros(0), SCORE_DECIMALS) + 0.0
+
+
+def _best_pairs(parts: list[tuple], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The first k pairs of each query, by query, falling score and place of the row."""
+    q, c, score = (np.concatenate(column) for column in zip(*parts))
+    order = np.lexsort((c, -score, q))
+    q = q[order]
+    first = np.flatnonzero(np.diff(q, prepend=-1))
+    place = np.arange(len(q)) - np.repeat(first, np.diff(first, append=len(q)))
+    order = order[place < k]
+    return q[place < k], c[order], score[order]
 
 
 def _block(
     query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int, skip_same: bool
-) -> pd.DataFrame:
-    """The best k of one block whose rows are in id order."""
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, row, score) of the best k of one block whose rows are in id order, with all pairs scored."""
     scores = np.round(queries @ rows.T, SCORE_DECIMALS) + 0.0
     if skip_same:
         scores[query_ids[:, None] == ids[None, :]] = -np.inf
@@ -74,7 +158,7 @@ def _block(
         room = k - above.sum(axis=1, keepdims=True)
         keep &= above | (level & (np.cumsum(level, axis=1, dtype=np.int32) <= room))
     q, c = np.nonzero(keep)
-    return pd.DataFrame({"query_id": query_ids[q], "neighbour_id": ids[c], "score": scores[q, c]})
+    return q, c, scores[q, c]
 
 
 def _rank(partial: DataFrame, k: int) -> DataFrame:
@@ -118,13 +202,17 @@ def _against_broadcast(corpus: DataFrame, queries: DataFrame, k: int, skip_same:
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         query_ids, query_rows = shared.value
-        best = None
-        for batch in batches:
-            rows, mask = _unit_rows(batch["vector"])
-            if len(rows) == 0 or len(query_rows) == 0:
-                continue
-            found = _candidates(query_ids, query_rows, batch["id"].to_numpy()[mask], rows, k, skip_same)
-            best = _top(found if best is None else pd.concat([best, found]), k)
+        best, held = None, []
+        for batch in chain(batches, [None]):
+            if batch is not None and len(query_rows):
+                rows, mask = _unit_rows(batch["vector"])
+                if len(rows):
+                    held.append((batch["id"].to_numpy()[mask], rows))
+            # Arrow batches are small; many are scored at once, or most of the time would go into merging.
+            if held and (batch is None or sum(rows.nbytes for _, rows in held) >= TILE_BYTES):
+                ids, rows = (np.concatenate(column) for column in zip(*held))
+                found = _candidates(query_ids, query_rows, ids, rows, k, skip_same)
+                best, held = found if best is None else _top(pd.concat([best, found]), k), []
         if best is not None:
             yield best
 
@@ -136,8 +224,11 @@ def _tiled(
 ) -> DataFrame:
     """Each row is sent once per tile of the other side, so tiles are as large as memory allows."""
     fit = max(1, TILE_BYTES // (8 * max(1, dim)))
-    q_tiles = max(1, -(-n_queries // min(QUERIES_PER_TILE, fit)))
-    c_tiles = max(1, -(-corpus.count() // min(CORPUS_PER_TILE, fit)))
+    n_rows = corpus.count()
+    # Enough pairs of tiles for all cores, or the last ones would run alone.
+    side = math.isqrt(PAIRS_PER_CORE * corpus.sparkSession.sparkContext.defaultParallelism) + 1
+    q_tiles = max(1, -(-n_queries // min(QUERIES_PER_TILE, fit)), min(side, n_queries // LEAST_IN_TILE))
+    c_tiles = max(1, -(-n_rows // min(CORPUS_PER_TILE, fit)), min(side, n_rows // LEAST_IN_TILE))
 
     def tiles(df: DataFrame, own: str, own_count: int, other: str, other_count: int) -> DataFrame:
         placed = df.withColumn(own, F.pmod(F.xxhash64("id"), F.lit(own_count)).cast("int"))
@@ -148,10 +239,7 @@ def _tiled(
         rows, c_mask = _unit_rows(right["vector"])
         if len(query_rows) == 0 or len(rows) == 0:
             return pd.DataFrame({"query_id": [], "neighbour_id": [], "score": []})
-        found = _candidates(
-            left["id"].to_numpy()[q_mask], query_rows, right["id"].to_numpy()[c_mask], rows, k, skip_same
-        )
-        return _top(found, k)
+        return _candidates(left["id"].to_numpy()[q_mask], query_rows, right["id"].to_numpy()[c_mask], rows, k, skip_same)
 
     left = tiles(queries, "q_tile", q_tiles, "c_tile", c_tiles).groupBy("q_tile", "c_tile")
     right = tiles(corpus, "c_tile", c_tiles, "q_tile", q_tiles).groupBy("q_tile", "c_tile")

@@ -1,3 +1,5 @@
+import re
+
 import numpy as np
 import pytest
 from conftest import plan_of
@@ -123,3 +125,46 @@ def test_tiles_follow_the_length_of_vectors(spark, monkeypatch):
     df = spark.createDataFrame(rows, "id int, embedding array<double>")
     whole = sorted(map(tuple, search.topk_cosine(df, df, 3).collect()))
     assert sorted(map(tuple, search.topk_cosine(df, df, 3, max_broadcast_bytes=0).collect())) == whole
+
+
+def test_single_precision_only_rules_out(monkeypatch):
+    rng = np.random.default_rng(9)
+    rows = rng.normal(size=(6_000, 16))
+    # Groups of rows that single precision cannot tell apart, and equal ones.
+    rows[:600] = np.repeat(rows[:20], 30, axis=0) * (1 + rng.normal(size=(600, 16)) * 1e-6)
+    rows[600:1_200] = np.repeat(rows[600:603], 200, axis=0)
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    ids = rng.permutation(6_000)
+    monkeypatch.setattr(search, "SCORE_BYTES", 8 * 1_024 * 500)
+    scored = []
+    exact = search._exact
+    monkeypatch.setattr(search, "_exact", lambda *a: scored.append(len(a[4])) or exact(*a))
+    some = np.r_[0:40, 600:640, 2_000:2_400]
+    got = search._candidates(ids[some], rows[some], ids, rows, 5, True)
+    assert 0 < sum(scored) < len(some) * len(rows) // 20
+    scores = np.round(rows[some] @ rows.T, search.SCORE_DECIMALS) + 0.0
+    for n, own in enumerate(ids[some]):
+        best = sorted((-s, i) for s, i in zip(scores[n], ids) if i != own)[:5]
+        part = got[got["query_id"] == own]
+        assert list(zip(-part["score"], part["neighbour_id"])) == best
+
+
+def test_enough_tile_pairs_for_all_cores(spark, monkeypatch):
+    monkeypatch.setattr(search, "LEAST_IN_TILE", 5)
+    rows = [(i, [float((i * j) % 11 + 1) for j in (1, 2, 3)]) for i in range(90)]
+    df = spark.createDataFrame(rows, "id int, embedding array<double>")
+    tiled = search.topk_cosine(df, df, 3, max_broadcast_bytes=0)
+    plan = tiled._jdf.queryExecution().optimizedPlan().toString()
+    side = int((search.PAIRS_PER_CORE * spark.sparkContext.defaultParallelism) ** 0.5) + 1
+    assert re.findall(r"xxhash64\(id#\d+, 42\), (\d+)\)", plan) == [str(min(side, 18))] * 2
+    assert sorted(map(tuple, tiled.collect())) == sorted(map(tuple, search.topk_cosine(df, df, 3).collect()))
+
+
+def test_exact_neighbours_are_searched_for_once(spark, monkeypatch):
+    from sheafworks.plans import catalog
+
+    searches = []
+    topk = search.topk_cosine
+    monkeypatch.setattr(search, "topk_cosine", lambda *a, **b: searches.append(1) or topk(*a, **b))
+    plan = plan_of(catalog.retrieval_recall_by_version(spark, "/root/testdata/sf0.001"))
+    assert len(searches) == 2 and plan.count("MapInPandas") == 1
