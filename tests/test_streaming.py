@@ -96,3 +96,22 @@ def test_newer_text_replaces_all_rows_of_a_document(spark, tmp_path):
     assert run() == [(0, "n"), (1, "x"), (1, "y"), (1, "z"), (2, "p"), (2, "q"), (3, "r")]
     land(spark, folder, tmp_path, "two", [(1, "a", day, "y"), (3, "c", day, None), (None, "d", day, "m")])
     assert run() == [(0, "m"), (1, "y"), (2, "p"), (2, "q")]
+
+
+def test_no_task_lands_a_whole_lot(spark, tmp_path, monkeypatch):
+    from sheafworks.plans import catalog
+
+    source = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    source.repartition(6).write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setitem(catalog.__dict__, "scratch_path", lambda _, label: str(tmp_path / label))
+    spark.conf.set("spark.sql.files.openCostInBytes", "128m")
+    try:
+        rows = catalog.latest_per_source(spark, str(tmp_path))
+        got = {r["source"]: r["doc_id"] for r in rows.collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert got == {r["source"]: r["n"] for r in source.groupBy("source").agg(F.max("doc_id").alias("n")).collect()}
+    assert len(list((tmp_path / "landed").glob("part-*.parquet"))) == 18
+    # A batch for each lot; the second one merges.
+    assert len(list((tmp_path / "latest" / "changed").glob("batch_id=*"))) == 3
+    assert [p.name for p in (tmp_path / "latest" / "merged").glob("upto=*")] == ["upto=1"]
