@@ -187,3 +187,14 @@ def test_merge_fold_goes_over_block_ends(spark):
         chunks = F.transform("t", lambda t: F.struct(F.lit("a").alias("h1"), F.lit("b").alias("h2"), t.alias("text")))
         got = df.select(chunking.merge_starts(chunks, 100, 180).alias("s")).first()["s"]
         assert got == starts(sizes, 100, 180)
+
+
+def test_the_analyzer_has_rounds_to_spare(spark):
+    from sheafworks.operators import chunking
+
+    docs = spark.createDataFrame([("p", "# a\n" + "word " * 300)], "path string, text string")
+    spark.conf.set("spark.sql.analyzer.maxIterations", "80")
+    try:
+        assert chunking.chunk_documents(docs, "path").count() > 1
+    finally:
+        spark.conf.unset("spark.sql.analyzer.maxIterations")

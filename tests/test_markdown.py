@@ -145,3 +145,42 @@ def test_long_lines_and_long_documents(value):
     assert one[0]["h1"] == "h" * 200_000 and one[0]["text"] == header[:-50]
     assert len(rows) == 20_000 and rows[-1]["h2"] == "part 19999"
     assert "\n".join(r["text"] for r in rows).count("# code") == 6667
+
+
+def test_cheap_tests_change_no_character(spark):
+    from pyspark.sql import functions as F
+
+    from sheafworks.functions import markdown as M
+    from sheafworks.functions import patterns as P
+    from sheafworks.functions import text as T
+
+    chars = [chr(i) for i in range(1, 0x3400) if not 0xD800 <= i < 0xE000] + ["一", "龥", "가", "﻿", "﷐", "😀", "\U000e0001"]
+    texts = [t for c in chars for t in (f"a{c}b", f"{c}a\n{c}{c}b {c}\n\n{c}c", f"a {c}\nb  \n c{c} ", c)]
+    texts += ["", " ", "\n", "  \n  ", "a <b> ![x](y) [z](w)", "a  b\tc", "\n\n\n\n", "[a](b", "--- -", "---", "│ a", "ab\n\n\n\nc"]
+    space = f"[{P.INLINE_SPACE_CLASS}]++"
+
+    def bare_by_regex(t):
+        bare = F.regexp_replace(F.concat(F.lit("\n"), t), rf"{space}(?=\n|\z)", "")
+        return F.regexp_replace(F.regexp_replace(bare, rf"\n{space}", "\n"), P.NOT_PRINTABLE, "")
+
+    def markup_by_regex(t):
+        for pattern, by in ((P.HTML_TAG, ""), (P.MARKDOWN_IMAGE, ""), (P.MARKDOWN_LINK, "$1")):
+            t = F.regexp_replace(t, pattern, by)
+        return t
+
+    def pairs(t):
+        yield M._bare_lines(t), bare_by_regex(t)
+        yield T.strip(t), F.btrim(t, F.lit(P.WHITESPACE))
+        yield T.rstrip(t), F.rtrim(t, F.lit(P.WHITESPACE))
+        yield T.strip_markup(t), markup_by_regex(t)
+        yield T.collapse_spaces(t), F.regexp_replace(t, P.SPACE_RUN, " ")
+        yield T.collapse_blank_lines(t), F.regexp_replace(t, P.BLANK_RUN, "\n\n")
+        yield T.box_runs(t), F.regexp_count(t, F.lit(P.BOX_RUN))
+
+    df = spark.createDataFrame([(t,) for t in [*texts, None]], "t string")
+    # Null has no boxes either; a count of null is null.
+    same = [F.sum((~(a.eqNullSafe(b) | F.col("t").isNull())).cast("int")) for a, b in pairs(F.col("t"))]
+    assert list(df.agg(*same).first()) == [0] * 7
+    plain = df.where(F.col("t").rlike(P.PLAIN_TEXT))
+    assert 1_000 < plain.count() and plain.where(F.replace("t", F.lit("\n"), F.lit("")).rlike(r"[\p{C}\p{Z}&&[^ ]]")).count() == 0
+    assert plain.where(F.length("t") > 1).count() > 1_000
