@@ -168,3 +168,11 @@ def test_exact_neighbours_are_searched_for_once(spark, monkeypatch):
     monkeypatch.setattr(search, "topk_cosine", lambda *a, **b: searches.append(1) or topk(*a, **b))
     plan = plan_of(catalog.retrieval_recall_by_version(spark, "/root/testdata/sf0.001"))
     assert len(searches) == 2 and plan.count("MapInPandas") == 1
+
+
+def test_known_tokens_are_looked_up_without_a_call(monkeypatch):
+    model, asked = HashingModel(16), []
+    bucket = HashingModel.bucket
+    monkeypatch.setattr(HashingModel, "bucket", lambda self, token: asked.append(token) or bucket(self, token))
+    first = model(["a b a", "b c"])
+    assert asked == ["a", "b", "c"] and (model(["a b a", "b c"]) == first).all() and len(asked) == 3
